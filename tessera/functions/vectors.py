@@ -7,8 +7,13 @@ numpy inside ``applyInPandas`` (see ``operators.neighbours``).
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 TOKEN_SPLIT = r"[^\p{L}\p{N}_]+"
 
@@ -24,12 +29,43 @@ def md5_bucket(col: Column, dim: int) -> Column:
     return F.pmod(F.conv(F.substring(F.md5(col), 1, 8), 16, 10).cast("long"), F.lit(dim))
 
 
+def hash_buckets(col: Column, dim: int) -> Column:
+    """array<int> of the md5 bucket of every token, as a JVM expression
+    (used where the bucket ids themselves are the output)."""
+    return F.transform(tokens(col), lambda t: md5_bucket(t, dim).cast("int"))
+
+
+def _md5_bucket_py(token: str, dim: int) -> int:
+    return int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16) % dim
+
+
+def _hash_count_batch(rows: pd.Series, dim: int) -> pd.Series:
+    """Dense token-count vectors for one Arrow batch of token arrays.
+    Each distinct token of the batch is hashed once; the counting is one
+    ``np.bincount`` over the whole batch."""
+    n = len(rows)
+    lens = np.fromiter((0 if r is None else len(r) for r in rows), dtype=np.int64, count=n)
+    flat = [t for r in rows if r is not None for t in r]
+    codes, uniques = pd.factorize(pd.Series(flat, dtype=object), sort=False)
+    ubuckets = np.fromiter((_md5_bucket_py(t, dim) for t in uniques), dtype=np.int64, count=len(uniques))
+    buckets = ubuckets[codes] if len(flat) else np.zeros(0, dtype=np.int64)
+    row_of = np.repeat(np.arange(n, dtype=np.int64), lens)
+    mat = np.bincount(row_of * dim + buckets, minlength=n * dim).reshape(n, dim).astype(np.float32)
+    return pd.Series(list(mat))
+
+
 def hash_vector(col: Column, dim: int) -> Column:
     """Feature-hashing encoder: token counts per md5 bucket, ``array<float>``
-    of length ``dim``; computed row-locally, no shuffle."""
-    buckets = F.transform(tokens(col), lambda t: md5_bucket(t, dim))
-    return F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                       lambda i: F.size(F.filter(buckets, lambda b: b == i)).cast("float"))
+    of length ``dim``.  Tokenising stays in the JVM; hashing and counting run
+    per Arrow batch (the slot a neural encoder would take)."""
+
+    @F.pandas_udf(ArrayType(FloatType()))
+    def _vec(rows: pd.Series) -> pd.Series:
+        return _hash_count_batch(rows, dim)
+
+    # Marked non-deterministic only so the optimizer never duplicates the
+    # Python evaluation (e.g. for filters it infers from a later explode).
+    return _vec.asNondeterministic()(tokens(col))
 
 
 def norm2(v: Column) -> Column:

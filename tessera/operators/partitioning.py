@@ -1,0 +1,20 @@
+"""Partitioning helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_for_cpu(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Give CPU-heavy row-local work (regex cleaning, encoding) at least
+    ``factor`` tasks per core.
+
+    On a cluster a large scan already has far more splits than cores and
+    this is a no-op; a small table stored as one parquet row group would
+    otherwise run on a single core.  The round-robin shuffle it adds moves
+    the raw rows once, which is cheap next to the per-row work after it.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism * factor
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

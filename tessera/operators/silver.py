@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as tx
 from tessera.functions import vectors as vx
 from tessera.operators import filters, joins
+from tessera.operators.partitioning import spread_for_cpu
 
 DEFAULT_DIM = 64
 HASH_MODEL = "md5-feature-hash"
@@ -32,6 +33,7 @@ def hash_encoder(dim: int = DEFAULT_DIM) -> Encoder:
 def cleaned_documents(bronze: DataFrame, silver: DataFrame | None, mode: str = "pipeline",
                       text: str = "doc_text") -> DataFrame:
     todo = joins.unprocessed(filters.usable_text(bronze, text), silver)
+    todo = spread_for_cpu(todo)
     return todo.withColumn("doc_text", tx.clean_text(F.col(text), mode))
 
 
@@ -67,3 +69,17 @@ def document_summary(docs: DataFrame, dim: int = DEFAULT_DIM, key: str = "doc_id
         mass.alias("token_mass"),
         F.when(F.size(kept) > 0, F.lit(dim)).cast("long").alias("embedding_dimension"),
     )
+
+
+def sparse_hash_counts(sents: DataFrame, dim: int = DEFAULT_DIM,
+                       keys: tuple[str, ...] = ("doc_id", "sentence_index")) -> DataFrame:
+    """Sparse hashed vectors: one row (keys, bucket, cnt) per non-zero bucket.
+
+    Tokens are exploded and bucketed outside any lambda, so the md5 runs in
+    generated code; the count is a hash aggregate whose map side already
+    sees every token of a sentence (they come from one input row), so the
+    shuffle carries only the final sparse entries.
+    """
+    tok = sents.select(*keys, F.explode(vx.tokens(F.col("sentence"))).alias("_t"))
+    tok = tok.select(*keys, vx.md5_bucket(F.col("_t"), dim).alias("bucket"))
+    return tok.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).cast("long").alias("cnt"))

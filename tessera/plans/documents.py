@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions import text as tx
 from tessera.functions import vectors as vx
 from tessera.operators import silver
+from tessera.operators.partitioning import spread_for_cpu
 from tessera.plans import roles
 from tessera.plans.registry import query
 from tessera.plans.roles import FULL_TEXT_SQL, with_views
@@ -19,13 +20,13 @@ USABLE = "doc_text IS NOT NULL AND doc_text <> 'null' AND length(doc_text) > 10"
 
 @query("txt_clean", f"SELECT doc_id, {clean_function_sql('text')} AS cleaned FROM documents")
 def txt_clean(spark, sf_dir):
-    d = Tables(spark, sf_dir).documents
+    d = spread_for_cpu(Tables(spark, sf_dir).documents.select("doc_id", "text"))
     return d.select("doc_id", tx.clean_text(F.col("text"), "function").alias("cleaned"))
 
 
 @query("txt_clean_pipeline", f"SELECT doc_id, {clean_pipeline_sql('text')} AS cleaned FROM documents")
 def txt_clean_pipeline(spark, sf_dir):
-    d = Tables(spark, sf_dir).documents
+    d = spread_for_cpu(Tables(spark, sf_dir).documents.select("doc_id", "text"))
     return d.select("doc_id", tx.clean_text(F.col("text"), "pipeline").alias("cleaned"))
 
 
@@ -55,10 +56,8 @@ def vec_hash_encode(spark, sf_dir):
     """Sparse view of the hashed sentence vectors: one row per non-zero
     bucket (doc_id, sentence_index, bucket, cnt)."""
     ft = roles.full_text(Tables(spark, sf_dir))
-    v = silver.sentence_vectors(silver.sentences(silver.cleaned_documents(ft, None)))
-    e = v.select("doc_id", "sentence_index", F.posexplode("embedding").alias("bucket", "cnt"))
-    return e.filter(F.col("cnt") > 0).select(
-        "doc_id", "sentence_index", F.col("bucket").cast("long"), F.col("cnt").cast("long"))
+    sents = silver.sentences(silver.cleaned_documents(ft, None))
+    return silver.sparse_hash_counts(sents, DIM)
 
 
 SILVER_SQL = f"""
