@@ -1,0 +1,55 @@
+"""Exact all-pairs comparison in bounded blocks (a distributed self-join
+without a cross join and without collecting any group).
+
+Rows are hash-assigned to ``k = ceil(n / chunk_rows)`` chunks.  Every row is
+replicated to the ``k`` unordered chunk pairs ``{c, o}`` it takes part in
+and each chunk pair is one ``applyInPandas`` group holding at most
+``2 * chunk_rows`` rows, whatever the skew of any key.  The group function
+compares its two chunks (or one chunk with itself) with vectorised code
+and returns only the pairs that pass its test, so no pair table of all
+pairs is ever materialised.  Shuffle volume is ``n * k`` rows; work per
+task is ``chunk_rows**2`` comparisons.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+PairFn = Callable[[pd.DataFrame, pd.DataFrame, bool], pd.DataFrame]
+
+
+def n_chunks(n_rows: int, chunk_rows: int) -> int:
+    return max(1, math.ceil(n_rows / max(1, chunk_rows)))
+
+
+def block_pairs(df: DataFrame, id_col: str, pair_fn: PairFn, schema: str,
+                chunk_rows: int = 1024, n_rows: int | None = None) -> DataFrame:
+    """Apply ``pair_fn(left, right, same_chunk)`` to every chunk pair.
+
+    ``left``/``right`` are pandas frames with the columns of ``df``; when
+    ``same_chunk`` is true they are the same frame and ``pair_fn`` must
+    consider each unordered pair once.  ``n_rows`` (if known) saves a count.
+    """
+    n = df.count() if n_rows is None else n_rows
+    k = n_chunks(n, chunk_rows)
+    cols = df.columns
+    tagged = df.withColumn("_chunk", F.pmod(F.xxhash64(F.col(id_col)), F.lit(k)).cast("int"))
+    rep = tagged.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
+    rep = rep.withColumn("_bi", F.least("_chunk", "_other")).withColumn("_bj", F.greatest("_chunk", "_other"))
+    rep = rep.drop("_other")
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        bi, bj = int(pdf["_bi"].iat[0]), int(pdf["_bj"].iat[0])
+        if bi == bj:
+            part = pdf[cols].reset_index(drop=True)
+            return pair_fn(part, part, True)
+        left = pdf.loc[pdf["_chunk"] == bi, cols].reset_index(drop=True)
+        right = pdf.loc[pdf["_chunk"] == bj, cols].reset_index(drop=True)
+        return pair_fn(left, right, False)
+
+    return rep.groupBy("_bi", "_bj").applyInPandas(run, schema)

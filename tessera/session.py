@@ -65,3 +65,16 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tessera-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, tag: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back.  Used by iterative jobs to cut lineage each round: a fresh scan
+    carries neither the lineage nor the optimizer constraints of the
+    rounds before (``Dataset.checkpoint`` keeps the latter, and they grow
+    with every round), and the files survive the loss of any executor.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, tag)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
