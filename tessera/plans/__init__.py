@@ -1,4 +1,4 @@
 """Query plans.  Importing this package registers every query."""
 
-from tessera.plans import documents, io, names, relational, vectors  # noqa: F401
+from tessera.plans import documents, extras, io, names, relational, stream, vectors  # noqa: F401
 from tessera.plans.registry import ORACLES, QUERIES  # noqa: F401
