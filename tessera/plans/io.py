@@ -136,7 +136,7 @@ def src_doc_extract(spark, sf_dir):
 
 
 @query("sink_json_snapshot", """
-SELECT doc_id, to_json({'doc_id': doc_id, 'lang': lang, 'source': source}) AS record
+SELECT doc_id, CAST(to_json({'doc_id': doc_id, 'lang': lang, 'source': source}) AS VARCHAR) AS record
 FROM documents ORDER BY doc_id LIMIT 10""")
 def sink_json_snapshot(spark, sf_dir):
     d = Tables(spark, sf_dir).documents.select("doc_id", "lang", "source")
