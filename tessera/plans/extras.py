@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tessera.operators import distinct_text, silver
+from tessera.operators.partitioning import spread_for_cpu
+from tessera.session import materialize
 from tessera.plans import roles
 from tessera.plans.documents import CLEANED_SQL, HASH_SQL
 from tessera.plans.registry import query
@@ -23,7 +25,7 @@ SELECT session, term, CAST(tf AS BIGINT) AS tf, CAST(df AS BIGINT) AS df, round(
        CAST(rk AS BIGINT) AS rank FROM r WHERE rk <= {TOP_TERMS}""", ft=FULL_TEXT_SQL))
 def doc_tfidf(spark, sf_dir):
     """Terms that set one session's documents apart from the others."""
-    ft = roles.full_text(Tables(spark, sf_dir))
+    ft = spread_for_cpu(roles.full_text(Tables(spark, sf_dir)))
     return distinct_text.tfidf_top_terms(ft, "session", "doc_text", TOP_TERMS)
 
 
@@ -44,4 +46,57 @@ def doc_distinctive_sentence(spark, sf_dir):
     average sentence (lowest cosine to the mean vector)."""
     ft = roles.full_text(Tables(spark, sf_dir))
     sparse = silver.sparse_hash_counts(silver.sentences(silver.cleaned_documents(ft, None)))
-    return distinct_text.distinctive_sentences(sparse)
+    # four aggregates read the sparse counts: write them once
+    return distinct_text.distinctive_sentences(materialize(sparse, "sparse-sentences"))
+
+
+# ------------------------------------------------- co-testimony
+from pyspark.sql import functions as F  # noqa: E402
+
+from tessera.operators import cooccur, sets  # noqa: E402
+from tessera.plans.roles import TESTIMONY_SQL  # noqa: E402
+
+STRONG_AFFINITY = 0.035
+TOP_PAIRS = 10
+
+AFFINITY_SQL = f"""
+WITH ob AS (SELECT DISTINCT Organization AS org, LDNumber AS bill FROM ({TESTIMONY_SQL}) th
+            WHERE Organization IS NOT NULL AND LDNumber IS NOT NULL),
+n AS (SELECT org, count(*) AS n FROM ob GROUP BY org),
+co AS (SELECT a.org AS item_a, b.org AS item_b, count(*) AS shared FROM ob a JOIN ob b
+       ON a.bill = b.bill AND a.org < b.org GROUP BY 1, 2),
+af AS (SELECT co.item_a, co.item_b, CAST(co.shared AS BIGINT) AS shared, CAST(na.n AS BIGINT) AS n_a,
+              CAST(nb.n AS BIGINT) AS n_b, co.shared / (na.n + nb.n) AS affinity
+       FROM co JOIN n na ON na.org = co.item_a JOIN n nb ON nb.org = co.item_b)"""
+
+
+def _affinity(t: Tables):
+    th = roles.testimony(t).select("Organization", "LDNumber")
+    return cooccur.affinity(th, "Organization", "LDNumber")
+
+
+@query("doc_affinity", AFFINITY_SQL + """
+SELECT item_a, item_b, shared, n_a, n_b, round(affinity, 6) AS affinity FROM af""")
+def doc_affinity(spark, sf_dir):
+    """Affinity of two organisations: bills both testified on / (bills of
+    A + bills of B), for every pair sharing a bill."""
+    a = _affinity(Tables(spark, sf_dir))
+    return a.select("item_a", "item_b", "shared", "n_a", "n_b", F.round("affinity", 6).alias("affinity"))
+
+
+@query("doc_cotestimony", AFFINITY_SQL + f"""
+SELECT item_a AS source, item_b AS target, round(affinity, 6) AS weight FROM af WHERE affinity >= {STRONG_AFFINITY}""")
+def doc_cotestimony(spark, sf_dir):
+    """Edge list of the normalised co-testimony graph, strong edges only."""
+    a = _affinity(Tables(spark, sf_dir)).filter(F.col("affinity") >= STRONG_AFFINITY)
+    return a.select(F.col("item_a").alias("source"), F.col("item_b").alias("target"),
+                    F.round("affinity", 6).alias("weight"))
+
+
+@query("doc_frequent_pairs", AFFINITY_SQL + f"""
+SELECT item_a, item_b, shared FROM af ORDER BY shared DESC, item_a, item_b LIMIT {TOP_PAIRS}""")
+def doc_frequent_pairs(spark, sf_dir):
+    """'Frequent fliers': the organisation pairs on the most bills together
+    (a top-k report)."""
+    a = _affinity(Tables(spark, sf_dir)).select("item_a", "item_b", "shared")
+    return sets.top_k(a, TOP_PAIRS, F.desc("shared"), F.asc("item_a"), F.asc("item_b"))
