@@ -57,7 +57,8 @@ def _nfkc(s: pd.Series) -> pd.Series:
 def nfkc(col: Column) -> Column:
     """NFKC normalisation; the UDF is handed a null for rows made only of
     NFKC-stable characters, so Python touches only the rare rows."""
-    needs = col.rlike(f"[^{NFKC_STABLE}]")
+    # pure-ASCII rows (byte length == character length) skip the regex
+    needs = (F.octet_length(col) != F.length(col)) & col.rlike(f"[^{NFKC_STABLE}]")
     return F.coalesce(_nfkc(F.when(needs, col)), col)
 
 

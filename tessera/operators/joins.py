@@ -32,10 +32,11 @@ def semi(df: DataFrame, other: DataFrame, left: str, right: str) -> DataFrame:
 def lookup_with_default(df: DataFrame, lookup: DataFrame, key: str, value: str,
                         default: str = "Other", keep: list[str] | None = None,
                         out: str | None = None) -> DataFrame:
-    """Left join to a small key->value map; unmapped keys, and values outside
-    ``keep`` when given, become ``default``."""
+    """Left join to a key->value map; unmapped keys, and values outside
+    ``keep`` when given, become ``default``.  The map is broadcast only if
+    the planner measures it below the broadcast threshold."""
     out = out or value
-    lk = F.broadcast(lookup.select(F.col(key).alias("_lk"), F.trim(F.col(value)).alias("_lv")))
+    lk = lookup.select(F.col(key).alias("_lk"), F.trim(F.col(value)).alias("_lv"))
     j = df.join(lk, df[key] == lk["_lk"], "left")
     v = F.col("_lv")
     if keep is not None:
