@@ -10,10 +10,14 @@ shuffle in the plan is the anti-join against the silver table.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from tessera.functions import text as tx
 from tessera.functions import vectors as vx
@@ -83,3 +87,32 @@ def sparse_hash_counts(sents: DataFrame, dim: int = DEFAULT_DIM,
     tok = sents.select(*keys, F.explode(vx.tokens(F.col("sentence"))).alias("_t"))
     tok = tok.select(*keys, vx.md5_bucket(F.col("_t"), dim).alias("bucket"))
     return tok.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+
+
+def model_encoder(load_model: Callable[[], object], dim: int) -> Encoder:
+    """Plug-in encoder: an iterator pandas UDF that loads the model once per
+    Python worker (``load_model`` returns an object with
+    ``encode(list[str]) -> array (n, dim)``) and encodes Arrow batches; the
+    batch size is ``spark.sql.execution.arrow.maxRecordsPerBatch``."""
+    @F.pandas_udf(ArrayType(FloatType()))
+    def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        model = load_model()
+        for s in batches:
+            texts = s.fillna("").tolist()
+            vecs = np.asarray(model.encode(texts), dtype=np.float32).reshape(len(texts), dim)
+            yield pd.Series(list(vecs))
+
+    return lambda c: _encode.asNondeterministic()(c)
+
+
+def silver_table_or_none(spark, path: str | None):
+    """The silver table when it exists (it is absent on the first run, in
+    which case every usable bronze document is unprocessed)."""
+    if path is None:
+        return None
+    try:
+        return spark.read.parquet(path)
+    except Exception as e:  # missing path -> no silver table yet
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return None
+        raise

@@ -326,3 +326,44 @@ def fn_parse_date(spark, sf_dir):
     txt = F.regexp_replace(F.substring("launch", 1, 11), r"\s+", " ")
     d = F.try_to_timestamp(txt, F.lit("yyyy MMM d"))
     return o.select("o_orderkey", F.date_format(d, "yyyy-MM-dd").alias("launch_date"))
+
+
+def _strip_tags_py(html: str) -> str:
+    """Pure-Python extractor used as the plug-in (same rules as the native
+    extraction); refuses documents without a body."""
+    import re
+
+    if "<body" not in html:
+        raise ValueError("no body")
+    t = re.sub(r"(?is)<script[^>]*>.*?</script>", " ", html)
+    t = re.sub(r"(?is)<style[^>]*>.*?</style>", " ", t)
+    t = re.sub(r"(?s)<[^>]*>", " ", t)
+    t = t.replace("&amp;", "&").replace("&lt;", "<").replace("&gt;", ">")
+    t = re.sub(r"[ \t\n\r\f\v]+", " ", t).strip()
+    return t or None
+
+
+@query("src_doc_extract_plugin", f"""
+WITH p AS ({PAGES_SQL}), e AS ({EXTRACT_SQL})
+SELECT p.page_id, p.session, CASE WHEN p.html LIKE '%<body%' THEN e.doc_text END AS doc_text,
+       CASE WHEN p.html LIKE '%<body%' THEN NULL ELSE 'Error: no body' END AS error
+FROM p JOIN e USING (page_id)""")
+def src_doc_extract_plugin(spark, sf_dir):
+    """Extraction through the pluggable per-document extractor: a failing
+    document becomes an 'Error: ...' row and never fails the run."""
+    p = _pages(Tables(spark, sf_dir))
+    return landing.extract_with(p, "html", _strip_tags_py, keep=("page_id", "session"))
+
+
+@query("join_anti_first_run", with_views("""
+SELECT doc_id, session FROM ft WHERE doc_text IS NOT NULL AND doc_text <> 'null' AND length(doc_text) > 10""",
+                                         ft=FULL_TEXT_SQL))
+def join_anti_first_run(spark, sf_dir):
+    """Unprocessed documents when no silver table exists yet (first run):
+    every usable bronze document."""
+    from tessera.operators import filters, joins, silver
+
+    t = Tables(spark, sf_dir)
+    existing = silver.silver_table_or_none(spark, scratch_dir(spark, "silver-absent"))
+    todo = joins.unprocessed(filters.usable_text(roles.full_text(t)), existing)
+    return todo.select("doc_id", "session")

@@ -56,3 +56,25 @@ def test_usable_text_filter(spark):
     df = spark.createDataFrame([(1, "null"), (2, "short"), (3, "Error: bad file"), (4, None)],
                                "doc_id long, doc_text string")
     assert [r.doc_id for r in usable_text(df).collect()] == [3]
+
+
+class _ToyModel:
+    """Stands in for a sentence model: character-class counts."""
+
+    loads = 0
+
+    def __init__(self):
+        _ToyModel.loads += 1
+
+    def encode(self, texts):
+        import numpy as np
+
+        return np.array([[sum(c.isalpha() for c in t), sum(c.isdigit() for c in t), len(t)] for t in texts])
+
+
+def test_model_encoder_plugin(spark):
+    df = spark.createDataFrame([(1, 0, "ab 12"), (1, 1, "xyz")], "doc_id long, sentence_index long, sentence string")
+    v = silver.sentence_vectors(df, silver.model_encoder(_ToyModel, 3), model_name="toy")
+    rows = {r.sentence_index: (list(r.embedding), r.embedding_dimension, r.model_name) for r in v.collect()}
+    assert rows[0] == ([2.0, 2.0, 5.0], 3, "toy")
+    assert rows[1] == ([3.0, 0.0, 3.0], 3, "toy")
