@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,22 +45,66 @@ def pair_scores(a: Column, b: Column) -> Column:
 PAIR_SCHEMA = "ANCHOR string, MATCH string, SIMILARITY_SCORE int"
 
 
+_ALPHABET = {c: i for i, c in enumerate("abcdefghijklmnopqrstuvwxyz0123456789_ ")}
+
+
+def _histograms(strings: list[str]) -> np.ndarray:
+    h = np.zeros((len(strings), len(_ALPHABET)), dtype=np.int16)
+    for i, s in enumerate(strings):
+        for ch in s:
+            h[i, _ALPHABET[ch]] += 1
+    return h
+
+
+def _candidates(sa: list[str], sb: list[str], threshold: int, same: bool, block: int = 256) -> np.ndarray:
+    """Exact prefilter: (i, j) pairs that can still reach ``threshold``.
+
+    combined >= T needs round(token_sort) >= 2T - 100, and token_sort is at
+    most 200 * H / (|a| + |b|) where H, the size of the character-histogram
+    intersection of the sorted strings, bounds their LCS.  Pairs below the
+    bound are dropped without running the LCS; for T <= 50 nothing is.
+    """
+    need = 2 * threshold - 100 - 0.5
+    la = np.array([len(x) for x in sa], dtype=np.float64)
+    lb = la if same else np.array([len(x) for x in sb], dtype=np.float64)
+    out = []
+    if need <= 0:
+        ii, jj = np.meshgrid(np.arange(len(sa)), np.arange(len(sb)), indexing="ij")
+        keep = np.ones_like(ii, dtype=bool)
+        if same:
+            keep &= jj > ii
+        return np.stack([ii[keep], jj[keep]], axis=1)
+    ha = _histograms(sa)
+    hb = ha if same else _histograms(sb)
+    for r0 in range(0, len(sa), block):
+        inter = np.minimum(ha[r0:r0 + block, None, :], hb[None, :, :]).sum(-1, dtype=np.int64)
+        lensum = la[r0:r0 + block, None] + lb[None, :]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            bound = np.where(lensum > 0, 200.0 * inter / lensum, 100.0)
+        keep = bound >= need
+        if same:
+            keep &= np.arange(len(sb))[None, :] > np.arange(r0, min(r0 + block, len(sa)))[:, None]
+        i, j = np.nonzero(keep)
+        out.append(np.stack([i + r0, j], axis=1))
+    return np.concatenate(out) if out else np.zeros((0, 2), dtype=np.int64)
+
+
 def _score_block(threshold: int):
     def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
         ln = left["name"].tolist()
         rn = right["name"].tolist()
         lp = [process(x) for x in ln]
         rp = lp if same else [process(x) for x in rn]
+        ls = [" ".join(sorted(x.split())) for x in lp]
+        rs = ls if same else [" ".join(sorted(x.split())) for x in rp]
         out_a, out_b, out_s = [], [], []
-        for i, (na, pa) in enumerate(zip(ln, lp)):
-            start = i + 1 if same else 0
-            for j in range(start, len(rn)):
-                pb = rp[j]
-                s = (token_sort_ratio(pa, pb) + token_set_ratio(pa, pb)) // 2
-                if s >= threshold:
-                    out_a.append(na)
-                    out_b.append(rn[j])
-                    out_s.append(s)
+        for i, j in _candidates(ls, rs, threshold, same):
+            pa, pb = lp[i], rp[j]
+            sc = (token_sort_ratio(pa, pb) + token_set_ratio(pa, pb)) // 2
+            if sc >= threshold:
+                out_a.append(ln[i])
+                out_b.append(rn[j])
+                out_s.append(sc)
         return pd.DataFrame({"ANCHOR": pd.Series(out_a, dtype="string"),
                              "MATCH": pd.Series(out_b, dtype="string"),
                              "SIMILARITY_SCORE": pd.Series(out_s, dtype="int32")})
