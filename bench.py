@@ -25,6 +25,24 @@ HEADLINE = [
 ]
 
 
+# main input table of each headline query (for rows/s)
+MAIN_TABLE = {
+    "silver_documents": "documents", "txt_clean": "documents", "txt_clean_pipeline": "documents",
+    "txt_sentences": "documents", "vec_hash_encode": "documents", "agg_stance_counts": "documents",
+    "join_anti_unprocessed": "documents", "win_org_count": "lineitem", "win_first_seen": "lineitem",
+    "agg_trend_names": "lineitem", "agg_policy_breadth": "lineitem", "join_bill_testimony": "lineitem",
+    "agg_cluster_summary": "embeddings", "join_fuzzy_pairs": "lineitem", "clu_greedy_anchor": "lineitem",
+    "vec_cosine_topk": "embeddings", "vec_knn_graph": "embeddings", "clu_dbscan": "embeddings",
+    "srch_dbscan_grid": "embeddings", "doc_affinity": "lineitem", "doc_tfidf": "documents",
+}
+
+
+def table_rows(sf_dir: str, table: str) -> int:
+    import pyarrow.parquet as pq
+
+    return pq.ParquetFile(f"{sf_dir}/{table}.parquet").metadata.num_rows
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -49,12 +67,17 @@ def main() -> None:
             times[n] = round(time.perf_counter() - t0, 3)
         except Exception as e:  # keep benchmarking the rest
             print(f"# {n} failed: {type(e).__name__}: {str(e)[:200]}", file=sys.stderr)
+    rows_per_sec = {}
+    for n, sec in times.items():
+        if n in MAIN_TABLE and sec > 0:
+            rows_per_sec[n] = round(table_rows(sf_dir, MAIN_TABLE[n]) / sec)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_sec",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "rows_per_sec": rows_per_sec,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
     }))
