@@ -86,19 +86,20 @@ def flt_session_gate(spark, sf_dir):
 def _attrs(t):
     """Testimony attributes with the flags the active filter reads:
     Inactive from the bill status (F -> true, O -> false, P -> null) and a
-    last name that starts with '@' for one brand."""
+    last name that is null for returnflag A and starts with '@' for R."""
     th = roles.testimony(t)
     o = t.orders.select(F.col("o_orderkey").alias("LDNumber"), "o_orderstatus")
     p = t.lineitem.select(((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000
-                           + F.col("l_partkey")).alias("Id"), "l_suppkey")
-    p = p.groupBy("Id").agg(F.min("l_suppkey").alias("l_suppkey"))
+                           + F.col("l_partkey")).alias("Id"), "l_suppkey", "l_returnflag")
+    p = p.groupBy("Id").agg(F.min(F.struct("l_suppkey", "l_returnflag")).alias("m")) \
+         .select("Id", "m.l_suppkey", "m.l_returnflag")
     j = th.join(o, "LDNumber").join(p, "Id")
     return j.select(
         "Id", "Organization", "LDNumber", "legislature", "PolicyArea",
         F.when(F.col("o_orderstatus") == "F", F.lit(True))
          .when(F.col("o_orderstatus") == "O", F.lit(False)).alias("Inactive"),
-        F.when(F.col("l_suppkey") % 10 == 3, F.lit(None).cast("string"))
-         .when(F.col("l_suppkey") % 10 == 7, F.concat(F.lit("@"), F.col("l_suppkey").cast("string")))
+        F.when(F.col("l_returnflag") == "A", F.lit(None).cast("string"))
+         .when(F.col("l_returnflag") == "R", F.concat(F.lit("@"), F.col("l_suppkey").cast("string")))
          .otherwise(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).alias("LastName"),
     )
 
@@ -106,13 +107,15 @@ def _attrs(t):
 ATTRS_SQL = f"""
 SELECT th.Id, th.Organization, th.LDNumber, th.legislature, th.PolicyArea,
        CASE WHEN o.o_orderstatus = 'F' THEN TRUE WHEN o.o_orderstatus = 'O' THEN FALSE END AS Inactive,
-       CASE WHEN l.l_suppkey % 10 = 3 THEN NULL
-            WHEN l.l_suppkey % 10 = 7 THEN '@' || CAST(l.l_suppkey AS VARCHAR)
+       CASE WHEN l.l_returnflag = 'A' THEN NULL
+            WHEN l.l_returnflag = 'R' THEN '@' || CAST(l.l_suppkey AS VARCHAR)
             ELSE 'S' || CAST(l.l_suppkey AS VARCHAR) END AS LastName
 FROM ({TESTIMONY_SQL}) th
 JOIN orders o ON o.o_orderkey = th.LDNumber
-JOIN (SELECT (l_orderkey * 10 + l_linenumber) * 100000 + l_partkey AS Id, min(l_suppkey) AS l_suppkey
-      FROM lineitem GROUP BY 1) l ON l.Id = th.Id
+JOIN (SELECT Id, m.l_suppkey AS l_suppkey, m.l_returnflag AS l_returnflag FROM (
+        SELECT (l_orderkey * 10 + l_linenumber) * 100000 + l_partkey AS Id,
+               min({{'l_suppkey': l_suppkey, 'l_returnflag': l_returnflag}}) AS m
+        FROM lineitem GROUP BY 1) x) l ON l.Id = th.Id
 """
 
 
@@ -166,10 +169,10 @@ def flt_label_eq(spark, sf_dir):
 
 @query("flt_not_null_date", """
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS filed
-FROM orders WHERE o_orderdate IS NOT NULL AND o_orderstatus = 'P'""")
+FROM orders WHERE o_orderdate IS NOT NULL""")
 def flt_not_null_date(spark, sf_dir):
     o = Tables(spark, sf_dir).orders
-    o = filters.not_null(o, "o_orderdate").filter(F.col("o_orderstatus") == "P")
+    o = filters.not_null(o, "o_orderdate")
     return o.select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("filed"))
 
 
