@@ -10,7 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tessera.operators import aggs
 from tessera.plans import roles
-from tessera.plans.registry import QUERIES, query
+from tessera.plans.registry import ORACLES, QUERIES, query
 from tessera.plans.roles import BILLS_SQL, FULL_TEXT_SQL, with_views
 from tessera.session import scratch_dir
 from tessera.sources import landing, sinks
@@ -242,7 +242,8 @@ def _experiment_log(spark, sf_dir):
     return spark.read.parquet(path)
 
 
-@query("sink_experiment_log")
+@query("sink_experiment_log", ORACLES["srch_report"].replace(
+    "SELECT param_id, CAST(count(DISTINCT name)", f"SELECT '{RUN_ID}' AS run_id, param_id, CAST(count(DISTINCT name)", 1))
 def sink_experiment_log(spark, sf_dir):
     """All search results with parameters and scores, partitioned by run."""
     return _experiment_log(spark, sf_dir)
