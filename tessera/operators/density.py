@@ -47,6 +47,22 @@ def grid(eps_values, min_samples_values) -> list[Setting]:
     return out
 
 
+def search_settings(search_type: str, eps_values, min_samples_values, n_iter: int | None = None,
+                    seed: int = 42) -> list[Setting]:
+    """Settings of a search: the whole grid, or ``n_iter`` of them drawn
+    without replacement in a repeatable md5 order for ``random``.  Any
+    other search type is an error."""
+    import hashlib
+
+    full = grid(eps_values, min_samples_values)
+    if search_type == "grid":
+        return full
+    if search_type == "random":
+        key = lambda s: hashlib.md5(f"{seed}|{s.param_id}".encode()).hexdigest()
+        return sorted(full, key=key)[: (n_iter or len(full))]
+    raise ValueError(f"unknown search type {search_type!r}; use 'grid' or 'random'")
+
+
 def dedupe_points(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
     """(points: id, vec, weight), (members: orig_id, id).  Identical vectors
     become one point (smallest id) whose weight is their count."""

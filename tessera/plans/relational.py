@@ -148,8 +148,10 @@ def src_testimony_attrs(spark, sf_dir):
     a = filters.active_testimony(_attrs(t))
     req = roles.bills(t).select(F.col("paperNumber").alias("LDNumber"), "legislature").distinct()
     a = a.join(req, ["LDNumber", "legislature"], "left_semi")
-    return a.select("Id", "Organization", "LastName", "legislature", "LDNumber",
-                    F.col("legislature").alias("request_legislature"))
+    out = a.select("Id", "Organization", "LastName", "legislature", "LDNumber",
+                   F.col("legislature").alias("request_legislature"))
+    # the API's order: last name, then organisation (nulls first), then id
+    return out.orderBy(F.asc_nulls_first("LastName"), F.asc_nulls_first("Organization"), "Id")
 
 
 @query("flt_like_lower", """

@@ -73,22 +73,28 @@ def html_to_text(html: Column) -> Column:
 
 
 def extract_with(df: DataFrame, content: str, extractor, out_schema: str = "doc_text string, error string",
-                 keep: tuple[str, ...] = ()) -> DataFrame:
+                 keep: tuple[str, ...] = (), tries: int = 3) -> DataFrame:
     """Run a pluggable per-document extractor (e.g. a PDF parser) in Arrow
-    batches.  A failing document yields ``error = 'Error: <msg>'`` and a
-    null text; the job itself never fails on one bad file."""
+    batches.  Each document is tried up to ``tries`` times; one that still
+    fails yields ``error = 'Error: <msg>'`` and a null text, so the job
+    itself never fails on one bad file."""
     fields = [f.strip().split()[0] for f in out_schema.split(",")]
 
     def run(batches):
         for pdf in batches:
             texts, errors = [], []
             for blob in pdf[content]:
-                try:
-                    texts.append(extractor(blob))
-                    errors.append(None)
-                except Exception as e:  # one bad document must not stop the batch
+                last = None
+                for _ in range(max(1, tries)):
+                    try:
+                        texts.append(extractor(blob))
+                        errors.append(None)
+                        break
+                    except Exception as e:  # one bad document must not stop the batch
+                        last = e
+                else:
                     texts.append(None)
-                    errors.append(f"Error: {e}")
+                    errors.append(f"Error: {last}")
             out = pdf[list(keep)].copy()
             out[fields[0]] = pd.Series(texts, dtype="string")
             out[fields[1]] = pd.Series(errors, dtype="string")

@@ -117,3 +117,25 @@ def test_merge_twice_is_once(spark):
     rows = sorted(tuple(r) for r in twice.collect())
     assert rows == sorted(tuple(r) for r in once.collect())
     assert rows == [(1, "a", 1), (2, "B2", 3), (3, "c", 2)]
+
+
+def test_search_settings():
+    g = density.search_settings("grid", [0.5, 0.6], [3, 4])
+    assert [(s.eps, s.min_samples) for s in g] == [(0.5, 3), (0.5, 4), (0.6, 3), (0.6, 4)]
+    r = density.search_settings("random", [0.5, 0.6], [3, 4], n_iter=2)
+    assert len(r) == 2 and r == density.search_settings("random", [0.5, 0.6], [3, 4], n_iter=2)
+    with pytest.raises(ValueError):
+        density.search_settings("bayes", [0.5], [3])
+
+
+def test_encoder_in_ml_pipeline(spark):
+    from pyspark.ml import Pipeline
+
+    from tessera.operators.ml import HashingSentenceEncoder
+
+    df = spark.createDataFrame([("the cat the",), ("",)], "sentence string")
+    model = Pipeline(stages=[HashingSentenceEncoder(numFeatures=8, normalize=True)]).fit(df)
+    rows = model.transform(df).collect()
+    assert len(rows[0].embedding) == 8
+    assert abs(sum(x * x for x in rows[0].embedding) - 1.0) < 1e-5
+    assert sum(rows[1].embedding) == 0.0
