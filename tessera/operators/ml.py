@@ -28,7 +28,10 @@ class HashingSentenceEncoder(Transformer, HasInputCol, HasOutputCol, DefaultPara
         self._set(**self._input_kwargs)
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        v = vx.hash_vector(F.col(self.getInputCol()), self.getOrDefault(self.numFeatures))
+        out = self.getOutputCol()
+        df = df.withColumn(out, vx.hash_vector(F.col(self.getInputCol()), self.getOrDefault(self.numFeatures)))
         if self.getOrDefault(self.normalize):
-            v = vx.to_float_array(vx.l2_normalize(v))
-        return df.withColumn(self.getOutputCol(), v)
+            # a second projection: the (non-deterministic) UDF result is not
+            # inlined into the lambda of the normalisation
+            df = df.withColumn(out, vx.to_float_array(vx.l2_normalize(F.col(out))))
+        return df
