@@ -139,3 +139,14 @@ def test_encoder_in_ml_pipeline(spark):
     assert len(rows[0].embedding) == 8
     assert abs(sum(x * x for x in rows[0].embedding) - 1.0) < 1e-5
     assert sum(rows[1].embedding) == 0.0
+
+
+def test_eps_edges_euclidean(spark):
+    e, ids, _ = _load(spark)
+    raw = np.array([r.embedding for r in e.orderBy("vec_id").collect()], dtype=np.float64)
+    d = np.sqrt(((raw[:, None, :] - raw[None, :, :]) ** 2).sum(-1))
+    eps = float(np.quantile(d[np.triu_indices(len(d), 1)], 0.01))
+    want = {(int(ids[i]), int(ids[j])) for i, j in zip(*np.nonzero(np.triu(d <= eps, 1)))}
+    got = {(r.src, r.dst) for r in neighbours.eps_edges(e, "vec_id", "embedding", eps, "euclidean",
+                                                            chunk_rows=70).collect()}
+    assert got == want
