@@ -24,8 +24,8 @@ def components(vertices: DataFrame, edges: DataFrame, keys: list[str] | None = N
     both = edges.select(*keys, "src", "dst").unionByName(
         edges.select(*keys, F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
     both = materialize(both, "cc-edges")
-    labels = materialize(vertices.select(*keys, F.col(vid).alias("id")).distinct()
-                         .withColumn("comp", F.col("id")), "cc-labels")
+    # initial labels: every vertex its own (vertices come from a written table)
+    labels = vertices.select(*keys, F.col(vid).alias("id")).distinct().withColumn("comp", F.col("id"))
     while True:
         nb = (both.join(labels.select(*keys, F.col("id").alias("src"), F.col("comp").alias("nb_comp")),
                         keys + ["src"])
@@ -33,10 +33,11 @@ def components(vertices: DataFrame, edges: DataFrame, keys: list[str] | None = N
         step = (labels.join(nb.withColumnRenamed("dst", "id"), keys + ["id"], "left")
                       .select(*keys, "id", "comp",
                               F.least("comp", F.coalesce("nb_min", "comp")).alias("new")))
-        # pointer jumping: follow the new label once more
-        hop = step.select(*keys, F.col("id").alias("new"), F.col("new").alias("hop"))
-        step = (step.join(hop, keys + ["new"], "left")
-                    .select(*keys, "id", "comp", F.least("new", F.coalesce("hop", "new")).alias("new")))
+        # pointer jumping: follow the new label two more hops
+        for _ in range(2):
+            hop = step.select(*keys, F.col("id").alias("new"), F.col("new").alias("hop"))
+            step = (step.join(hop, keys + ["new"], "left")
+                        .select(*keys, "id", "comp", F.least("new", F.coalesce("hop", "new")).alias("new")))
         step = materialize(step, "cc-step")
         changed = step.filter(F.col("new") != F.col("comp")).limit(1).count()
         labels = step.select(*keys, "id", F.col("new").alias("comp"))
