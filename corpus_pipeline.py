@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import quality
+from tessera.llm import decontam, mixing, quality, simhash, tokens
 from tessera.session import materialize
 from tessera.sources.tables import Tables
 
@@ -15,7 +15,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs, rules).where("kept").select(*docs.columns)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest doc_id of every fingerprint component."""
+    return simhash.keep_one(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark window."""
+    return decontam.decontaminate(docs, Tables(spark, sf_dir).benchmark)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated or left out so that sources near their targets."""
+    return mixing.mix(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token files of the mixed documents and, per document copy, its place."""
+    import public_tokenizers
+
+    return tokens.tokenise_and_check(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_dedup),
+    ("benchmark_decontamination", decontamination),
+    ("source_mixing", source_mixing),
+    ("token_ids", token_ids),
+]
 
 #: Fingerprint components, hash windows and token ids are beyond SQL.
 ORACLE_SQL = None

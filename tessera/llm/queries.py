@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import quality, simhash
+from tessera.llm import decontam, mixing, quality, simhash, tokens
 from tessera.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,27 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(Tables(spark, sf_dir).documents)
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("op3_benchmark_decontamination")
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    hits = decontam.find_hits(t.documents, t.benchmark)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"] + 1)
+    return hits.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+@query("op10_token_ids")
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return tokens.tokenise_and_check(Tables(spark, sf_dir).documents, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op5_source_mixing")
+def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = mixing.draws(Tables(spark, sf_dir).documents, ["doc_id"])
+    return drawn.select("doc_id", "size", "source_size", "target",
+                        (F.size("shards") * F.col("size")).alias("taken"), "shards")
