@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, mixing, quality, simhash, tokens
+from tessera.llm import decontam, licenses, mixing, quality, simhash, tokens, urls, warc
+from tessera.session import scratch_dir
 from tessera.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +62,21 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = mixing.draws(Tables(spark, sf_dir).documents, ["doc_id"])
     return drawn.select("doc_id", "size", "source_size", "target",
                         (F.size("shards") * F.col("size")).alias("taken"), "shards")
+
+
+@query("op2_license_scan")
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(Tables(spark, sf_dir).documents)
+
+
+@query("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return urls.judge(t.pages, t.labels)
+
+
+@query("op9_warc")
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_dir(spark, "llm-warc")
+    warc.write(Tables(spark, sf_dir).pages, path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
