@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, licenses, mixing, quality, simhash, tokens, urls, warc
+from tessera.llm import decontam, licenses, lines, mixing, quality, simhash, tokens, urls, warc
 from tessera.session import scratch_dir
 from tessera.sources.tables import Tables
 
@@ -80,3 +80,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "llm-warc")
     warc.write(Tables(spark, sf_dir).pages, path)
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op1_line_dedup")
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_classes(Tables(spark, sf_dir).documents)
