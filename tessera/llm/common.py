@@ -44,3 +44,16 @@ def saved(df: DataFrame, tag: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: later jobs then
     neither recompute the rows nor depend on one executor's memory."""
     return materialize(df, f"llm-{tag}")
+
+
+def maybe_in(df: DataFrame, key: str, keys: DataFrame, words: int = 1 << 19) -> DataFrame:
+    """``df`` with a boolean ``_maybe``: false only where ``key`` is surely
+    not among ``keys.key``.  The broadcast is a bitmap of at most ``words``
+    rows of 64 bits, whatever the number of keys; when it fills up it lets
+    more rows through and the exact join behind it does the rest."""
+    bit = F.xxhash64(F.col(key), F.lit("maybe"))
+    word, place = F.pmod(F.shiftrightunsigned(bit, 6), F.lit(words)), F.pmod(bit, F.lit(64)).cast("int")
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), place)
+    bitmap = keys.select(word.alias("_word"), mark.alias("_mark")).groupBy("_word").agg(F.bit_or("_mark").alias("_bits"))
+    return (df.withColumn("_word", word).join(F.broadcast(bitmap), "_word", "left")
+            .withColumn("_maybe", F.coalesce(F.col("_bits").bitwiseAND(mark) != 0, F.lit(False))).drop("_word", "_bits"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, licenses, lines, mixing, quality, simhash, tokens, urls, warc
+from tessera.llm import decontam, licenses, lines, mixing, quality, simhash, suffix, tokens, urls, warc
 from tessera.session import scratch_dir
 from tessera.sources.tables import Tables
 
@@ -85,3 +85,8 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_line_dedup")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_classes(Tables(spark, sf_dir).documents)
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(Tables(spark, sf_dir).documents, digest=True).withColumnRenamed("kept", "kept_sha256")
