@@ -70,10 +70,10 @@ def counts_with_group_rank(df: DataFrame, family: str, member: str) -> DataFrame
     families by total (largest first, name breaks ties).  The total is a
     window over the already aggregated (small) table, not over raw rows."""
     cnt = group_count(df, [family, member], "cnt")
-    w = Window.partitionBy(family)
-    cnt = cnt.withColumn("family_total", F.sum("cnt").over(w).cast("long"))
-    order = Window.orderBy(F.desc("family_total"), F.asc(family))
-    return cnt.withColumn("family_rank", F.dense_rank().over(order).cast("long"))
+    totals = df.groupBy(family).agg(F.count(F.lit(1)).cast("long").alias("family_total"))
+    order = Window.orderBy(F.desc("family_total"), F.asc(family))  # one row per family
+    ranked = totals.withColumn("family_rank", F.dense_rank().over(order).cast("long")).withColumnRenamed(family, "_family")
+    return cnt.join(ranked, F.col(family).eqNullSafe(F.col("_family"))).drop("_family")
 
 
 def grouped_ols(df: DataFrame, group: str, y: str, x: str, digits: int = 6) -> DataFrame:
@@ -142,15 +142,19 @@ def representative_by_mode(df: DataFrame, cluster: str, name: str, order: str,
 def cluster_summary(df: DataFrame, cluster: str, name: str, k: int) -> DataFrame:
     """Per cluster: sorted distinct names and row count; the k largest
     clusters (ties by cluster id).  The top-k is a TakeOrdered, not a sort."""
-    per = df.groupBy(cluster, name).agg(F.count(F.lit(1)).alias("_n"))
-    summ = per.groupBy(cluster).agg(
-        F.concat_ws(",", F.array_sort(F.collect_list(F.col(name)))).alias("names"),
-        F.sum("_n").cast("long").alias("count"),
-    )
-    return summ.orderBy(F.desc("count"), F.asc(cluster)).limit(k)
+    top = (df.groupBy(cluster).agg(F.count(F.lit(1)).cast("long").alias("count"))
+             .orderBy(F.desc("count"), F.asc(cluster)).limit(k))
+    # names are gathered for the k clusters only
+    names = (df.select(F.col(cluster).alias("_c"), name).join(top.select(F.col(cluster).alias("_t")), F.col("_c").eqNullSafe(F.col("_t")), "left_semi")
+               .distinct().groupBy("_c").agg(F.concat_ws(",", F.array_sort(F.collect_list(F.col(name)))).alias("names")))
+    return top.join(names, F.col(cluster).eqNullSafe(F.col("_c"))).select(cluster, "names", "count")
 
 
 def repeat_by_weight(df: DataFrame, weight: str) -> DataFrame:
     """Materialise a weight as repeated rows (parity helper only; the
-    clustering code consumes the weight column directly)."""
-    return df.withColumn("_rep", F.explode(F.array_repeat(F.lit(1), F.col(weight).cast("int")))).drop("_rep")
+    clustering code consumes the weight column directly).  A weight is dealt
+    in blocks, so no array grows with a hot key."""
+    w, block = F.col(weight).cast("long"), 1024
+    blocks = df.where(w > 0).withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((w - 1) / block))))
+    size = F.least(F.lit(block).cast("long"), w - F.col("_b") * block).cast("int")
+    return blocks.withColumn("_rep", F.explode(F.array_repeat(F.lit(1), size))).drop("_b", "_rep")

@@ -115,10 +115,12 @@ def fuzzy_pairs(df: DataFrame, name_col: str, threshold: int = 80, chunk_rows: i
     names = df.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
     names = materialize(names, "fuzzy-names")   # read k times by the block join
     half = block_pairs(names, "name", _score_block(threshold), PAIR_SCHEMA, chunk_rows=chunk_rows)
-    mirror = half.select(F.col("MATCH").alias("ANCHOR"), F.col("ANCHOR").alias("MATCH"), "SIMILARITY_SCORE")
+    # both directions of a pair from one scoring pass
+    flip = F.struct(F.col("MATCH").alias("ANCHOR"), F.col("ANCHOR").alias("MATCH"), "SIMILARITY_SCORE")
+    both = half.select(F.explode(F.array(F.struct("ANCHOR", "MATCH", "SIMILARITY_SCORE"), flip)).alias("p")).select("p.*")
     self_pairs = names.select(F.col("name").alias("ANCHOR"), F.col("name").alias("MATCH"),
                               F.lit(100).alias("SIMILARITY_SCORE"))
-    return half.unionByName(mirror).unionByName(self_pairs)
+    return both.unionByName(self_pairs)
 
 
 def greedy_anchors(names: DataFrame, pairs: DataFrame, name_col: str = "name") -> DataFrame:

@@ -75,14 +75,11 @@ def topk_neighbours(df: DataFrame, id_col: str, vec_col: str, k: int, metric: st
             d = d.copy()
             d[ids_row[:, None] == ids_col[None, :]] = np.inf
         kk = min(k, d.shape[1])
-        # order by (distance, neighbour id): lexsort per row on the k smallest
-        part = np.argpartition(d, kk - 1, axis=1)[:, :kk] if kk < d.shape[1] else np.tile(np.arange(d.shape[1]), (d.shape[0], 1))
+        cut = np.partition(d, kk - 1, axis=1)[:, kk - 1]
         for r in range(d.shape[0]):
-            cols = part[r]
-            # include ties at the boundary so the global order by id is exact
-            cut = d[r, cols].max()
-            cols = np.nonzero(d[r] <= cut)[0]
-            cols = cols[np.isfinite(d[r, cols])]
+            # the final order is (distance, neighbour id), so the first k of it suffice, ties included
+            cols = np.nonzero((d[r] <= cut[r]) & np.isfinite(d[r]))[0]
+            cols = cols[np.lexsort((ids_col[cols], d[r, cols]))[:kk]]
             out_i.extend([ids_row[r]] * len(cols))
             out_j.extend(ids_col[cols].tolist())
             out_d.extend(d[r, cols].tolist())

@@ -22,7 +22,6 @@ from pyspark.sql.types import ArrayType, FloatType
 from tessera.functions import text as tx
 from tessera.functions import vectors as vx
 from tessera.operators import filters, joins
-from tessera.operators.partitioning import spread_for_cpu
 
 DEFAULT_DIM = 64
 HASH_MODEL = "md5-feature-hash"
@@ -37,7 +36,6 @@ def hash_encoder(dim: int = DEFAULT_DIM) -> Encoder:
 def cleaned_documents(bronze: DataFrame, silver: DataFrame | None, mode: str = "pipeline",
                       text: str = "doc_text") -> DataFrame:
     todo = joins.unprocessed(filters.usable_text(bronze, text), silver)
-    todo = spread_for_cpu(todo)
     return todo.withColumn("doc_text", tx.clean_text(F.col(text), mode))
 
 

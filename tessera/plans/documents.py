@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tessera.functions import text as tx
 from tessera.functions import vectors as vx
 from tessera.operators import silver
-from tessera.operators.partitioning import spread_for_cpu
 from tessera.plans import roles
 from tessera.plans.registry import query
 from tessera.plans.roles import FULL_TEXT_SQL, with_views
@@ -20,13 +19,13 @@ USABLE = "doc_text IS NOT NULL AND doc_text <> 'null' AND length(doc_text) > 10"
 
 @query("txt_clean", f"SELECT doc_id, {clean_function_sql('text')} AS cleaned FROM documents")
 def txt_clean(spark, sf_dir):
-    d = spread_for_cpu(Tables(spark, sf_dir).documents.select("doc_id", "text"))
+    d = Tables(spark, sf_dir).documents.select("doc_id", "text")
     return d.select("doc_id", tx.clean_text(F.col("text"), "function").alias("cleaned"))
 
 
 @query("txt_clean_pipeline", f"SELECT doc_id, {clean_pipeline_sql('text')} AS cleaned FROM documents")
 def txt_clean_pipeline(spark, sf_dir):
-    d = spread_for_cpu(Tables(spark, sf_dir).documents.select("doc_id", "text"))
+    d = Tables(spark, sf_dir).documents.select("doc_id", "text")
     return d.select("doc_id", tx.clean_text(F.col("text"), "pipeline").alias("cleaned"))
 
 

@@ -55,6 +55,23 @@ def src_json_hits(spark, sf_dir):
         F.countDistinct("requestItemType").cast("long").alias("types"))
 
 
+@query("src_bad_pages", with_views("""
+SELECT CAST(legislature AS BIGINT) AS legislature, CAST(1 AS BIGINT) AS bad_pages, CAST(count(*) AS BIGINT) AS bills
+FROM b GROUP BY legislature""", b=BILLS_SQL))
+def src_bad_pages(spark, sf_dir):
+    """Landed pages plus one page per session that broke off after its first
+    hit: the good pages' bills are read, the bad pages are counted."""
+    t = Tables(spark, sf_dir)
+    path = _land_bill_pages(spark, t)
+    torn = (roles.bills(t).select(F.col("legislature").cast("long").alias("legislature")).distinct()
+            .select(F.format_string('{"hits":{"total":{"value":1},"hits":[{"_source":{"legislature":%d,', "legislature")))
+    torn.write.mode("append").text(path)
+    bills = landing.read_hits(spark, path, BILL_SOURCE).groupBy("legislature").agg(F.count("*").alias("bills"))
+    bad = landing.read_bad_pages(spark, path, BILL_SOURCE).groupBy(
+        F.regexp_extract("page", r'"legislature":(\d+)', 1).cast("long").alias("legislature")).agg(F.count("*").alias("bad_pages"))
+    return bad.join(bills, "legislature").select("legislature", "bad_pages", "bills")
+
+
 @query("src_flatten_nested", with_views(f"""
 SELECT CAST(t.total AS BIGINT) AS "hits.total.value", CAST(count(*) AS BIGINT) AS n_hits
 FROM b JOIN (SELECT legislature, count(*) AS total FROM b GROUP BY 1) t USING (legislature)
@@ -101,23 +118,12 @@ def sink_incremental_land(spark, sf_dir):
     t = Tables(spark, sf_dir)
     root = scratch_dir(spark, "incremental")
     pages = _pages(t)
-    first = landing.land_files(pages.join(t.labels.select(F.col("doc_id").alias("page_id")), "page_id", "left_semi"),
-                               root, "page_id", "session", "html")
-    first = first.groupBy("session").agg(F.count_if("landed").cast("long").alias("first_run"))
-    first = _collect_small(first)
-    second = landing.land_files(pages, root, "page_id", "session", "html")
-    second = second.groupBy("session").agg(F.count_if("landed").cast("long").alias("second_run"))
-    return second.join(first, "session", "left").select(
-        "session", F.coalesce("first_run", F.lit(0)).cast("long").alias("first_run"), "second_run")
-
-
-def _collect_small(df):
-    """Materialise a small per-session summary (one row per session) so the
-    landing it reports on runs exactly once, before the next step."""
-    spark = df.sparkSession
-    path = scratch_dir(spark, "summary")
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    first = landing.land_new(pages.join(t.labels.select(F.col("doc_id").alias("page_id")), "page_id", "left_semi"),
+                             root, "page_id", "session", "html")
+    second = landing.land_new(pages, root, "page_id", "session", "html")
+    runs = first.select("session", F.lit(1).alias("run")).unionByName(second.select("session", F.lit(2).alias("run")))
+    return runs.groupBy("session").agg(F.count_if(F.col("run") == 1).cast("long").alias("first_run"),
+                                       F.count_if(F.col("run") == 2).cast("long").alias("second_run"))
 
 
 EXTRACT_SQL = f"""
@@ -125,7 +131,7 @@ SELECT page_id, session,
   nullif(trim(regexp_replace(replace(replace(replace(
     regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', ' ', 'g'),
                                   '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'),
-    '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '\\s+', ' ', 'g')), '') AS doc_text
+    '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')), '') AS doc_text
 FROM ({PAGES_SQL}) p"""
 
 
@@ -203,16 +209,19 @@ def _silver_summary(t: Tables, version: int):
 
 
 @query("sink_merge_upsert", """
-SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(2 AS BIGINT) AS version FROM documents""")
+SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(CASE WHEN lang = 'en' THEN 2 ELSE 1 END AS BIGINT) AS version
+FROM documents WHERE lang = 'en' OR doc_id IN (SELECT doc_id FROM labels)""")
 def sink_merge_upsert(spark, sf_dir):
     """Target: the documents of an earlier run (those with labels), v1.
-    Batch: all documents, v2, twice (duplicates in the batch).  The merge
-    keeps one row per key, the batch's."""
+    Batch: a later run over the English documents, v2, twice (duplicates in
+    the batch).  The merge updates, inserts and keeps target rows."""
     t = Tables(spark, sf_dir)
     first = _silver_summary(t, 1).join(t.labels.select("doc_id"), "doc_id", "left_semi")
     p0 = scratch_dir(spark, "merge-0")
     first.write.mode("overwrite").parquet(p0)
-    batch = _silver_summary(t, 2).unionByName(_silver_summary(t, 2))
+    english = t.documents.where(F.col("lang") == "en").select("doc_id")
+    later = _silver_summary(t, 2).join(english, "doc_id", "left_semi")
+    batch = later.unionByName(later)
     p1 = scratch_dir(spark, "merge-1")
     merged = sinks.merge_upsert(spark, p0, batch, ["doc_id"], p1, order_col="version")
     return merged.select("doc_id", "n_chars", "version")
@@ -339,7 +348,7 @@ def _strip_tags_py(html: str) -> str:
     t = re.sub(r"(?is)<script[^>]*>.*?</script>", " ", html)
     t = re.sub(r"(?is)<style[^>]*>.*?</style>", " ", t)
     t = re.sub(r"(?s)<[^>]*>", " ", t)
-    t = t.replace("&amp;", "&").replace("&lt;", "<").replace("&gt;", ">")
+    t = t.replace("&lt;", "<").replace("&gt;", ">").replace("&amp;", "&")
     t = re.sub(r"[ \t\n\r\f\v]+", " ", t).strip()
     return t or None
 

@@ -11,6 +11,7 @@ from tessera.plans import roles
 from tessera.plans.registry import query
 from tessera.plans.roles import TESTIMONY_SQL
 from tessera.plans.sqlfuzzy import score_ctes
+from tessera.session import materialize
 from tessera.sources.tables import Tables
 
 PAIR_THRESHOLD = 80      # score matrix threshold
@@ -73,18 +74,18 @@ def join_fuzzy_pairs(spark, sf_dir):
     return _pairs(Tables(spark, sf_dir))
 
 
-ORG_COUNTS_SQL = f"SELECT Organization, count(*) AS RECORDS FROM ({TESTIMONY_SQL}) th GROUP BY Organization"
-
+# the busiest match of every name: most testimony, then smallest name
 MATCHES_SQL = f"""
-WITH cl AS ({FUZZY_PAIRS_SQL}),
-oc AS ({ORG_COUNTS_SQL}),
-cm AS (SELECT cl.*, oc.RECORDS, row_number() OVER (PARTITION BY cl.ANCHOR ORDER BY oc.RECORDS DESC, cl.MATCH ASC) AS rn
-       FROM cl JOIN oc ON cl.MATCH = oc.Organization WHERE SIMILARITY_SCORE >= {VIEW_THRESHOLD})
-SELECT DISTINCT MATCH FROM cm WHERE rn = 1"""
+SELECT DISTINCT busiest AS MATCH FROM (
+  SELECT list(close.MATCH ORDER BY volume.n DESC, close.MATCH)[1] AS busiest
+  FROM (SELECT ANCHOR, MATCH FROM ({FUZZY_PAIRS_SQL}) s WHERE SIMILARITY_SCORE >= {VIEW_THRESHOLD}) close,
+       (SELECT Organization, count(*) AS n FROM ({TESTIMONY_SQL}) t GROUP BY ALL) volume
+  WHERE volume.Organization = close.MATCH
+  GROUP BY close.ANCHOR) per_name"""
 
 
-def _matches(t: Tables):
-    pairs = _pairs(t).filter(F.col("SIMILARITY_SCORE") >= VIEW_THRESHOLD)
+def _matches(t: Tables, pairs):
+    pairs = pairs.filter(F.col("SIMILARITY_SCORE") >= VIEW_THRESHOLD)
     counts = roles.testimony(t).groupBy("Organization").agg(F.count(F.lit(1)).alias("RECORDS"))
     j = pairs.join(counts, pairs["MATCH"] == counts["Organization"])
     top = windows.top1_per_group(j, "ANCHOR", "MATCH", "RECORDS", "MATCH")
@@ -93,17 +94,19 @@ def _matches(t: Tables):
 
 @query("win_anchor_top1", MATCHES_SQL)
 def win_anchor_top1(spark, sf_dir):
-    return _matches(Tables(spark, sf_dir))
+    t = Tables(spark, sf_dir)
+    return _matches(t, _pairs(t))
 
 
 ANCHOR_VIEW_SQL = f"""
-WITH cl AS ({FUZZY_PAIRS_SQL}), m AS ({MATCHES_SQL})
-SELECT * FROM cl WHERE ANCHOR IN (SELECT MATCH FROM m WHERE lower(MATCH) LIKE '{ANCHOR_FILTER}')"""
+SELECT scored.ANCHOR, scored.MATCH, scored.SIMILARITY_SCORE FROM ({FUZZY_PAIRS_SQL}) scored
+SEMI JOIN (SELECT MATCH AS wanted FROM ({MATCHES_SQL}) top WHERE contains(lower(MATCH), '{ANCHOR_FILTER.strip("%")}')) w
+ON scored.ANCHOR = w.wanted"""
 
 
 def _anchor_view(t: Tables):
-    m = _matches(t).filter(F.lower("MATCH").like(ANCHOR_FILTER))
-    pairs = _pairs(t)
+    pairs = materialize(_pairs(t), "name-pairs")  # scored once, read by both sides
+    m = _matches(t, pairs).filter(F.lower("MATCH").like(ANCHOR_FILTER))
     return pairs.join(m.select(F.col("MATCH").alias("_m")), pairs["ANCHOR"] == F.col("_m"), "left_semi")
 
 

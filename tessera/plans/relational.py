@@ -442,13 +442,13 @@ def join_anti_unprocessed(spark, sf_dir):
 @query("join_bill_testimony", with_views("""
 SELECT b.legislature, b.paperNumber, CAST(count(*) AS BIGINT) AS n_testimony
 FROM (SELECT DISTINCT legislature, paperNumber FROM b) b
-JOIN th ON th.LDNumber = b.paperNumber
+JOIN th ON th.LDNumber = b.paperNumber AND th.legislature = b.legislature
 GROUP BY b.legislature, b.paperNumber""", b=BILLS_SQL, th=TESTIMONY_SQL))
 def join_bill_testimony(spark, sf_dir):
     t = Tables(spark, sf_dir)
     b = roles.bills(t).select("legislature", "paperNumber")
-    th = roles.testimony(t).select(F.col("LDNumber").alias("paperNumber"), "Id")
-    j = joins.parent_child(b, th, ["paperNumber"])
+    th = roles.testimony(t).select("legislature", F.col("LDNumber").alias("paperNumber"), "Id")
+    j = joins.parent_child(b, th, ["legislature", "paperNumber"])  # a paper number recurs in every session
     return aggs.group_count(j, ["legislature", "paperNumber"], "n_testimony")
 
 

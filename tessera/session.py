@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -50,11 +51,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that
+    Python workers can import it wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_tessera_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tessera-pkg-"), "tessera.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.join("tessera", os.path.relpath(full, root)))
+    sc.addPyFile(path)
+    sc._tessera_shipped = True
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables under the checkpoint root.
 

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from tessera.session import materialize
+
 
 def hits_schema(source: StructType) -> StructType:
     """Shape of one search-API response page: hits.total.value and
@@ -29,9 +31,21 @@ def hits_schema(source: StructType) -> StructType:
 
 def read_hits(spark: SparkSession, path: str, source: StructType) -> DataFrame:
     """One row per ``_source`` of every landed page."""
-    pages = (spark.read.schema(hits_schema(source)).option("mode", "PERMISSIVE")
-                  .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
-    return pages.select(F.explode("hits.hits").alias("h")).select("h._source.*")
+    return _pages(spark, path, source).select(F.explode("hits.hits").alias("h")).select("h._source.*")
+
+
+def read_bad_pages(spark: SparkSession, path: str, source: StructType) -> DataFrame:
+    """(file, page) of every landed page that is not valid JSON: ``read_hits``
+    has no row of it, so it is reported here instead of vanishing."""
+    pages = _pages(spark, path, source).withColumn("file", F.input_file_name())
+    # a corrupt-record column cannot be read alone, hence the second column
+    return pages.where(F.col("_corrupt_record").isNotNull() & F.col("hits").isNull()).select(
+        "file", F.col("_corrupt_record").alias("page"))
+
+
+def _pages(spark: SparkSession, path: str, source: StructType) -> DataFrame:
+    return (spark.read.schema(hits_schema(source)).option("mode", "PERMISSIVE")
+                 .option("columnNameOfCorruptRecord", "_corrupt_record").json(path))
 
 
 def flatten(df: DataFrame, sep: str = ".") -> DataFrame:
@@ -66,8 +80,9 @@ def html_to_text(html: Column) -> Column:
     a few entities, collapse whitespace, strip; empty -> null (S6, T18)."""
     t = F.regexp_replace(html, r"(?is)<(script|style)[^>]*>.*?</\1>", " ")
     t = F.regexp_replace(t, r"(?s)<[^>]*>", " ")
-    t = F.replace(F.replace(F.replace(t, F.lit("&amp;"), F.lit("&")), F.lit("&lt;"), F.lit("<")),
-                  F.lit("&gt;"), F.lit(">"))
+    # &amp; last: "&amp;lt;" is the text "&lt;", not "<"
+    t = F.replace(F.replace(F.replace(t, F.lit("&lt;"), F.lit("<")), F.lit("&gt;"), F.lit(">")),
+                  F.lit("&amp;"), F.lit("&"))
     t = F.trim(F.regexp_replace(t, r"\s+", " "))
     return F.when(t != "", t)
 
@@ -145,3 +160,28 @@ def land_files(df: DataFrame, root: str, key: str, session: str, content: str, e
 
     schema = f"{key} {df.schema[key].dataType.simpleString()}, {session} string, landed boolean"
     return df.select(key, session, content).mapInPandas(run, schema)
+
+
+def landed_keys(spark: SparkSession, root: str, key: str) -> DataFrame:
+    """(key, session) of the files under ``root``; contents are not read."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return read_doc_blobs(spark, root).select(F.col("doc_id").alias(key), "session")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{key} long, session string")
+
+
+def land_new(df: DataFrame, root: str, key: str, session: str, content: str, ext: str = "html") -> DataFrame:
+    """Land the rows of ``df`` that have no file yet and return their
+    manifest (key, session).  What is missing is fixed in a written table
+    before anything lands, so the manifest can be read any number of times
+    and a retried task changes nothing."""
+    spark = df.sparkSession
+    done = landed_keys(spark, root, key).withColumnRenamed("session", session)
+    todo = materialize(df.select(key, session).join(done, [key, session], "left_anti"), "land-todo")
+    rows = df.join(todo, [key, session], "left_semi")
+    land_files(rows, root, key, session, content, ext).write.format("noop").mode("overwrite").save()
+    return todo

@@ -2,22 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def merge_upsert(spark: SparkSession, target_path: str | None, batch: DataFrame, keys: list[str],
                  out_path: str, order_col: str | None = None) -> DataFrame:
     """Keyed merge (upsert) without a lake format: de-duplicate the batch
-    by key (latest ``order_col`` wins), keep target rows whose key is not
+    by key (latest ``order_col`` wins, remaining ties by the row's other
+    values, so the result does not depend on row order), keep target rows whose key is not
     in the batch (anti join), add the batch, and write the result to a new
     path (never over the path being read).  Applying the same batch twice
     gives the same table."""
-    if order_col:
-        w = Window.partitionBy(*keys).orderBy(F.desc(order_col))
-        batch = batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-    else:
-        batch = batch.dropDuplicates(keys)
+    rest = [c for c in batch.columns if c not in keys and c != order_col]
+    last = F.struct(*[F.col(c) for c in ([order_col] if order_col else []) + rest])
+    batch = batch.groupBy(*keys).agg(F.max(last).alias("_last")).select(*keys, "_last.*").select(*batch.columns)
     if target_path is not None:
         target = spark.read.parquet(target_path)
         kept = target.join(batch.select(*keys), keys, "left_anti")
