@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontam, mixing, quality, simhash, tokens
-from tessera.session import materialize
+from tessera.session import materialize, ship_package
 from tessera.sources.tables import Tables
 
 
@@ -37,12 +39,23 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return tokens.tokenise_and_check(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _stage(fn):
+    """The stage, with the package sent to the executors first."""
+
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("simhash_near_dedup", simhash_dedup),
-    ("benchmark_decontamination", decontamination),
-    ("source_mixing", source_mixing),
-    ("token_ids", token_ids),
+    ("quality_rules", _stage(quality_rules)),
+    ("simhash_near_dedup", _stage(simhash_dedup)),
+    ("benchmark_decontamination", _stage(decontamination)),
+    ("source_mixing", _stage(source_mixing)),
+    ("token_ids", _stage(token_ids)),
 ]
 
 #: Fingerprint components, hash windows and token ids are beyond SQL.
