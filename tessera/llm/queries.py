@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontam, licenses, lines, mixing, quality, simhash, suffix, tokens, urls, warc
+from tessera.llm.common import ASCII_LOWER, ASCII_UPPER
 from tessera.session import scratch_dir, ship_package
 from tessera.sources.tables import Tables
 
@@ -46,7 +47,29 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-@query("op3_benchmark_decontamination")
+def _words_sql(text: str) -> str:
+    return (f"regexp_extract_all(translate(coalesce({text}, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), "
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+OP3_SQL = f"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_words_sql('text')} AS w FROM documents),
+b AS (SELECT item_id, {_words_sql('text')} AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, unnest([w[i:i + least(10, len(w)) - 1] for i in range(1, len(w) - least(10, len(w)) + 2)]) AS gram
+      FROM b WHERE len(w) > 0),
+n AS (SELECT DISTINCT len(gram) AS n FROM g),
+p AS (SELECT r, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM d, n WHERE len(w) >= n),
+h AS (SELECT p.r, p.i, p.n, g.item_id FROM p JOIN g ON p.w[p.i:p.i + p.n - 1] = g.gram),
+c AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+      FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS s FROM h WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(c.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(t.n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(t.ids, '')) AS items_sha256,
+       coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (r) LEFT JOIN t USING (r)"""
+
+
+@query("op3_benchmark_decontamination", OP3_SQL)
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     hits = decontam.find_hits(t.documents, t.benchmark)
@@ -81,7 +104,21 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(t.pages, t.labels)
 
 
-@query("op9_warc")
+# five hex digits of the SHA-1 are four base32 digits
+_BASE32_SQL = " || ".join(
+    f"substr('{warc.BASE32}', CAST((CAST('0x' || substr(h, {5 * k + 1}, 5) AS BIGINT) >> {s}) & 31 AS INTEGER) + 1, 1)"
+    for k in range(8) for s in (15, 10, 5, 0))
+
+OP9_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+k AS (SELECT page_id, strlen(html) AS bytes, sha1(html) AS h, max(page_id) OVER (PARTITION BY html) AS top FROM p)
+SELECT page_id, CAST(bytes AS BIGINT) AS payload_bytes, {_BASE32_SQL} AS payload_digest,
+       CASE WHEN page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < top THEN top END AS refers_to
+FROM k"""
+
+
+@query("op9_warc", OP9_SQL)
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "llm-warc")
     warc.write(Tables(spark, sf_dir).pages, path)
