@@ -182,10 +182,11 @@ def learn_rules(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_00
         # equally good cuts: the middle one leaves the widest margin
         return found and found[1][len(found[1]) // 2]
 
-    def precision(df: DataFrame, rule: Rule) -> tuple[float, int]:
+    def precision(df: DataFrame, rule: Rule) -> tuple[float, float, int]:
+        """Smoothed precision (to compare rules), plain precision, hits."""
         r = df.where(rule_column(rule)).agg(
             F.count("*").alias("n"), F.coalesce(F.sum(F.col("bad").cast("int")), F.lit(0)).alias("p")).first()
-        return ((r["p"] + 1) / (r["n"] + 2) if r["n"] else 0.0), r["p"]
+        return (r["p"] + 1) / (r["n"] + 2), r["p"] / max(r["n"], 1), r["p"]
 
     rules: list[Rule] = []
     while len(rules) < max_rules:
@@ -196,13 +197,13 @@ def learn_rules(docs: DataFrame, labels: DataFrame, *, max_labelled: int = 20_00
             rule = (*rule, step)
         if not rule:
             break
-        (value, hits), kept = precision(prune, rule), rule
+        value, kept = precision(prune, rule), rule
         while len(kept) > 1:
             shorter = precision(prune, kept[:-1])
-            if shorter[0] < value:
+            if shorter[0] < value[0]:
                 break
-            (value, hits), kept = shorter, kept[:-1]
-        if value < min_precision or hits < min_cover // 2:
+            value, kept = shorter, kept[:-1]
+        if value[1] < min_precision or value[2] < min_cover // 2:
             break
         rules.append(kept)
     return rules
