@@ -91,13 +91,17 @@ def model_encoder(load_model: Callable[[], object], dim: int) -> Encoder:
     """Plug-in encoder: an iterator pandas UDF that loads the model once per
     Python worker (``load_model`` returns an object with
     ``encode(list[str]) -> array (n, dim)``) and encodes Arrow batches; the
-    batch size is ``spark.sql.execution.arrow.maxRecordsPerBatch``."""
+    batch size is ``spark.sql.execution.arrow.maxRecordsPerBatch``.  A batch
+    on which the model fails yields empty vectors (dimension 0)."""
     @F.pandas_udf(ArrayType(FloatType()))
     def _encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load_model()
         for s in batches:
             texts = s.fillna("").tolist()
-            vecs = np.asarray(model.encode(texts), dtype=np.float32).reshape(len(texts), dim)
+            try:
+                vecs = np.asarray(model.encode(texts), dtype=np.float32).reshape(len(texts), dim)
+            except Exception:  # a batch the model fails on gets empty vectors; the run goes on
+                vecs = [np.zeros(0, np.float32)] * len(texts)
             yield pd.Series(list(vecs))
 
     return lambda c: _encode.asNondeterministic()(c)

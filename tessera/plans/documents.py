@@ -59,6 +59,24 @@ def vec_hash_encode(spark, sf_dir):
     return silver.sparse_hash_counts(sents, DIM)
 
 
+@query("vec_dense_encode", with_views(f"""
+WITH h AS ({HASH_SQL})
+SELECT doc_id, sentence_index, bucket, CAST(cnt AS DOUBLE) AS raw,
+       round(cnt / sqrt(sum(cnt * cnt) OVER (PARTITION BY doc_id, sentence_index)), 5) AS unit
+FROM h""", ft=FULL_TEXT_SQL, cl=CLEANED_SQL))
+def vec_dense_encode(spark, sf_dir):
+    """Silver sentence vectors as the encoder writes them, raw and
+    normalised, one row per non-zero component."""
+    ft = roles.full_text(Tables(spark, sf_dir))
+    v = silver.sentence_vectors(silver.sentences(silver.cleaned_documents(ft, None)))
+    v = v.withColumn("unit", vx.l2_normalize(F.col("embedding")))
+    both = F.arrays_zip("embedding", "unit")
+    e = v.select("doc_id", "sentence_index", F.posexplode(both).alias("bucket", "e"))
+    return e.where(F.col("e")["embedding"] != 0).select(
+        "doc_id", "sentence_index", F.col("bucket").cast("long").alias("bucket"),
+        F.col("e")["embedding"].cast("double").alias("raw"), F.round(F.col("e")["unit"].cast("double"), 5).alias("unit"))
+
+
 SILVER_SQL = f"""
 WITH todo AS (SELECT doc_id, session FROM ft t WHERE {USABLE}
               AND NOT EXISTS (SELECT 1 FROM labels s WHERE s.doc_id = t.doc_id)),

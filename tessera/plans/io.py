@@ -10,6 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tessera.operators import aggs
 from tessera.plans import roles
+from tessera.plans.vectors import BEST_SQL
 from tessera.plans.registry import ORACLES, QUERIES, query
 from tessera.plans.roles import BILLS_SQL, FULL_TEXT_SQL, with_views
 from tessera.session import scratch_dir
@@ -245,17 +246,27 @@ RUN_ID = "run-0"
 
 
 def _experiment_log(spark, sf_dir):
-    rep = QUERIES["srch_report"](spark, sf_dir).withColumn("run_id", F.lit(RUN_ID))
-    path = scratch_dir(spark, "experiments")
-    rep.write.mode("overwrite").partitionBy("run_id").parquet(path)
-    return spark.read.parquet(path)
+    """Two log tables of the run, read back: settings with scores, labels."""
+    from tessera.plans.vectors import _scored_search
+
+    labels, settings = _scored_search(Tables(spark, sf_dir))
+    out = []
+    for name, df in (("settings", settings), ("labels", labels)):
+        path = scratch_dir(spark, f"experiment-{name}")
+        df.withColumn("run_id", F.lit(RUN_ID)).write.mode("overwrite").partitionBy("run_id").parquet(path)
+        out.append(spark.read.parquet(path))
+    return out
 
 
-@query("sink_experiment_log", ORACLES["srch_report"].replace(
-    "SELECT param_id, CAST(count(DISTINCT name)", f"SELECT '{RUN_ID}' AS run_id, param_id, CAST(count(DISTINCT name)", 1))
+@query("sink_experiment_log", BEST_SQL + f"""
+SELECT '{RUN_ID}' AS run_id, lab.param_id, CAST(eps AS DOUBLE) AS eps, CAST(ms AS BIGINT) AS min_samples, score, lab.vec_id, lab.cluster
+FROM lab JOIN scored USING (param_id) JOIN params USING (param_id)""")
 def sink_experiment_log(spark, sf_dir):
-    """All search results with parameters and scores, partitioned by run."""
-    return _experiment_log(spark, sf_dir)
+    """Logged run, partitioned by run id: parameters and score of every
+    setting with the label of every point."""
+    settings, labels = _experiment_log(spark, sf_dir)
+    return settings.join(labels, ["run_id", "param_id"]).select(
+        "run_id", "param_id", "eps", "min_samples", "score", "vec_id", "cluster")
 
 
 # ---------------------------------------------------------- data quality

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as vx
@@ -9,6 +10,7 @@ from tessera.operators import aggs, density, neighbours, sets
 from tessera.plans import roles
 from tessera.plans.registry import query
 from tessera.plans.roles import TESTIMONY_SQL
+from tessera.session import materialize
 from tessera.sources.tables import Tables
 
 EPS = 0.65           # cosine eps for the test vectors (0.3 labels all noise)
@@ -124,6 +126,46 @@ def srch_dbscan_grid(spark, sf_dir):
     return _dbscan(Tables(spark, sf_dir), GRID).select("param_id", "vec_id", "cluster")
 
 
+BEST_SQL = _dbscan_sql(GRID, """,
+pt AS (SELECT lab.param_id, lab.cluster, n.vec_id, unnest(n.e) AS x, unnest(range(len(n.e))) AS dim FROM lab JOIN n USING (vec_id)),
+cs AS (SELECT param_id, cluster, dim, count(*) AS n, sum(x) AS s, sum(x * x) AS q FROM pt WHERE cluster >= 0 GROUP BY ALL),
+cc AS (SELECT param_id, cluster, max(n) AS n, sum(q) AS q, sum(s * s / n) AS c FROM cs GROUP BY ALL),
+pc AS (SELECT param_id, sum(n) AS n, count(*) AS k, sum(q) AS q, sum(c) AS c FROM cc GROUP BY ALL),
+al AS (SELECT param_id, sum(s * s) AS g FROM (SELECT param_id, dim, sum(s) AS s FROM cs GROUP BY ALL) GROUP BY ALL),
+sc AS (SELECT l.param_id, CAST(count(*) AS BIGINT) AS n_points, CAST(count(*) FILTER (WHERE l.cluster < 0) AS BIGINT) AS n_noise
+       FROM lab l GROUP BY ALL),
+scored AS (SELECT sc.param_id, n_points, CAST(coalesce(k, 0) AS BIGINT) AS n_clusters, n_noise,
+       CASE WHEN k > 1 AND n > k AND q > c THEN round(((c - g / n) / (k - 1)) / ((q - c) / (n - k)), 4)
+            ELSE CAST('-inf' AS DOUBLE) END AS score
+FROM sc LEFT JOIN pc USING (param_id) LEFT JOIN al USING (param_id))
+""").replace("\n,\n", ",\n", 1)
+
+
+def _scored_search(t: Tables):
+    """(labels, settings with score, best first)."""
+    labels = materialize(_dbscan(t, GRID), "search-labels")
+    points = labels.join(_emb(t), "vec_id")
+    scored = density.variance_ratio(points, ["param_id"], "cluster", "embedding")
+    scored = scored.withColumn("score", F.round("score", 4))
+    eps = F.create_map(*[x for s in GRID for x in (F.lit(s.param_id), F.lit(s.eps))])
+    ms = F.create_map(*[x for s in GRID for x in (F.lit(s.param_id), F.lit(s.min_samples))])
+    key = F.col("param_id").cast("int")
+    # one row per setting
+    place = F.row_number().over(Window.orderBy(F.desc("score"), "param_id")).cast("long")
+    return labels, scored.select("param_id", eps[key].alias("eps"), ms[key].cast("long").alias("min_samples"),
+                                 "n_points", "n_clusters", "n_noise", "score").withColumn("place", place)
+
+
+@query("srch_best_first", BEST_SQL + """
+SELECT scored.param_id, CAST(eps AS DOUBLE) AS eps, CAST(ms AS BIGINT) AS min_samples, n_points, n_clusters, n_noise, score,
+       row_number() OVER (ORDER BY score DESC, scored.param_id) AS place
+FROM scored JOIN params USING (param_id)""")
+def srch_best_first(spark, sf_dir):
+    """Search result: every setting of the grid with its score, best first
+    (place 1 is the chosen setting)."""
+    return _scored_search(Tables(spark, sf_dir))[1].orderBy("place")
+
+
 def _grid_values_sql(settings) -> str:
     return ", ".join(f"({s.param_id}, {s.eps}, {s.min_samples})" for s in settings)
 
