@@ -44,43 +44,39 @@ def lcs_len(a: str, b: str) -> int:
     return len(a) - bin(v).count("1")
 
 
+def indel(a: str, b: str) -> int:
+    """Insertions and deletions that turn a into b."""
+    return len(a) + len(b) - 2 * lcs_len(a, b)
+
+
 def ratio(a: str, b: str) -> float:
-    lensum = len(a) + len(b)
-    if lensum == 0:
-        return 100.0
-    dist = lensum - 2 * lcs_len(a, b)
-    return (1.0 - dist / lensum) * 100
+    total = len(a) + len(b)
+    return (1.0 - indel(a, b) / total) * 100 if total else 100.0
 
 
-def _norm(dist: int, lensum: int) -> float:
-    return 100 - 100 * dist / lensum if lensum else 100.0
+def _in_order(words) -> str:
+    return " ".join(sorted(words))
 
 
 def token_sort_ratio(pa: str, pb: str) -> int:
-    """On processed strings."""
-    return round(ratio(" ".join(sorted(pa.split())), " ".join(sorted(pb.split()))))
+    """Ratio of the names with their words in order; on processed strings."""
+    return round(ratio(_in_order(pa.split()), _in_order(pb.split())))
 
 
 def token_set_ratio(pa: str, pb: str) -> int:
-    ta, tb = set(pa.split()), set(pb.split())
-    if not ta or not tb:
+    """Best ratio among the shared words, the words of a and the words of b,
+    each written as the shared words followed by the others."""
+    left, right = set(pa.split()), set(pb.split())
+    if not left or not right:
         return 0
-    inter, dab, dba = ta & tb, ta - tb, tb - ta
-    if inter and (not dab or not dba):
+    if left <= right or right <= left:
         return 100
-    ab = " ".join(sorted(dab))
-    ba = " ".join(sorted(dba))
-    sect_len = len(" ".join(sorted(inter)))
-    sep = 1 if sect_len else 0
-    sect_ab_len = sect_len + sep + len(ab)
-    sect_ba_len = sect_len + sep + len(ba)
-    dist = len(ab) + len(ba) - 2 * lcs_len(ab, ba)
-    result = _norm(dist, sect_ab_len + sect_ba_len)
-    if sect_len:
-        result = max(result,
-                     _norm(sep + len(ab), sect_len + sect_ab_len),
-                     _norm(sep + len(ba), sect_len + sect_ba_len))
-    return round(result)
+    shared = _in_order(left & right)
+    of_left, of_right = (f"{shared} {_in_order(own)}".strip() for own in (left - right, right - left))
+    choices = [(of_left, of_right)]
+    if shared:
+        choices += [(shared, of_left), (shared, of_right)]
+    return round(max(100 - 100 * indel(x, y) / (len(x) + len(y)) for x, y in choices))
 
 
 def combined_score(a: str | None, b: str | None) -> tuple[int, int, int]:

@@ -37,7 +37,9 @@ QUOTE_MAP = [
 ]
 # Fixed value: characters the cleaner keeps besides word characters and
 # whitespace.
-KEPT_PUNCT = ".,!?;:()'\"\\-\u2013\u2014\u2022\u00b0\u00ae\u00a7\u00bb\u00ab"
+KEPT_PUNCT = ".,!?;:()'\"\\-–—•°®§»«"
+
+# The patterns of steps T2, T4, T8, T10 and T11 below are fixed values too.
 
 WORD = r"\p{L}\p{N}_"            # Python's Unicode \w
 # Python's Unicode \s (Java's \s is ASCII-only).
