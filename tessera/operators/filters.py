@@ -32,7 +32,8 @@ def usable_text(df: DataFrame, text: str = "doc_text", min_chars: int = MIN_TEXT
 
 
 def like_any_lower(df: DataFrame, col: str, fragments: Iterable[str]) -> DataFrame:
-    """OR of case-folded substring tests; `contains` keeps it pushable."""
+    """OR of case-folded substring tests (evaluated on the rows, not pushed:
+    the scan cannot apply a predicate to ``lower(col)``)."""
     low = F.lower(F.col(col))
     cond: Column | None = None
     for frag in fragments:

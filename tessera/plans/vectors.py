@@ -285,14 +285,35 @@ def dq_embedding_dim(spark, sf_dir):
     return e.groupBy(F.size("embedding").cast("long").alias("dim")).agg(F.count(F.lit(1)).cast("long").alias("count"))
 
 
-@query("vec_pca2")
+# power iteration on the covariance, the second component after deflation
+PCA_SQL = """
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+m AS (SELECT d, avg(v) AS mu FROM (SELECT unnest(x) AS v, unnest(range(len(x))) AS d FROM e) GROUP BY d),
+z AS (SELECT vec_id, d, v - mu AS v FROM (SELECT vec_id, unnest(x) AS v, unnest(range(len(x))) AS d FROM e) JOIN m USING (d)),
+cov AS (SELECT a.d AS i, list(s ORDER BY b) AS r FROM (SELECT p.d, q.d AS b, sum(p.v * q.v) / (SELECT count(*) - 1 FROM e) AS s
+        FROM z p JOIN z q USING (vec_id) GROUP BY ALL) a GROUP BY a.d),
+mat AS (SELECT list(r ORDER BY i) AS c FROM cov),
+p1(k, u) AS (SELECT 0, list_transform(range(len(c)), lambda i: 1.0 + i / 100.0) FROM mat UNION ALL
+  SELECT k + 1, list_transform(w, lambda t: t / sqrt(list_dot_product(w, w))) FROM (
+    SELECT k, list_transform(c, lambda r: list_dot_product(r, u)) AS w FROM p1, mat WHERE k < 4000)),
+v1 AS (SELECT u AS v1 FROM p1 WHERE k = 4000),
+l1 AS (SELECT v1, list_dot_product(v1, list_transform(c, lambda r: list_dot_product(r, v1))) AS l FROM v1, mat),
+p2(k, u) AS (SELECT 0, list_transform(range(len(c)), lambda i: 1.0 - i / 90.0) FROM mat UNION ALL
+  SELECT k + 1, list_transform(w, lambda t: t / sqrt(list_dot_product(w, w))) FROM (
+    SELECT k, list_transform(range(1, len(u) + 1), lambda i: list_dot_product(c[i], u) - l * v1[i] * list_dot_product(v1, u)) AS w
+    FROM p2, mat, l1 WHERE k < 4000)),
+v2 AS (SELECT u AS v2 FROM p2 WHERE k = 4000)
+SELECT vec_id, round(abs(list_dot_product(x, v1)), 4) AS pc1, round(abs(list_dot_product(x, v2)), 4) AS pc2 FROM e, v1, v2"""
+
+
+@query("vec_pca2", PCA_SQL)
 def vec_pca2(spark, sf_dir):
-    """Two principal components (pyspark.ml PCA; signs are arbitrary, so
-    there is no SQL oracle)."""
+    """Absolute scores on two principal components (pyspark.ml PCA; the sign
+    of a component is arbitrary)."""
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector, vector_to_array
 
     e = _emb(Tables(spark, sf_dir)).withColumn("features", array_to_vector("embedding"))
     model = PCA(k=2, inputCol="features", outputCol="pca").fit(e)
     out = model.transform(e).withColumn("pc", vector_to_array("pca"))
-    return out.select("vec_id", F.col("pc")[0].alias("pc1"), F.col("pc")[1].alias("pc2"))
+    return out.select("vec_id", F.round(F.abs(F.col("pc")[0]), 4).alias("pc1"), F.round(F.abs(F.col("pc")[1]), 4).alias("pc2"))
