@@ -9,7 +9,8 @@ from tessera.functions.strings import like
 from tessera.operators import aggs, filters, joins, sets, windows
 from tessera.plans import roles
 from tessera.plans.registry import query
-from tessera.plans.roles import BILLS_SQL, FULL_TEXT_SQL, TESTIMONY_SQL, with_views
+from tessera.plans.roles import BILLS_SQL, FULL_TEXT_SQL, TESTIMONY_FULL_SQL, TESTIMONY_SQL, with_views
+from tessera.sources import landing
 from tessera.sources.tables import Tables
 
 # The stance patterns of the reference's classification
@@ -83,51 +84,15 @@ def flt_session_gate(spark, sf_dir):
     return filters.session_gate(roles.full_text(Tables(spark, sf_dir))).select("doc_id", "session")
 
 
-def _attrs(t):
-    """Testimony attributes with the flags the active filter reads:
-    Inactive from the bill status (F -> true, O -> false, P -> null) and a
-    last name that is null for returnflag A and starts with '@' for R."""
-    th = roles.testimony(t)
-    o = t.orders.select(F.col("o_orderkey").alias("LDNumber"), "o_orderstatus")
-    p = t.lineitem.select(((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000
-                           + F.col("l_partkey")).alias("Id"), "l_suppkey", "l_returnflag")
-    p = p.groupBy("Id").agg(F.min(F.struct("l_suppkey", "l_returnflag")).alias("m")) \
-         .select("Id", "m.l_suppkey", "m.l_returnflag")
-    j = th.join(o, "LDNumber").join(p, "Id")
-    return j.select(
-        "Id", "Organization", "LDNumber", "legislature", "PolicyArea",
-        F.when(F.col("o_orderstatus") == "F", F.lit(True))
-         .when(F.col("o_orderstatus") == "O", F.lit(False)).alias("Inactive"),
-        F.when(F.col("l_returnflag") == "A", F.lit(None).cast("string"))
-         .when(F.col("l_returnflag") == "R", F.concat(F.lit("@"), F.col("l_suppkey").cast("string")))
-         .otherwise(F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))).alias("LastName"),
-    )
-
-
-ATTRS_SQL = f"""
-SELECT th.Id, th.Organization, th.LDNumber, th.legislature, th.PolicyArea,
-       CASE WHEN o.o_orderstatus = 'F' THEN TRUE WHEN o.o_orderstatus = 'O' THEN FALSE END AS Inactive,
-       CASE WHEN l.l_returnflag = 'A' THEN NULL
-            WHEN l.l_returnflag = 'R' THEN '@' || CAST(l.l_suppkey AS VARCHAR)
-            ELSE 'S' || CAST(l.l_suppkey AS VARCHAR) END AS LastName
-FROM ({TESTIMONY_SQL}) th
-JOIN orders o ON o.o_orderkey = th.LDNumber
-JOIN (SELECT Id, m.l_suppkey AS l_suppkey, m.l_returnflag AS l_returnflag FROM (
-        SELECT (l_orderkey * 10 + l_linenumber) * 100000 + l_partkey AS Id,
-               min({{'l_suppkey': l_suppkey, 'l_returnflag': l_returnflag}}) AS m
-        FROM lineitem GROUP BY 1) x) l ON l.Id = th.Id
-"""
-
-
 @query("flt_testimony_active", f"""
 SELECT legislature, CAST(count(*) AS BIGINT) AS n_active,
        CAST(count(*) FILTER (WHERE Inactive IS NULL) AS BIGINT) AS n_null_flag,
        CAST(count(*) FILTER (WHERE LastName IS NULL) AS BIGINT) AS n_null_name
-FROM ({ATTRS_SQL}) a
+FROM ({TESTIMONY_FULL_SQL}) a
 WHERE (Inactive IS NULL OR NOT Inactive) AND NOT coalesce(starts_with(LastName, '@'), FALSE)
 GROUP BY legislature""")
 def flt_testimony_active(spark, sf_dir):
-    a = filters.active_testimony(_attrs(Tables(spark, sf_dir)))
+    a = filters.active_testimony(roles.testimony_full(Tables(spark, sf_dir)))
     return a.groupBy("legislature").agg(
         F.count(F.lit(1)).cast("long").alias("n_active"),
         F.count_if(F.col("Inactive").isNull()).cast("long").alias("n_null_flag"),
@@ -135,23 +100,19 @@ def flt_testimony_active(spark, sf_dir):
 
 
 @query("src_testimony_attrs", f"""
-SELECT a.Id, a.Organization, a.LastName, a.legislature, a.LDNumber,
-       a.legislature AS request_legislature
-FROM ({ATTRS_SQL}) a
+SELECT a.* FROM ({TESTIMONY_FULL_SQL}) a
 SEMI JOIN (SELECT DISTINCT paperNumber, legislature FROM ({BILLS_SQL}) b) r
   ON r.paperNumber = a.LDNumber AND r.legislature = a.legislature
 WHERE (Inactive IS NULL OR NOT Inactive) AND NOT coalesce(starts_with(LastName, '@'), FALSE)""")
 def src_testimony_attrs(spark, sf_dir):
-    """Testimony attributes for every requested (paper, session): the
-    per-paper API calls become one semi-join against the bill list."""
+    """All testimony fields for every requested (paper, session), in the
+    interface's order: the per-paper calls become one semi-join against the
+    bill list.  The nested request is flattened to dotted columns."""
     t = Tables(spark, sf_dir)
-    a = filters.active_testimony(_attrs(t))
+    a = filters.active_testimony(roles.testimony_full(t))
     req = roles.bills(t).select(F.col("paperNumber").alias("LDNumber"), "legislature").distinct()
-    a = a.join(req, ["LDNumber", "legislature"], "left_semi")
-    out = a.select("Id", "Organization", "LastName", "legislature", "LDNumber",
-                   F.col("legislature").alias("request_legislature"))
-    # the API's order: last name, then organisation (nulls first), then id
-    return out.orderBy(F.asc_nulls_first("LastName"), F.asc_nulls_first("Organization"), "Id")
+    out = landing.flatten(a.join(req, ["LDNumber", "legislature"], "left_semi").select(*a.columns))
+    return out.orderBy(*[F.asc_nulls_first(c) for c in ("LastName", "FirstName", "Organization")], "Id")
 
 
 @query("flt_like_lower", """
@@ -208,12 +169,15 @@ def set_distinct(spark, sf_dir):
     return roles.testimony(Tables(spark, sf_dir)).select("Organization", "PolicyArea").distinct()
 
 
-@query("prj_bill_detail", with_views("""
-SELECT url, title, requestId, documentId, ldNumber, paperNumber, legislature,
-       itemNumber, requestItemType, status FROM b""", b=BILLS_SQL))
+@query("prj_bill_detail", f"SELECT * EXCLUDE (body) FROM ({roles.bills_full_sql()}) x")
 def prj_bill_detail(spark, sf_dir):
-    b = roles.bills(Tables(spark, sf_dir))
-    return b.drop("body", "filedDate")
+    """Every bill text field but the text itself."""
+    return roles.bills_full(Tables(spark, sf_dir)).drop("body")
+
+
+@query("prj_bill_text", roles.bills_full_sql())
+def prj_bill_text(spark, sf_dir):
+    return roles.bills_full(Tables(spark, sf_dir))
 
 
 @query("prj_query_urls", with_views("""

@@ -43,6 +43,95 @@ FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 """
 
 
+# Field names of the testimony interface, in its order.
+TESTIMONY_FIELDS = [
+    "Id", "SourceDocument", "RequestId", "FileType", "FileSize", "NamePrefix", "FirstName", "LastName", "NameSuffix",
+    "Organization", "PresentedDate", "PolicyArea", "Topic", "Created", "CreatedBy", "LastEdited", "LastEditedBy",
+    "Private", "Inactive", "TestimonySubmissionId", "HearingDate", "LDNumber", "Request",
+]
+
+
+def testimony_full(t: Tables) -> DataFrame:
+    """All fields of the testimony interface and the session.  The active
+    flag follows the order status (F true, O false, P null); a last name is
+    null for return flag A and starts with '@' for R."""
+    li, p, o = t.lineitem, t.part, t.orders
+    j = li.join(p, li.l_partkey == p.p_partkey).join(o, li.l_orderkey == o.o_orderkey)
+    text = lambda c: F.col(c).cast("string")
+    session = F.year("l_shipdate")
+    rows = j.select(
+        ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 100000 + F.col("l_partkey")).alias("Id"),
+        F.concat(F.lit("doc-"), text("l_orderkey"), F.lit("-"), text("l_linenumber")).alias("SourceDocument"),
+        F.col("o_custkey").alias("RequestId"),
+        F.when(F.col("l_linestatus") == "F", "pdf").otherwise("docx").alias("FileType"),
+        F.col("l_quantity").cast("long").alias("FileSize"),
+        F.when(F.col("l_linenumber") == 1, "Dr.").alias("NamePrefix"),
+        F.concat(F.lit("F"), text("l_linenumber")).alias("FirstName"),
+        F.when(F.col("l_returnflag") == "R", F.concat(F.lit("@"), text("l_suppkey")))
+         .when(F.col("l_returnflag") != "A", F.concat(F.lit("S"), text("l_suppkey"))).alias("LastName"),
+        F.when(F.col("l_linenumber") == 2, "Jr.").alias("NameSuffix"),
+        F.col("p_name").alias("Organization"), F.col("l_shipdate").alias("PresentedDate"),
+        F.col("p_type").alias("PolicyArea"), F.col("p_brand").alias("Topic"),
+        F.col("o_orderdate").alias("Created"), text("o_custkey").alias("CreatedBy"),
+        F.col("l_shipdate").alias("LastEdited"), text("l_suppkey").alias("LastEditedBy"),
+        (F.col("l_returnflag") == "A").alias("Private"),
+        F.when(F.col("o_orderstatus") == "F", F.lit(True)).when(F.col("o_orderstatus") == "O", F.lit(False)).alias("Inactive"),
+        F.col("l_suppkey").alias("TestimonySubmissionId"), F.col("l_shipdate").alias("HearingDate"),
+        F.col("l_orderkey").alias("LDNumber"),
+        F.struct(F.col("l_orderkey").alias("PaperNumber"), session.alias("Legislature")).alias("Request"),
+        session.alias("legislature"))
+    return rows.select(*TESTIMONY_FIELDS, "legislature")
+
+
+TESTIMONY_FULL_SQL = """
+SELECT (l_orderkey * 10 + l_linenumber) * 100000 + l_partkey AS Id,
+       'doc-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS SourceDocument,
+       o_custkey AS RequestId, CASE WHEN l_linestatus = 'F' THEN 'pdf' ELSE 'docx' END AS FileType,
+       CAST(trunc(l_quantity) AS BIGINT) AS FileSize, CASE WHEN l_linenumber = 1 THEN 'Dr.' END AS NamePrefix,
+       'F' || CAST(l_linenumber AS VARCHAR) AS FirstName,
+       CASE WHEN l_returnflag = 'R' THEN '@' || CAST(l_suppkey AS VARCHAR)
+            WHEN l_returnflag <> 'A' THEN 'S' || CAST(l_suppkey AS VARCHAR) END AS LastName,
+       CASE WHEN l_linenumber = 2 THEN 'Jr.' END AS NameSuffix, p_name AS Organization, l_shipdate AS PresentedDate,
+       p_type AS PolicyArea, p_brand AS Topic, o_orderdate AS Created, CAST(o_custkey AS VARCHAR) AS CreatedBy,
+       l_shipdate AS LastEdited, CAST(l_suppkey AS VARCHAR) AS LastEditedBy, l_returnflag = 'A' AS Private,
+       CASE o_orderstatus WHEN 'F' THEN TRUE WHEN 'O' THEN FALSE END AS Inactive,
+       l_suppkey AS TestimonySubmissionId, l_shipdate AS HearingDate, l_orderkey AS LDNumber,
+       l_orderkey AS "Request.PaperNumber", CAST(year(l_shipdate) AS INTEGER) AS "Request.Legislature",
+       CAST(year(l_shipdate) AS INTEGER) AS legislature
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+"""
+
+# Field names of the bill text interface, in its order.
+BILL_FIELDS = [
+    "url", "title", "ordering", "location", "requestId", "documentId", "ldNumber", "paperNumber", "legislature",
+    "itemNumber", "requestItemType", "summary", "broadSubject", "majorSubject", "minorSubject", "detailSubject", "body",
+]
+
+
+def bills_full(t: Tables) -> DataFrame:
+    """All fields of the bill text interface; subjects come from the customer."""
+    b, c = bills(t), t.customer
+    j = b.join(c, b["requestId"] == c["c_custkey"], "left")
+    status = F.col("status")
+    rows = j.select(
+        *[f for f in BILL_FIELDS if f in b.columns],
+        F.concat_ws("-", F.col("legislature").cast("string"), F.col("paperNumber").cast("string")).alias("ordering"),
+        F.concat(F.lit("room "), F.col("c_nationkey").cast("string")).alias("location"),
+        F.concat_ws(" ", "title", F.lit("status"), status).alias("summary"),
+        F.col("c_mktsegment").alias("broadSubject"), F.col("requestItemType").alias("majorSubject"),
+        F.col("c_name").alias("minorSubject"), F.when(status == "P", F.col("c_mktsegment")).alias("detailSubject"))
+    return rows.select(*BILL_FIELDS)
+
+
+def bills_full_sql() -> str:
+    return f"""
+SELECT url, title, CAST(legislature AS VARCHAR) || '-' || CAST(paperNumber AS VARCHAR) AS ordering,
+       'room ' || CAST(c_nationkey AS VARCHAR) AS location, requestId, documentId, ldNumber, paperNumber, legislature,
+       itemNumber, requestItemType, title || ' status ' || status AS summary, c_mktsegment AS broadSubject,
+       requestItemType AS majorSubject, c_name AS minorSubject, CASE WHEN status = 'P' THEN c_mktsegment END AS detailSubject, body
+FROM ({BILLS_SQL}) b LEFT JOIN customer ON requestId = c_custkey"""
+
+
 def bills(t: Tables) -> DataFrame:
     o = t.orders
     return o.select(
