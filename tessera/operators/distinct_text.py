@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as vx
+from tessera.session import materialize
 
 
 def tfidf_top_terms(docs: DataFrame, group: str, text: str, k: int = 10) -> DataFrame:
@@ -17,7 +18,8 @@ def tfidf_top_terms(docs: DataFrame, group: str, text: str, k: int = 10) -> Data
     the term's count in the group, df the number of groups using it and N
     the number of groups.  Ties by term."""
     terms = docs.select(group, F.explode(vx.tokens(F.col(text))).alias("term"))
-    tf = terms.groupBy(group, "term").agg(F.count(F.lit(1)).cast("long").alias("tf"))
+    # written once: both the scores and the group counts read it
+    tf = materialize(terms.groupBy(group, "term").agg(F.count(F.lit(1)).cast("long").alias("tf")), "tfidf-counts")
     df = tf.groupBy("term").agg(F.count(F.lit(1)).cast("long").alias("df"))
     n = docs.select(group).distinct().agg(F.count(F.lit(1)).alias("n_groups"))
     # N is a one-row aggregate: attach it with an equi-join on a constant key
