@@ -32,6 +32,11 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+def _words_sql(text: str) -> str:
+    return (f"regexp_extract_all(translate(coalesce({text}, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), "
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
 @query("op8_quality_rules")
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
@@ -47,11 +52,6 @@ def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_of(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-def _words_sql(text: str) -> str:
-    return (f"regexp_extract_all(translate(coalesce({text}, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), "
-            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
-
-
 OP3_SQL = f"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS r, {_words_sql('text')} AS w FROM documents),
 b AS (SELECT item_id, {_words_sql('text')} AS w FROM benchmark),
@@ -93,7 +93,33 @@ def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.size("shards") * F.col("size")).alias("taken"), "shards")
 
 
-@query("op2_license_scan")
+_TEMPLATES_SQL = ", ".join(
+    f"({k}, '{label}', {base}, {text.split()})" for k, (label, text, base) in enumerate(
+        [(label, text, True) for text, label in licenses.PHRASES] + [(label, text, False) for label, text in licenses.TEXTS]))
+
+OP2_SQL = f"""
+WITH t(tid, label, base, tw) AS (VALUES {_TEMPLATES_SQL}),
+g AS (SELECT tid, label, base, least({licenses.K}, len(tw)) AS k, len(tw) - least({licenses.K}, len(tw)) + 1 AS ng, tw FROM t),
+gg AS (SELECT tid, label, base, k, ng, tpos, tw[tpos + 1:tpos + k] AS gram FROM (SELECT *, unnest(range(0, ng)) AS tpos FROM g)),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_words_sql('text')} AS w FROM documents),
+p AS (SELECT r, k, w, unnest(range(0, len(w) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM gg) WHERE len(w) >= k),
+h AS (SELECT p.r, tid, label, base, ng, i, i - tpos AS diag FROM p JOIN gg ON gg.k = p.k AND gg.gram = p.w[p.i + 1:p.i + p.k]),
+dg AS (SELECT r, tid, label, base, ng, diag, count(*) AS votes, min(i) AS f, max(i) AS l FROM h GROUP BY ALL),
+s AS (SELECT *, CASE WHEN base OR coalesce(diag - lag(diag) OVER o, 999) > {licenses.DRIFT} THEN 1 ELSE 0 END AS fresh
+      FROM dg WINDOW o AS (PARTITION BY r, tid ORDER BY diag)),
+gr AS (SELECT *, sum(fresh) OVER (PARTITION BY r, tid ORDER BY diag) AS grp FROM s),
+sp AS (SELECT r, tid, label, base, grp, sum(votes) AS votes, min(f) AS f, max(l) AS l, least(1.0, sum(votes) / ng) AS cover
+       FROM gr GROUP BY r, tid, label, base, grp, ng HAVING least(1.0, sum(votes) / ng) >= {licenses.MIN_COVER}),
+a AS (SELECT r, sum(votes) FILTER (WHERE base) AS n_base, min(f) FILTER (WHERE base) AS first_word, max(l) FILTER (WHERE base) AS last_word,
+             string_agg(DISTINCT label, ',' ORDER BY label) FILTER (WHERE base) AS base_labels,
+             string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(cover) AS score FROM sp GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+       CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
+FROM d LEFT JOIN a USING (r)"""
+
+
+@query("op2_license_scan", OP2_SQL)
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(Tables(spark, sf_dir).documents)
 
