@@ -39,7 +39,7 @@ def lines_of(docs: DataFrame) -> DataFrame:
     """(doc_id, line, id, id2) of every line that is not blank."""
     line = F.explode(F.split("text", "\n", -1)).alias("line")
     df = docs.select("doc_id", "text").select("doc_id", line)
-    df = df.select("doc_id", F.regexp_replace("line", r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$", "").alias("line"))
+    df = df.select("doc_id", F.btrim("line", F.lit(" \t\n\x0b\f\r")).alias("line"))
     return df.where("line != ''").select(
         "doc_id", "line", F.xxhash64("line").alias("id"), F.xxhash64(F.lit("second"), "line").alias("id2"))
 

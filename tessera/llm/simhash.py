@@ -201,6 +201,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE)
     name = linked.join(linked.groupBy("comp").agg(F.min("first").alias("component_id")), "comp")
     named = first.join(name.select("fp", "component_id"), "fp", "left").select(
         "fp", F.coalesce("component_id", "first").alias("component_id"))
+    # written: a join of two plain tables is one that Spark splits where a fingerprint is hot
+    named = saved(named, "simhash-named")
     return rows.join(named, "fp").select("doc_id", "fp", "component_id")
 
 

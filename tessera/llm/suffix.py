@@ -16,9 +16,11 @@ limits (see README), so the first rounds run on positions chosen by content:
    reranks at 100 bytes, and all but the first start of a rank are repeats.
 
 Ranks are 64-bit polynomial hashes; two of them (128 bits) must agree.
-Sorting is Spark's; tasks see sorted runs as a stream and keep at most the
-distinct contexts of one anchor.  Texts are shuffled only for documents that
-a bounded bitmap cannot rule out.
+Each batch settles its own repeats before the shuffle, so a passage shared by
+a third of all documents does not meet in one task.  Sorting is Spark's;
+tasks see sorted runs as a stream and keep at most the distinct contexts of
+one anchor.  Texts are shuffled only for documents that a bounded bitmap
+cannot rule out.
 
 Edge cases: null and empty texts have no bytes and no spans; texts shorter
 than the threshold are kept; a null doc_id sorts first; rows that repeat a
@@ -131,10 +133,26 @@ def utf8(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
+SETTLED = 1 << 16  # flag in ``span``: a repeat that the task has settled
+
+
+def settle_locally(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Before the shuffle, all but the earliest interval of a (rank, context)
+    in a batch are repeats.  They are flagged, and their rank becomes a hash
+    of their place, so a hot rank reaches its task once per batch."""
+    rank, context = pdf["rank"].to_numpy(), pdf["context"].to_numpy()
+    order = np.lexsort((pdf["low"], pdf["doc"], context, rank))
+    r, c = rank[order], context[order]
+    again = np.zeros(len(pdf), bool)
+    again[order[1:]] = (r[1:] == r[:-1]) & (c[1:] == c[:-1])
+    place = mixed(pdf["doc"].to_numpy().view(np.uint64) * _BASE + pdf["low"].to_numpy().view(np.uint64)).view(np.int64)
+    return pdf.assign(rank=np.where(again, place, rank), span=np.where(again, pdf["span"] + SETTLED, pdf["span"]))
+
+
 def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """(rank, context, doc, low, span): intervals low .. low + span."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def intervals(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             ids = pdf["doc"].to_numpy()
             for rows, offsets, parts in pieces([utf8(t) for t in pdf["text"]], length):
@@ -145,6 +163,12 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 yield pd.DataFrame({"rank": rank.view(np.int64), "context": context.view(np.int64), "doc": ids[np.array(rows)[part]],
                                     "low": low + shift[part], "span": (high - low).astype(np.int32)})
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = list(intervals(iter([pdf])))
+            if got:
+                yield settle_locally(pd.concat(got, ignore_index=True))
+
     return docs.select("doc", "text").mapInPandas(run, "rank long, context long, doc long, low long, span int")
 
 
@@ -156,6 +180,11 @@ def settled(found: DataFrame) -> DataFrame:
         held = None  # earliest interval of every context of the last rank
         last = None  # last (rank, context) seen
         for pdf in batches:
+            known = pdf["span"].to_numpy() >= SETTLED
+            if known.any():
+                done = pdf[known]
+                yield _rows(done.assign(high=done["low"] + done["span"] - SETTLED), False)
+                pdf = pdf[~known]
             rank, context = pdf["rank"].to_numpy(), pdf["context"].to_numpy()
             if not len(rank):
                 continue

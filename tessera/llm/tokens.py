@@ -8,8 +8,8 @@ version-2 writer falls back to delta encoding.  Every file row carries its
 ``shard`` and ``pos``, so starts come from one small table of shard totals.
 
 Tokenising: white space never joins two tokens, so a text is cut at blanks
-and line feeds and each piece is encoded once per worker (a bounded cache,
-cleared when full).
+and line feeds and each piece is encoded once per worker (a cache of bounded
+size).
 
 Edge cases: null and empty texts give only the end id; a null doc_id sorts
 first; repeated rows are separate documents in file order; an empty table
@@ -32,7 +32,8 @@ from pyspark.sql.window import Window
 from tessera.session import scratch_dir
 
 END_ID = 1
-CACHE_PIECES = 1_000_000
+CACHE_PIECES = 200_000
+CACHE_WORDS = 700_000
 WRITE_OPTIONS = {
     "parquet.block.size": str(32 << 20),
     "parquet.page.size": str(256 << 10),
@@ -42,39 +43,76 @@ WRITE_OPTIONS = {
 }
 
 
+def byte_characters() -> dict[int, str]:
+    """latin-1 code point of a byte -> the character that stands for it in a
+    byte-level vocabulary: printable bytes for themselves, the others for
+    the characters from 256 on, in order."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
 class PieceIds(dict):
-    """piece -> its ids as little-endian unsigned 32-bit bytes."""
+    """piece -> its ids as little-endian unsigned 32-bit bytes.
+
+    Words without a closing mark live in ``words``, all pieces as they stand
+    in the text here; both are cleared when they reach their size."""
 
-    def __init__(self, tokenizer_json: str, limit: int = CACHE_PIECES):
+    def __init__(self, tokenizer_json: str, pieces: int = CACHE_PIECES, words: int = CACHE_WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         super().__init__()
-        self.tokenizer, self.limit = Tokenizer.from_str(tokenizer_json), limit
+        self.tokenizer, self.pieces, self.max_words = Tokenizer.from_str(tokenizer_json), pieces, words
+        self.model, self.words = self.tokenizer.model, {}
+        self.id_bytes = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
+        self.shown = byte_characters()
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= self.limit:
+        # a "<" may belong to a special token, which is matched before lower-casing
+        word = piece.lower() if piece.isascii() and "<" not in piece else piece
+        mark = b""
+        if len(word) > 1 and word[-1] in ".," and word[-2].isalnum() and "<" not in word:
+            # a mark after a letter or digit is a token group of its own
+            word, mark = word[:-1], self[word[-1]]
+        got = self.words.get(word)
+        if got is None:
+            if len(self.words) >= self.max_words:
+                self.words.clear()
+            got = self.words[word] = self.lookup(word)
+        got += mark
+        if len(self) >= self.pieces:
             self.clear()
-        low = piece
-        if "<" not in piece:  # may be part of a special token's string, which is matched before lower-casing
-            low = piece.lower() if piece.isascii() else piece
-        if len(low) > 1 and low[-1] in ".," and low[-2].isascii() and low[-2].isalnum() and "<" not in low:
-            got = self[low[:-1]] + self[low[-1]]  # a mark after a letter or digit is a token group of its own
-        elif low != piece:
-            got = self[low]
-        else:
-            got = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
         self[piece] = got
         return got
 
+    def lookup(self, word: str) -> bytes:
+        """Ids of a word: lower-case Latin letters are one token group that
+        needs no normalising, so they go straight to the model."""
+        if word.isalpha() and (word.isascii() or max(word) < "\u0250" and word == word.lower()):
+            shown = word if word.isascii() else word.encode().decode("latin-1").translate(self.shown)
+            return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(shown)])
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         return b"".join([self[p] for p in text.replace("\n", " ").split(" ") if p])
 
 
+_caches: dict[str, PieceIds] = {}
+
+
+def cache_for(tokenizer_json: str) -> PieceIds:
+    """The worker's cache; workers are reused, so later tasks start warm."""
+    if tokenizer_json not in _caches:
+        _caches.clear()
+        _caches[tokenizer_json] = PieceIds(tokenizer_json)
+    return _caches[tokenizer_json]
+
+
 def encode(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> DataFrame:
     """(shard, pos, doc_id, n_tokens, ids) in ascending doc_id order."""
     end = np.array([end_id], "<u4").tobytes()
@@ -84,7 +122,7 @@ def encode(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> DataFr
         T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = PieceIds(tokenizer_json)
+        cache = cache_for(tokenizer_json)
         shard, pos = TaskContext.get().partitionId(), 0
         for batch in batches:
             for k in range(0, batch.num_rows, 512):
@@ -110,13 +148,14 @@ def write(docs: DataFrame, path: str, tokenizer_json: str, end_id: int = END_ID)
 def read(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids): starts count all ids before the row."""
     rows = spark.read.parquet(path)
-    return starts(rows.drop("ids")).join(rows.select("shard", "pos", "ids"), ["shard", "pos"]).select(
+    return starts(rows.drop("ids"), rows).join(rows.select("shard", "pos", "ids"), ["shard", "pos"]).select(
         "doc_id", "start", "n_tokens", "ids")
 
 
-def starts(rows: DataFrame) -> DataFrame:
-    """Adds ``start`` to rows of (shard, pos, n_tokens, ...)."""
-    totals = rows.groupBy("shard").agg(F.sum("n_tokens").alias("_t"))  # one row per file
+def starts(rows: DataFrame, lengths: DataFrame) -> DataFrame:
+    """Adds ``start`` to rows of (shard, pos, n_tokens, ...); the shard totals
+    are read from the metadata columns of ``lengths``."""
+    totals = lengths.groupBy("shard").agg(F.sum("n_tokens").alias("_t"))  # one row per file
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = totals.select("shard", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_base"))
     inside = Window.partitionBy("shard").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
@@ -138,9 +177,10 @@ def checksums(spark: SparkSession, path: str) -> DataFrame:
                 pa.array(np.diff(at).astype(np.int64)), pa.array(crc, pa.int64())],
                 names=["shard", "pos", "doc_id", "n_tokens", "ids_crc32"])
 
-    found = spark.read.parquet(path).select("shard", "pos", "doc_id", "ids").mapInArrow(
+    rows = spark.read.parquet(path)
+    found = rows.select("shard", "pos", "doc_id", "ids").mapInArrow(
         run, "shard int, pos long, doc_id long, n_tokens long, ids_crc32 long")
-    return starts(found).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return starts(found, rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def tokenise_and_check(docs: DataFrame, tokenizer_path: str, end_id: int = END_ID) -> DataFrame:

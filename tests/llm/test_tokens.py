@@ -17,9 +17,9 @@ def ids_of(text):
 @pytest.mark.parametrize("text", [
     "Hello, World. it's 3.14 ok...", "a.,b ,. x., y", "  lead\n\n\ttab\x0bvt\x85nel  x　y", "<|endoftext|> <|ENDOFTEXT|>. a<|startoftext|>b,",
     "I'LL we're CAN'T. O'Neil's, 'S", "É́é ÀB. ΣΑΣ. İI ǅ, ß. ſ.", "12,5. 7. a1. 1a, x2,y3. ́. á.", "日本語。テスト, 한국어.", "",
-    "A.B.C. ... ., ,. .", "wor‍d. zwj﻿. \x00 nul. \x1f. a\x1cb"])
+    "A.B.C. ... ., ,. .", "ÀÉÎ été. été, ÉTÉ ñandú, Straße, ŒUVRE œuvre. ij ĳ ŉ ǅ ﬁn. Å. e\u0301. e\u0301, ½. x². ²,", "wor‍d. zwj﻿. \x00 nul. \x1f. a\x1cb"])
 def test_pieces_equal_whole_text(text):
-    cache = tokens.PieceIds(open(PATH, encoding="utf-8").read(), limit=3)
+    cache = tokens.PieceIds(open(PATH, encoding="utf-8").read(), pieces=3, words=2)
     assert np.frombuffer(cache.encode(text), "<u4").tolist() == ids_of(text)
 
 
