@@ -13,7 +13,18 @@
    unmatched pieces is dropped inside the join.  This loses no pair.
 4. Surviving pairs fetch their texts and are verified by Hyyroe's banded
    bit-parallel edit distance on what common prefix and suffix leave over.
-5. Links between distinct lines give classes (connected components).
+5. Longer lines also link when few of their words changed: one word edit
+   (insert, delete, replace) per ``PER_EDIT`` words of the longer line.  k edits
+   leave a run of (n - k) / (k + 1) equal words, so for every length class of
+   ``CLASSES`` the two lines share a window of ``q + w - 1`` words, and in it the
+   smallest of ``w`` hashes of ``q`` words (winnowing).  Lines meet on these
+   hashes, linear in their words; a 64-bit parity bitmap of the words drops
+   pairs beyond the threshold inside the join.  This loses no pair.  Survivors
+   are verified by the edit distance of their word sequences.
+6. Links between distinct lines give classes (connected components).
+
+Lines of fewer than ``PER_EDIT`` words keep the one-character threshold: there
+one changed word ("Page 1", "Page 2") is a different line.
 
 Edge cases: null texts and blank lines have no lines; lines shorter than
 ``min_chars`` are only matched exactly; repeated rows add copies; an empty
@@ -33,6 +44,10 @@ from tessera.operators.graph import components
 EDITS = 1
 MIN_CHARS = 20
 PIECES = 8
+PER_EDIT = 12
+# (words of the longer line from, q, w); q + w - 1 is at most the shortest
+# possible longest common run of the class
+CLASSES = [(12, 4, 3), (24, 5, 4), (60, 5, 6)]
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -197,22 +212,100 @@ def distance(pairs: DataFrame, edits: int) -> DataFrame:
     return df.where(F.col("distance") <= edits).drop("_x", "_y")
 
 
+def words_of(line: Column) -> Column:
+    return F.array_remove(F.split(line, r"[\x20\x09-\x0D]+", -1), "")
+
+
+def word_edits(n: Column, per_edit: int) -> Column:
+    return F.floor(n / per_edit).cast("int")
+
+
+def winnowed(words: Column, q: int, w: int, seed: int) -> Column:
+    """Hashes of ``q`` words that are the smallest of ``w`` neighbours; hashes
+    of different seeds never meet."""
+    n = F.size(words) - q + 1  # of shingles
+    shingles = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(F.xxhash64(F.lit(seed), F.slice(words, i, q)).alias("h"), i.alias("i")))
+    once = lambda value, fn: F.get(F.transform(F.array(value), fn), F.lit(0))
+    smallest = lambda a: F.transform(F.sequence(F.lit(0), F.greatest(n - w, F.lit(0))), lambda j: F.least(
+        *[F.coalesce(F.get(a, j + k), F.get(a, j)) for k in range(w)]))
+    # the place of the minimum only moves right: repeats stand together
+    fresh = lambda a: F.transform(F.filter(a, lambda x, j: (j == 0) | (F.get(a, j - 1)["i"] != x["i"])), lambda x: x["h"])
+    return F.array_distinct(once(once(shingles, smallest), fresh))
+
+
+def word_rows(docs: DataFrame, per_edit: int) -> DataFrame:
+    """Distinct lines that may link by words: id, n_words, sig (parity of the
+    words per hash bucket) and keys (class, hash)."""
+    df = lines_of(docs).select("id", pinned(words_of(F.col("line"))).alias("words")).withColumn("n_words", F.size("words"))
+    first = CLASSES[0][0]
+    df = df.where(F.col("n_words") >= first - first // per_edit)
+    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.xxhash64(w), F.lit(64)).cast("int"))
+    keys = []
+    for k, (low, q, w) in enumerate(CLASSES):
+        top = CLASSES[k + 1][0] if k + 1 < len(CLASSES) else None
+        inside = F.col("n_words") >= low - low // per_edit
+        if top:
+            inside = inside & (F.col("n_words") < top)
+        keys.append(F.when(inside, winnowed(F.col("words"), q, w, k)).otherwise(F.array().cast("array<long>")))
+    df = df.select("id", "n_words", F.aggregate("words", F.lit(0).cast("long"), lambda a, w: a.bitwiseXOR(bit(w))).alias("sig"),
+                   F.concat(*keys).alias("keys"))
+    return df.groupBy("id").agg(*[F.first(c).alias(c) for c in ("n_words", "sig", "keys")])  # equal lines have equal values
+
+
+def word_pairs(rows: DataFrame, per_edit: int) -> DataFrame:
+    """Distinct (a, b) ids that share a hash and could be within the word
+    threshold."""
+    side = lambda name: rows.select(F.col("id").alias(name), F.col("n_words").alias(f"n_{name}"), F.col("sig").alias(f"s_{name}"),
+                                    F.explode("keys").alias("key"))
+    left, right = side("a"), side("b")
+    k = word_edits(F.greatest("n_a", "n_b"), per_edit)
+    met = left.join(right, (left["key"] == right["key"]) & (F.col("a") < F.col("b")) & (F.abs(F.col("n_a") - F.col("n_b")) <= k)
+                    & (F.bit_count(F.col("s_a").bitwiseXOR(F.col("s_b"))) <= 2 * k))
+    return met.select("a", "b").distinct()
+
+
+def word_distance(pairs: DataFrame, per_edit: int) -> DataFrame:
+    """Adds ``distance``, the edit distance of the word sequences of x and y;
+    rows beyond the threshold are dropped."""
+    df = pairs.withColumns({"_x": pinned(words_of(F.col("x"))), "_y": pinned(words_of(F.col("y")))})
+    df = df.withColumn("_all", pinned(F.array_distinct(F.concat("_x", "_y"))))
+
+    def letters(words: str) -> Column:
+        """One character per word, the same for equal words of the pair."""
+        at = F.transform(words, lambda w: F.array_position("_all", w))
+        code = F.transform(at, lambda p: F.lpad(F.hex(F.when(p < 0xD800, p).otherwise(p + 0x800)), 8, "0"))  # no surrogates
+        return F.decode(F.unhex(F.array_join(code, "")), "UTF-32")
+
+    df = df.withColumn("_k", word_edits(F.greatest(F.size("_x"), F.size("_y")), per_edit))
+    df = df.withColumns({"_x": pinned(letters("_x")), "_y": pinned(letters("_y"))})
+    df = df.withColumn("distance", pinned(F.call_function("levenshtein", F.col("_x"), F.col("_y"), F.col("_k"))))
+    return df.where(F.col("distance") >= 0).drop("_x", "_y", "_all", "_k")
+
+
 def line_name(id_: str, id2: str) -> Column:
     return F.lower(F.concat(F.lpad(F.hex(id_), 16, "0"), F.lpad(F.hex(id2), 16, "0")))
 
 
-def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, per_edit: int | None = None) -> DataFrame:
     """One row per distinct line: line_id, first_doc (smallest doc_id with
-    it), copies, n_chars, n_links (distinct lines within ``edits``) and
-    class_id (smallest line_id of its component)."""
+    it), copies, n_chars, n_links (distinct lines within ``edits`` characters
+    or, with ``per_edit``, one word edit per so many words) and class_id
+    (smallest line_id of its component)."""
     lines = saved(keyed(docs, edits, min_chars), "lines-keyed")
-    pairs = saved(candidate_pairs(lines, edits), "lines-pairs")
+    near = candidate_pairs(lines, edits).withColumn("by_word", F.lit(False))
+    if per_edit:
+        by_word = word_pairs(saved(word_rows(docs, per_edit), "lines-words"), per_edit)
+        near = near.unionByName(by_word.withColumn("by_word", F.lit(True)))
+    pairs = saved(near, "lines-pairs")
     ids = saved(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "lines-ids")
     # few lines have a candidate; their texts are fetched, the others are not
     texts = saved(lines_of(docs).join(ids, "id", "left_semi").groupBy("id", "id2").agg(F.first("line").alias("line")), "lines-texts")
     side = lambda key, text: texts.select(F.col("id").alias(key), line_name("id", "id2").alias(f"{key}_name"), F.col("line").alias(text))
-    linked = distance(pairs.join(side("a", "x"), "a").join(side("b", "y"), "b"), edits)
-    links = saved(linked.select(F.col("a_name").alias("src"), F.col("b_name").alias("dst"), "distance").distinct(), "lines-links")
+    both = lambda flag: pairs.where(F.col("by_word") == flag).join(side("a", "x"), "a").join(side("b", "y"), "b")
+    linked = distance(both(False), edits)
+    if per_edit:
+        linked = linked.unionByName(word_distance(both(True), per_edit))
+    links = saved(linked.select(F.col("a_name").alias("src"), F.col("b_name").alias("dst")).distinct(), "lines-links")
     ends = links.select(F.col("src").alias("line_id")).union(links.select("dst"))
     count = saved(ends.groupBy("line_id").agg(F.count("*").alias("n_links")), "lines-count")
     label = components(count.withColumnRenamed("line_id", "id"), links).select(

@@ -71,3 +71,34 @@ def test_classes_against_brute_force(spark, edits):
 def test_empty(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert lines.line_classes(none).count() == 0
+
+
+def test_changed_words_in_long_lines(spark):
+    rnd = random.Random(8)
+    vocab = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randrange(2, 10))) for _ in range(300)]
+    common = [rnd.choice(vocab) for _ in range(9)]  # a passage of many lines
+    pool = []
+    for n in [8, 11, 12, 13, 22, 23, 24, 25, 26, 36, 59, 60, 61, 100, 130] * 2:
+        base = [rnd.choice(vocab) for _ in range(n)]
+        if n > 20:
+            base[5:14] = common
+        pool.append(base)
+        for changes in (1, 2, 3, n // 12, n // 12 + 1):
+            words = list(base)
+            for _ in range(changes):
+                k, kind = rnd.randrange(len(words)), rnd.randrange(3)
+                words[k:k + (kind != 0)] = [rnd.choice(vocab)] * (kind != 1)
+            pool.append(words)
+    names = sorted({" ".join(w) for w in pool})
+    near = {a: 0 for a in names}
+    for i, a in enumerate(names):
+        for b in names[:i]:
+            x, y = a.split(), b.split()
+            k = max(len(x), len(y)) // 12
+            if abs(len(x) - len(y)) <= k and lev(x, y) <= k or abs(len(a) - len(b)) <= 1 and min(len(a), len(b)) >= 20 and lev(a, b) <= 1:
+                near[a] += 1
+                near[b] += 1
+    docs = spark.createDataFrame(list(enumerate(names)) + [(900 + k, a) for k, a in enumerate(names[::3])], "doc_id long, text string")
+    got = {r["first_doc"]: r["n_links"] for r in lines.line_classes(docs, per_edit=lines.PER_EDIT).collect()}
+    assert got == {k: near[a] for k, a in enumerate(names)}
+    assert sum(map(bool, near.values())) > 100
