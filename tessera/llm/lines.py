@@ -22,13 +22,17 @@
    pairs beyond the threshold inside the join.  This loses no pair.  Survivors
    are verified by the edit distance of their word sequences.
 6. Links between distinct lines give classes (connected components).
+7. ``membership`` names every line of every text with its class; the first
+   line of a class, by doc_id and line number, is kept.  ``remove_lines``
+   gives the texts without the others.
 
 Lines of fewer than ``PER_EDIT`` words keep the one-character threshold: there
 one changed word ("Page 1", "Page 2") is a different line.
 
 Edge cases: null texts and blank lines have no lines; lines shorter than
 ``min_chars`` are only matched exactly; repeated rows add copies; an empty
-table gives no rows.
+table gives no rows.  In ``membership`` a null doc_id sorts first and rows that
+repeat a doc_id are separate texts (see ``suffix.numbered``).
 """
 
 from __future__ import annotations
@@ -39,6 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import pinned, saved
+from tessera.llm.suffix import numbered
 from tessera.operators.graph import components
 
 EDITS = 1
@@ -313,3 +318,41 @@ def line_classes(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS
     rows = lines.select(line_name("id", "id2").alias("line_id"), "first_doc", "copies", "n_chars")
     return (rows.join(count.join(label, "line_id"), "line_id", "left")
             .withColumns({"n_links": F.coalesce("n_links", F.lit(0)).cast("long"), "class_id": F.coalesce("class_id", "line_id")}))
+
+
+def membership(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(doc_id, doc, line_no, line_id, class_id, kept) of every line that is
+    not blank.  ``rows`` come from ``numbered``, ``classes`` from
+    ``line_classes``; line numbers count from 0 and include blank lines."""
+    line = F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
+    df = rows.select("doc_id", "doc", line).withColumn("line", F.btrim("line", F.lit(" \t\n\x0b\f\r"))).where("line != ''")
+    df = df.select("doc_id", "doc", "line_no", F.xxhash64("line").alias("id"), F.xxhash64(F.lit("second"), "line").alias("id2"))
+    # written: a join of two plain tables is one that Spark splits where a line is hot
+    df = saved(df.select("doc_id", "doc", "line_no", line_name("id", "id2").alias("line_id")), "lines-members")
+    place = F.struct("doc", "line_no")
+    first = df.groupBy("line_id").agg(F.min(place).alias("first"))  # partially combined per line, then per class
+    first = first.join(classes.select("line_id", "class_id"), "line_id")
+    first = saved(first.groupBy("class_id").agg(F.min("first").alias("first")), "lines-first")
+    named = saved(classes.select("line_id", "class_id").join(first, "class_id"), "lines-named")
+    return df.join(named, "line_id").select("doc_id", "doc", "line_no", "line_id", "class_id", (place == F.col("first")).alias("kept"))
+
+
+def line_members(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, per_edit: int | None = PER_EDIT) -> DataFrame:
+    """(doc_id, line_no, line_id, class_id, kept, first_doc, copies, n_chars,
+    n_links): every line of every text, with the values of its distinct line."""
+    classes = saved(line_classes(docs, edits, min_chars, per_edit), "lines-classes")
+    members = saved(membership(numbered(docs), classes), "lines-membership").drop("doc", "class_id")
+    return members.join(classes, "line_id").select(
+        "doc_id", "line_no", "line_id", "class_id", "kept", "first_doc", "copies", "n_chars", "n_links")
+
+
+def remove_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, per_edit: int | None = PER_EDIT) -> DataFrame:
+    """(doc_id, text, n_removed) per row of ``docs``: the text without lines
+    whose class has an earlier line.  Blank lines stay."""
+    rows = numbered(docs)
+    classes = saved(line_classes(docs, edits, min_chars, per_edit), "lines-classes")
+    gone = membership(rows, classes).where("not kept").groupBy("doc").agg(F.collect_set("line_no").alias("gone"))
+    left = F.filter(F.split("text", "\n", -1), lambda x, k: ~F.array_contains("gone", k))
+    return rows.join(gone, "doc", "left").select(
+        "doc_id", F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("text"),
+        F.coalesce(F.size("gone"), F.lit(0)).alias("n_removed"))

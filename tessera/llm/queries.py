@@ -153,7 +153,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op1_line_dedup")
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_classes(Tables(spark, sf_dir).documents, per_edit=lines.PER_EDIT)
+    return lines.line_members(Tables(spark, sf_dir).documents)
 
 
 @query("op6_suffix_dedup")

@@ -102,3 +102,24 @@ def test_changed_words_in_long_lines(spark):
     got = {r["first_doc"]: r["n_links"] for r in lines.line_classes(docs, per_edit=lines.PER_EDIT).collect()}
     assert got == {k: near[a] for k, a in enumerate(names)}
     assert sum(map(bool, near.values())) > 100
+
+
+def test_repeated_lines_are_removed(spark):
+    vocab = [f"word{k}" for k in range(40)]
+    long = " ".join(vocab[:30])
+    near = " ".join([*vocab[:12], "changed", *vocab[13:30]])
+    other = " ".join(vocab[25:40])
+    docs = [(3, f"{near}\n\n tiny\nown line of three"), (1, f"{long} \n{other}\n{long}"), (2, f"{other}\nrest\n\t{near}"), (7, None), (8, "rest"),
+            (2, f"again\n{long}"), (None, "tiny\nof no document")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = [tuple(r) for r in lines.remove_lines(df).collect()]
+    assert sorted(got, key=str) == sorted([
+        (None, "tiny\nof no document", 0), (1, f"{long} \n{other}", 1), (3, "\nown line of three", 2), (7, None, 0), (8, "", 1),
+        (2, "rest", 2), (2, "again", 1)], key=str)
+    members = lines.line_members(df).collect()
+    assert len(members) == 14
+    assert sorted((r["doc_id"], r["line_no"]) for r in members if r["copies"] > 1 and r["n_chars"] == len(other)) == [(1, 1), (2, 0)]
+    of = {r["class_id"] for r in members if r["n_links"]}
+    assert len(of) == 1 and sum(r["class_id"] in of for r in members) == 5
+    assert [(r["doc_id"], r["line_no"]) for r in members if r["class_id"] in of and r["kept"]] == [(1, 0)]
+    assert lines.remove_lines(df.limit(0)).count() == 0
