@@ -18,9 +18,9 @@ limits (see README), so the first rounds run on positions chosen by content:
 Ranks are 64-bit polynomial hashes; two of them (128 bits) must agree.
 Each batch settles its own repeats before the shuffle, so a passage shared by
 a third of all documents does not meet in one task.  Sorting is Spark's;
-tasks see sorted runs as a stream and keep at most the distinct contexts of
-one anchor.  Texts are shuffled only for documents that a bounded bitmap
-cannot rule out.
+tasks see sorted runs as a stream and hold one row.  The contexts of an anchor
+are counted by a partially combined aggregate that is joined back.  Texts are
+shuffled only for documents that a bounded bitmap cannot rule out.
 
 Edge cases: null and empty texts have no bytes and no spans; texts shorter
 than the threshold are kept; a null doc_id sorts first; rows that repeat a
@@ -172,18 +172,21 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.select("doc", "text").mapInPandas(run, "rank long, context long, doc long, low long, span int")
 
 
-def settled(found: DataFrame) -> DataFrame:
-    """(doc, low, high, open): repeated intervals, and open ones that are the
-    earliest of their context while their rank has other contexts."""
+def earliest(found: DataFrame) -> DataFrame:
+    """(rank, doc, low, high, first): ``first`` marks the earliest interval of
+    every (rank, context).  Tasks stream; the contexts of one rank are dealt
+    over all of them."""
+
+    def rows(pdf: pd.DataFrame, high: pd.Series, first: np.ndarray | bool) -> pd.DataFrame:
+        return pd.DataFrame({"rank": pdf["rank"], "doc": pdf["doc"], "low": pdf["low"], "high": high, "first": first})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None  # earliest interval of every context of the last rank
         last = None  # last (rank, context) seen
         for pdf in batches:
             known = pdf["span"].to_numpy() >= SETTLED
             if known.any():
                 done = pdf[known]
-                yield _rows(done.assign(high=done["low"] + done["span"] - SETTLED), False)
+                yield rows(done, done["low"] + done["span"] - SETTLED, False)
                 pdf = pdf[~known]
             rank, context = pdf["rank"].to_numpy(), pdf["context"].to_numpy()
             if not len(rank):
@@ -192,28 +195,21 @@ def settled(found: DataFrame) -> DataFrame:
             again[1:] = (rank[1:] == rank[:-1]) & (context[1:] == context[:-1])
             again[0] = last == (rank[0], context[0])
             last = rank[-1], context[-1]
-            pdf = pdf.assign(high=pdf["low"] + pdf["span"])
-            repeats = pdf[again]
-            firsts = pdf[~again] if held is None else pd.concat([held, pdf[~again]], ignore_index=True)
-            tail = firsts["rank"].to_numpy() == rank[-1]
-            held = firsts[tail]
-            yield pd.concat([_rows(repeats, False), _open(firsts[~tail])], ignore_index=True)
-        if held is not None:
-            yield _open(held)
-
-    def _rows(pdf: pd.DataFrame, flag: bool) -> pd.DataFrame:
-        return pd.DataFrame({"doc": pdf["doc"], "low": pdf["low"], "high": pdf["high"], "open": flag})
-
-    def _open(pdf: pd.DataFrame) -> pd.DataFrame:
-        r = pdf["rank"].to_numpy()  # sorted
-        twin = np.zeros(len(r), bool)
-        same = r[1:] == r[:-1]
-        twin[1:] |= same
-        twin[:-1] |= same
-        return _rows(pdf[twin], True)
-
-    return (found.repartition("rank").sortWithinPartitions("rank", "context", "doc", "low")
-            .mapInPandas(run, "doc long, low long, high long, open boolean"))
+            yield rows(pdf, pdf["low"] + pdf["span"], ~again)
+
+    return (found.repartition("rank", "context").sortWithinPartitions("rank", "context", "doc", "low")
+            .mapInPandas(run, "rank long, doc long, low long, high long, first boolean"))
+
+
+def settled(found: DataFrame) -> DataFrame:
+    """(doc, low, high, open): repeated intervals, and open ones that are the
+    earliest of their context while their rank has other contexts."""
+    rows = saved(earliest(found), "suffix-earliest")
+    firsts = rows.where("first").select("rank", "doc", "low", "high")
+    shared = saved(firsts.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank"), "suffix-shared")
+    opened = maybe_in(firsts, "rank", shared).where("_maybe").join(shared, "rank")
+    return (rows.where("not first").select("doc", "low", "high", F.lit(False).alias("open"))
+            .unionByName(opened.select("doc", "low", "high", F.lit(True).alias("open"))))
 
 
 def with_intervals(docs: DataFrame, intervals: DataFrame, keep_rest: bool) -> DataFrame:

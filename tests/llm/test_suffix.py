@@ -102,3 +102,19 @@ def test_query_against_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
     assert sorted(map(tuple, QUERIES["op6_suffix_dedup"](spark, sf).collect())) == brute(rows, 100)
+
+
+def test_contexts_of_one_anchor_are_dealt_out(spark):
+    # rank 1: 3000 contexts, one of them repeated; rank 2: one context, repeated; rank 3: alone
+    rows = [(1, c, 10 + c, 5, 3) for c in range(3000)] + [(1, 7, 9000, 2, 4), (2, 1, 4, 0, 1), (2, 1, 4, 50, 1), (3, 1, 5, 0, 2),
+                                                          (99, 1, 6, 0, 2 + suffix.SETTLED)]
+    found = spark.createDataFrame(rows, "rank long, context long, doc long, low long, span int").repartition(3)
+    want = {(10 + c, 5, 8, True) for c in range(3000)} | {(9000, 2, 6, False), (4, 50, 51, False), (6, 0, 2, False)}
+    got = [tuple(r) for r in suffix.settled(found).collect()]
+    assert len(got) == len(want) and set(got) == want
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tasks = suffix.earliest(found).where("rank = 1").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < 2000
