@@ -8,8 +8,9 @@ children are merged into ``*``.  A template is rejected if its smoothed share
 of good labels falls below the purity limit.
 
 The tree works on counts per distinct (host, path shape), aggregated before
-any shuffle, so a hot host costs as many rows as it has shapes.  Segments
-below ``MAX_DEPTH`` are one wildcard tail.
+any shuffle, so a hot host costs as many rows as it has shapes.  It is as deep
+as the paths; a shape that is alone below its node has only single children
+and gets its remaining segments at once.
 
 Edge cases: null urls and urls without ``://`` have empty host and path and
 fit no rule; repeated pages are judged row by row; repeated labels count
@@ -23,8 +24,6 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import ASCII_LOWER, ASCII_UPPER, saved
 
-MAX_DEPTH = 6
-
 # Fixed values: (host, path, verdict).
 RULES = [
     ("net", "/", "block"),
@@ -52,33 +51,35 @@ def rule_columns(host: Column, path: Column, rules=None) -> tuple[Column, Column
 
 
 def shape(path: Column) -> Column:
-    """Path segments with digit runs as {n}; deeper segments one tail."""
-    parts = F.array_remove(F.split(F.regexp_replace(path, "[0-9]+", "{n}"), "/", -1), "")
-    return F.when(F.size(parts) > MAX_DEPTH,
-                  F.concat(F.slice(parts, 1, MAX_DEPTH), F.array(F.lit("**")))).otherwise(parts)
+    """Path segments with digit runs as {n}."""
+    return F.array_remove(F.split(F.regexp_replace(path, "[0-9]+", "{n}"), "/", -1), "")
 
 
 def template_tree(shapes: DataFrame, z: float = 2.0, min_labels: int = 5) -> DataFrame:
     """(host, shape, template) from (host, shape, labelled, good)."""
-    df = saved(shapes.withColumn("template", F.lit("")), "url-shapes")
-    for d in range(MAX_DEPTH + 1):
+    df = saved(shapes.withColumns({"template": F.lit(""), "done": F.size("shape") == 0}), "url-shapes")
+    d = 0
+    while df.where("not done").limit(1).count():
         seg = F.get("shape", F.lit(d))
-        child = (df.where(F.size("shape") > d).groupBy("host", "template", seg.alias("seg"))
-                 .agg(F.sum("labelled").alias("cl"), F.sum("good").alias("cg")))
+        child = (df.where("not done").groupBy("host", "template", seg.alias("seg"))
+                 .agg(F.sum("labelled").alias("cl"), F.sum("good").alias("cg"), F.count("*").alias("below"), F.min("shape").alias("rest")))
         node = child.groupBy("host", "template").agg(
-            F.count("*").alias("children"), F.sum("cl").alias("nl"), F.sum("cg").alias("ng"))
+            F.count("*").alias("children"), F.sum("cl").alias("nl"), F.sum("cg").alias("ng"), F.sum("below").alias("all"))
         rate = (F.col("ng") + 0.5) / (F.col("nl") + 1)
         score = F.abs(F.col("cg") - F.col("cl") * rate) / F.sqrt(F.col("cl") * rate * (1 - rate))
         literal = (F.col("children") == 1) | ((F.col("cl") >= min_labels) & (score > z))
+        alone = F.col("all") == 1
+        tail = F.array_join(F.slice("rest", d + 1, F.size("rest")), "/")
         step = child.join(node, ["host", "template"]).select(
-            "host", "template", "seg", F.concat("template", F.lit("/"), F.when(literal, F.col("seg")).otherwise("*")).alias("next"))
-        df = (df.withColumn("seg", F.coalesce(seg, F.lit("")))
+            "host", "template", "seg", alone.alias("alone"),
+            F.concat("template", F.lit("/"), F.when(alone, tail).when(literal, F.col("seg")).otherwise("*")).alias("next"))
+        df = (df.withColumn("seg", F.when(F.col("done"), "").otherwise(seg))
               .join(step, ["host", "template", "seg"], "left")
-              .select("host", "shape", "labelled", "good", F.coalesce("next", "template").alias("template")))
+              .select("host", "shape", "labelled", "good", F.coalesce("next", "template").alias("template"),
+                      (F.col("done") | F.coalesce("alone", F.lit(False)) | (F.size("shape") <= d + 1)).alias("done")))
         df = saved(df, f"url-level{d}")
-        if not df.where(F.size("shape") > d + 1).limit(1).count():
-            break
-    return df
+        d += 1
+    return df.drop("done")
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules=None, min_purity: float = 0.5, weight: float = 10.0) -> DataFrame:

@@ -50,3 +50,16 @@ def test_templates_learn_from_labels(spark):
         templates[kind].add(r["template"])
     assert verdicts == {"spam": {"block"}, "news": {"allow"}, "blog": {"allow"}, "user": {"allow"}}
     assert templates["spam"] == {"/spam/{n}.html"} and templates["user"] != templates["spam"]
+
+
+def test_branches_that_part_below_six_segments(spark):
+    rows, labels = [], []
+    for k in range(200):
+        kind = ["spam", "news"][k % 2]
+        rows.append((k, f"http://h.example.io/a/b/c/d/e/f/g/{kind}/{k}.html"))
+        labels.append((k, 0 if kind == "spam" else 1))
+    rows.append((900, "http://h.example.io/a/b/c/d/e/f/g"))
+    got = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int"))
+    found = {(r["path"].split("/")[8] if r["page_id"] < 900 else "", r["verdict"], r["template"]) for r in got.collect()}
+    assert found == {("spam", "block", "/a/b/c/d/e/f/g/spam/{n}.html"), ("news", "allow", "/a/b/c/d/e/f/g/news/{n}.html"),
+                     ("", "allow", "/a/b/c/d/e/f/g")}
