@@ -178,30 +178,48 @@ def decontaminate(docs: DataFrame, bench: DataFrame, mode: str = "drop", size: i
                   block_bytes: int = 32 << 20) -> DataFrame:
     """``docs`` without contaminated rows (``drop``) or with the hit spans cut
     from their text (``cut``); all columns pass through.  A benchmark of
-    several blocks is applied block after block; for ``cut`` the later blocks
-    see the text that is left."""
+    several blocks is applied block after block; for ``cut`` every block sees
+    the input text, and the united spans are cut once at the end."""
     if mode not in ("drop", "cut"):
         raise ValueError(mode)
     names = docs.columns
     at = names.index("text")
+    span = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
 
-    def step(sent):
+    def drop(sent):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch.column(at).to_pylist()
-                _, spans, _ = _scan_batch(texts, sent.value)
-                if mode == "drop":
-                    yield batch.filter(pa.array([not s for s in spans], pa.bool_()))
-                elif any(spans):
-                    new = pa.array([cut_spans(t, s) if s else t for t, s in zip(texts, spans)], batch.schema.field(at).type)
-                    yield pa.RecordBatch.from_arrays(
-                        [new if k == at else batch.column(k) for k in range(len(names))], schema=batch.schema)
-                else:
-                    yield batch
+                _, spans, _ = _scan_batch(batch.column(at).to_pylist(), sent.value)
+                yield batch.filter(pa.array([not s for s in spans], pa.bool_()))
 
         return run
 
-    out = docs
+    def mark(sent):  # the last column holds the spans of the blocks so far
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                _, spans, _ = _scan_batch(batch.column(at).to_pylist(), sent.value)
+                every = [[*old, *({"a": a, "b": b} for a, b in s)] for old, s in zip(batch.column(len(names)).to_pylist(), spans)]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns[:-1], pa.array(every, span)], names=batch.schema.names)
+
+        return run
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            spans = [merged([(s["a"], s["b"]) for s in row]) for row in batch.column(len(names)).to_pylist()]
+            new = pa.array([cut_spans(t, s) if s else t for t, s in zip(texts, spans)], batch.schema.field(at).type)
+            yield pa.RecordBatch.from_arrays([new if k == at else batch.column(k) for k in range(len(names))], names=names)
+
+    send = docs.sparkSession.sparkContext.broadcast
+    if mode == "drop":
+        out = docs
+        for win in blocks(bench, size, block_bytes):
+            out = out.mapInArrow(drop(send(win)), docs.schema)
+        return out
+    extra = "_spans" + "_" * max(map(len, names))  # no input column has this name
+    out = docs.withColumn(extra, F.array().cast("array<struct<a:long,b:long>>"))
+    schema = out.schema
     for win in blocks(bench, size, block_bytes):
-        out = out.mapInArrow(step(docs.sparkSession.sparkContext.broadcast(win)), docs.schema)
-    return out
+        out = out.mapInArrow(mark(send(win)), schema)
+    return out.mapInArrow(cut, docs.schema)

@@ -83,3 +83,16 @@ def test_query_against_brute_force(spark):
         want[doc_id] = (len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit))
     got = {r[0]: tuple(r[1:]) for r in QUERIES["op3_benchmark_decontamination"](spark, sf).collect()}
     assert got == want and any(v[4] for v in want.values())
+
+
+def test_cut_does_not_depend_on_blocks(spark):
+    words = [f"w{k}" for k in range(40)]
+    # overlapping items, and one that only a cut would bring together
+    bench = spark.createDataFrame([("a", " ".join(words[5:15])), ("b", " ".join(words[10:20])), ("c", " ".join(words[12:24])),
+                                   ("d", " ".join(words[:5] + words[24:29]))], "item_id string, text string")
+    docs = spark.createDataFrame([(1, " ".join(words), "x"), (2, "clean text", "y"), (3, None, "z")], "doc_id long, text string, s string")
+    want = [(1, " ".join(words[:5]) + "  " + " ".join(words[24:]), "x"), (2, "clean text", "y"), (3, None, "z")]
+    for block_bytes in (1 << 20, 60):
+        got = decontam.decontaminate(docs, bench, "cut", block_bytes=block_bytes)
+        assert got.columns == docs.columns
+        assert sorted(map(tuple, got.collect())) == want
