@@ -1,8 +1,8 @@
 """Repeated byte strings by ranks of positions, doubled past the threshold.
 
 Prefix doubling ranks every position by ever longer prefixes and drops it
-once its rank is unique.  One row per byte position does not fit the disk
-limits (see README), so the first rounds run on positions chosen by content:
+once its rank is unique.  One row per byte position is many times the text
+(see README), so the first rounds run on positions chosen by content:
 
 1. Round one, 32 bytes.  For each start p the leftmost smallest 32-byte hash
    within its 100 bytes is p's anchor; equal 100-byte strings have equal
