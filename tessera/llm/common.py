@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.session import materialize
+from tessera.session import materialize, ship_package
 
 # The two word classes of the query contracts.
 SPACED_WORD = r"[^\x20\x09-\x0D]+"
@@ -43,6 +43,7 @@ def pinned(value: Column) -> Column:
 def saved(df: DataFrame, tag: str) -> DataFrame:
     """Write to the shared checkpoint folder and read back: later jobs then
     neither recompute the rows nor depend on one executor's memory."""
+    ship_package(df.sparkSession)
     return materialize(df, f"llm-{tag}")
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, licenses, lines, mixing, quality, simhash, suffix, tokens, urls, warc
+from tessera.llm import decontam, licenses, lines, mixing, quality, simhash, suffix, tokens, urls, vectorcodes, warc
 from tessera.llm.common import ASCII_LOWER, ASCII_UPPER
 from tessera.session import scratch_dir, ship_package
 from tessera.sources.tables import Tables
@@ -159,3 +159,36 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_suffix_dedup")
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove_repeats(Tables(spark, sf_dir).documents, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+def _lloyd_sql(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Codebook rounds as CTEs: b<k> the codebooks, a<k> the assignment to them."""
+    near = """a{k} AS (SELECT r, p, min_by(e, (d, e)) AS e, min(d) AS d FROM (
+  SELECT q.r, q.p, b.e, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - b.v[i]) * (q.v[i] - b.v[i]))) AS d
+  FROM q JOIN b{k} b ON b.p = q.p) GROUP BY r, p)"""
+    step = """m{k} AS (SELECT p, e, list(CAST(m AS BIGINT) ORDER BY i) AS v FROM (
+  SELECT a.p, a.e, i, floor(sum(q.v[i]) / count(*)) AS m FROM a{j} a JOIN q USING (r, p), range(1, {w}) t(i) WHERE i <= len(q.v) GROUP BY ALL) GROUP BY p, e),
+b{k} AS (SELECT b.p, b.e, coalesce(m.v, b.v) AS v FROM b{j} b LEFT JOIN m{k} m ON m.p = b.p AND m.e = b.e)"""
+    ctes = [near.format(k=0)]
+    for k in range(1, rounds + 1):
+        ctes += [step.format(k=k, j=k - 1, w=1025), near.format(k=k)]
+    body = ",\n".join(ctes)
+    hexes = " || ".join(f"printf('%02x', max(e) FILTER (WHERE p = {p}))" for p in range(parts))
+    return f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+  list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+q AS (SELECT r, p, v[p * len(v) // {parts} + 1:(p + 1) * len(v) // {parts}] AS v FROM kept, range(0, {parts}) t(p)),
+b0 AS (SELECT p, r - 1 AS e, v FROM q WHERE r <= {entries}),
+{body},
+c AS (SELECT r, {hexes} AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY r),
+s AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY p, e)) AS h FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256
+FROM c JOIN kept USING (r), s"""
+
+
+@query("op13_vector_codes", _lloyd_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vectorcodes.compress(Tables(spark, sf_dir).embeddings)
+    return vectorcodes.with_label_error(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(vectorcodes.books_digest(books)).alias("codebooks_sha256"))
