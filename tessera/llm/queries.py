@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, licenses, lines, mixing, quality, simhash, suffix, tokens, urls, vectorcodes, warc
+from tessera.llm import audit, decontam, licenses, lines, mixing, quality, simhash, suffix, tokens, urls, vectorcodes, warc
 from tessera.llm.common import ASCII_LOWER, ASCII_UPPER
 from tessera.session import scratch_dir, ship_package
 from tessera.sources.tables import Tables
@@ -192,3 +192,32 @@ def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     codes, books = vectorcodes.compress(Tables(spark, sf_dir).embeddings)
     return vectorcodes.with_label_error(codes).select(
         "vec_id", "code", "error", "label_error", F.lit(vectorcodes.books_digest(books)).alias("codebooks_sha256"))
+
+
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all(translate(coalesce(text, ''), '{ASCII_UPPER}', '{ASCII_LOWER}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+u AS (SELECT r, lang, source, term, count(*) AS n FROM (SELECT r, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS lang_n FROM u GROUP BY lang, term HAVING count(*) >= {audit.MIN_DOCS}),
+c AS (SELECT lang, source, term, sum(u.n) AS n FROM u JOIN k USING (lang, term) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS terms, sum(lang_n) AS lang_total FROM k GROUP BY lang),
+t AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+        CAST(1 + {audit.ONE} * (coalesce(c.n, 0) + 1) // (coalesce(t.total, 0) + v.terms) AS BIGINT) AS p,
+        CAST(1 + {audit.ONE} * (k.lang_n + 1) // (v.lang_total + v.terms) AS BIGINT) AS q
+      FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN t USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+x AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+      FROM p a JOIN p b USING (lang, term) WHERE a.source <> b.source GROUP BY ALL),
+o AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM o)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM z
+WHERE part = 'pair' OR rank <= {audit.TOP}"""
+
+
+@query("op11_source_audit", OP11_SQL)
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(Tables(spark, sf_dir).documents)

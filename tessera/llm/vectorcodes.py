@@ -180,12 +180,13 @@ def lloyd(members: RDD, owners: Owners, books: list[np.ndarray], rounds: int) ->
         stay = judged.filter(lambda kv: not kv[1][2])
         # filter keeps the partitioner, so only ``moved`` goes through a shuffle
         moved = judged.filter(lambda kv: kv[1][2]).partitionBy(members.getNumPartitions())
-        members = stay.union(moved).mapPartitions(
+        before, members = members, stay.union(moved).mapPartitions(
             lambda it: owners.gather((o, b[:2]) for o, b in it), preservesPartitioning=True)
         members = members.persist(StorageLevel.DISK_ONLY)
         members.checkpoint()
         members.count()
-        judged.unpersist()
+        for done in (judged, before):
+            done.unpersist()
     return members, books
 
 
