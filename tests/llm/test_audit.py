@@ -73,7 +73,7 @@ def test_joint_tables_in_small_chunks(monkeypatch):
     term, source = np.nonzero(count)
     left = np.array([True, True, False, False, True])
     names = np.array(list("abcde"))
-    total, seen = audit.joint_prices(names, base, left, ~left, term, source, count[term, source])
+    total, seen = audit.joint_prices(names, base, left, ~left, np.unique(term, return_inverse=True)[1], source, count[term, source])
     p = 1 + audit.ONE * (count + 1) // base
     held = count.any(axis=1)
     for i in range(5):
