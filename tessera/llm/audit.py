@@ -44,7 +44,7 @@ MIN_DOCS = 3
 ONE = 1_000_000_000
 TOP = 200
 BLOCK = 64
-TASK_CELLS = 2_000_000     # counts of one product group
+TASK_CELLS = 200_000       # counts of one product group
 CHUNK_CELLS = 1 << 23      # cells of one indicator matrix
 CHUNK_COLUMNS = 1024
 HELD_TERMS = 300_000       # partial counts a task holds before it hands them on
