@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import audit, decontam, licenses, lines, mixing, quality, simhash, suffix, tokens, urls, vectorcodes, warc
+from tessera.llm import audit, decontam, licenses, lines, mixing, pii, quality, simhash, suffix, tokens, urls, vectorcodes, warc
 from tessera.llm.common import ASCII_LOWER, ASCII_UPPER
 from tessera.session import scratch_dir, ship_package
 from tessera.sources.tables import Tables
@@ -221,3 +221,12 @@ WHERE part = 'pair' OR rank <= {audit.TOP}"""
 @query("op11_source_audit", OP11_SQL)
 def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(Tables(spark, sf_dir).documents)
+
+
+@query("op12_pii")
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(Tables(spark, sf_dir).documents)
+    base = F.filter("spans", lambda s: s["kind"] < len(pii.BASE_KINDS))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == pii.KINDS.index(k))).cast("long").alias(f"n_{k}")
+    return found.select("doc_id", *(count(k) for k in pii.BASE_KINDS),
+                        F.sha2(pii.span_list(base), 256).alias("base_sha256"), pii.span_list(F.col("spans")).alias("spans"))
