@@ -60,15 +60,26 @@ def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     return int(np.packbits(2 * count > len(hashes)).view(">u8")[0])
 
 
+def row_keys(docs: DataFrame) -> tuple[Column, Column]:
+    """Two 64-bit hashes that name a row by all its values (maps, which have
+    no hash, are left out)."""
+    cols = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    null = F.concat(*[F.when(c.isNull(), "0").otherwise("1") for c in cols])  # hashes skip nulls
+    return F.xxhash64(null, *cols), F.xxhash64(F.lit("second"), null, *cols)
+
+
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp is the fingerprint's bits as a signed long."""
+    """(doc_id, key1, key2, fp): fp is the fingerprint's bits as a signed
+    long, the keys are those of ``row_keys``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             bits = np.array([fingerprint(t, size) for t in pdf["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": bits.view(np.int64)})
+            yield pdf[["doc_id", "key1", "key2"]].assign(fp=bits.view(np.int64))
 
-    return docs.select("doc_id", "text").mapInPandas(run, "doc_id long, fp long")
+    key1, key2 = row_keys(docs)
+    rows = docs.select("doc_id", key1.alias("key1"), key2.alias("key2"), "text")
+    return rows.mapInPandas(run, "doc_id long, key1 long, key2 long, fp long")
 
 
 def block_spans(radius: int) -> list[tuple[int, int]]:
@@ -190,8 +201,9 @@ def links(distinct_fp: DataFrame, radius: int = RADIUS, bucket_rows: int = 65_53
             .mapInPandas(run, "src long, dst long").distinct())
 
 
-def near_duplicates(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
+def classes(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, key1, key2, fp, root, component_id) for every row of ``docs``;
+    ``root``, a fingerprint, names the component also where doc_ids repeat."""
     rows = saved(fingerprints(docs, size), "simhash-fp")
     first = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-first")
     edges = saved(links(first.select("fp"), radius), "simhash-links")
@@ -199,23 +211,35 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE)
     label = components(saved(ends, "simhash-ends"), edges).withColumnRenamed("id", "fp")
     linked = first.join(label, "fp")
     name = linked.join(linked.groupBy("comp").agg(F.min("first").alias("component_id")), "comp")
-    named = first.join(name.select("fp", "component_id"), "fp", "left").select(
-        "fp", F.coalesce("component_id", "first").alias("component_id"))
+    named = first.join(name.select("fp", "comp", "component_id"), "fp", "left").select(
+        "fp", F.coalesce("comp", "fp").alias("root"), F.coalesce("component_id", "first").alias("component_id"))
     # written: a join of two plain tables is one that Spark splits where a fingerprint is hot
     named = saved(named, "simhash-named")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(named, "fp").select("doc_id", "key1", "key2", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
+    """(doc_id, fp, component_id) for every row of ``docs``."""
+    return classes(docs, radius, size).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, size: int = SHINGLE) -> DataFrame:
-    """One row of ``docs`` per component: that of the smallest doc_id.  Rows
-    without a doc_id stay only where no row of their component has one."""
-    found = near_duplicates(docs, radius, size)
-    stay = saved(found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                 .groupBy("doc_id").agg(F.count("*").alias("_s_rows")).withColumnRenamed("doc_id", "_s_id"), "simhash-stay")
-    kept = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_s_id"]))
-    once = kept.where((F.col("_s_rows") == 1) | F.col("_s_id").isNull()).select(*docs.columns)
-    return once.unionByName(kept.where((F.col("_s_rows") > 1) & F.col("_s_id").isNotNull())
-                            .select(*docs.columns).dropDuplicates(["doc_id"]))
+    """One row of ``docs`` per component: that of the smallest (doc_id, nulls
+    last, fingerprint, row key).  Rows are told apart by all their values, so
+    repeated or null doc_ids neither lose a document nor keep a copy; of rows
+    equal in every value one stays."""
+    found = saved(classes(docs, radius, size), "simhash-classes")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "key1", "key2")
+    stay = found.groupBy("root").agg(F.min(place).alias("best")).select("best.key1", "best.key2")
+    twins = found.groupBy("key1", "key2").agg(F.count("*").alias("rows"))
+    free = lambda c: c if c not in docs.columns else free(f"_{c}")
+    k1, k2, n = free("_key1"), free("_key2"), free("_rows")
+    stay = saved(stay.join(twins, ["key1", "key2"]).toDF(k1, k2, n), "simhash-stay")
+    key1, key2 = row_keys(docs)
+    kept = docs.withColumns({k1: key1, k2: key2}).join(stay, [k1, k2])
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return kept.where(F.col(n) == 1).select(*own).unionByName(
+        kept.where(F.col(n) > 1).dropDuplicates([k1, k2]).select(*own))
 
 
 def hex_of(fp: Column) -> Column:

@@ -78,12 +78,44 @@ def test_near_duplicates_against_brute_force(spark):
     assert got == want
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted({c for c in comp if c is not None})
-    assert ids.count(None) == comp.count(None)
+    fp_of = {r[1]: f for r, f in zip(rows, fps)}
+    root = fingerprint_roots(fps, 4)
+    stayed = kept.collect()
+    assert len(stayed) == len(set(root.values())) == len({root[fp_of[r["text"]]] for r in stayed})
+    smallest = {}
+    for r, f in zip(rows, fps):
+        smallest[root[f]] = min(smallest.get(root[f], (True, 0)), (r[0] is None, r[0] or 0))
+    assert all((r["doc_id"] is None, r["doc_id"] or 0) == smallest[root[fp_of[r["text"]]]] for r in stayed)
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def fingerprint_roots(fps, radius):
+    lab = {f: f for f in fps}
+    for a in lab:
+        for b in lab:
+            if bin(a ^ b).count("1") <= radius and lab[a] != lab[b]:
+                x, y = lab[a], lab[b]
+                lab = {k: min(x, y) if v in (x, y) else v for k, v in lab.items()}
+    return lab
+
+
+A, B = "one text about some quite common things in the house", "another thing with words that are found nowhere else at all"
+
+
+@pytest.mark.parametrize("rows, want", [
+    ([(1, A), (3, A), (3, B)], [(1, A), (3, B)]),            # the copy of A goes although B has its id
+    ([(1, A), (1, B)], [(1, A), (1, B)]),                    # unrelated texts of one id both stay
+    ([(None, A), (None, A), (2, A), (None, B), (None, B)], [(2, A), (None, B)]),
+    ([(1, A), (1, A), (None, None), (None, None)], [(1, A), (None, None)]),
+])
+def test_keep_one_by_row(spark, rows, want):
+    schema = "doc_id long, text string, key1 string, _key1 long, _rows long, fp long, root string"
+    docs = spark.createDataFrame([(*r, "x", 1, 2, 3, "r") for r in rows], schema)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, want))
+
+
 def test_hot_bucket_is_dealt_in_chunks(spark):
     rng = np.random.default_rng(1)
     fps = sorted({int((1 << 40) ^ sum(1 << int(b) for b in rng.integers(0, 20, 3))) for _ in range(150)})
