@@ -5,6 +5,7 @@ from __future__ import annotations
 import functools
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm import decontam, mixing, quality, simhash, tokens
 from tessera.session import materialize, ship_package
@@ -14,7 +15,9 @@ from tessera.sources.tables import Tables
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor a learned rule reject."""
     rules = quality.learn_rules(docs, Tables(spark, sf_dir).labels)
-    return quality.judge(docs, rules).where("kept").select(*docs.columns)
+    # one column for the whole row: its names cannot meet those of the measures
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    return quality.judge(docs.select(row, "text"), rules, keep=["row"]).where("kept").select("row.*")
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
