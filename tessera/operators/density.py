@@ -63,6 +63,13 @@ def search_settings(search_type: str, eps_values, min_samples_values, n_iter: in
     raise ValueError(f"unknown search type {search_type!r}; use 'grid' or 'random'")
 
 
+def row_sample(df: DataFrame, id_col: str, fraction: float, seed: int = 42) -> DataFrame:
+    """The rows whose md5 of (seed, id) lies below the fraction: repeatable,
+    whatever the partitioning."""
+    high = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col(id_col).cast("string"))), 1, 8), 16, 10).cast("long")
+    return df.where(high < int(fraction * 2**32))
+
+
 def dedupe_points(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame, DataFrame]:
     """(points: id, vec, weight), (members: orig_id, id).  Identical vectors
     become one point (smallest id) whose weight is their count."""
@@ -121,29 +128,6 @@ def dbscan_grid(df: DataFrame, id_col: str, vec_col: str, settings: list[Setting
     return out
 
 
-def variance_ratio(points: DataFrame, keys: list[str], cluster: str, vec: str) -> DataFrame:
-    """(keys, n_points, n_clusters, n_noise, score): the ratio of between- to
-    within-cluster variance of the clustered points (cluster >= 0); minus
-    infinity for at most one cluster.
-
-    Sums per (cluster, dimension) are all it needs, so one partially combined
-    aggregate serves every setting, and no point meets a foreign centroid."""
-    entry = points.select(*keys, cluster, F.posexplode(vec).alias("dim", "x")).withColumn("x", F.col("x").cast("double"))
-    sums = entry.where(F.col(cluster) >= 0).groupBy(*keys, cluster, "dim").agg(
-        F.count("*").alias("n"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("q"))
-    own = sums.groupBy(*keys, cluster).agg(F.max("n").alias("n"), F.sum("q").alias("q"),
-                                           F.sum(F.col("s") * F.col("s") / F.col("n")).alias("c"))
-    own = own.groupBy(*keys).agg(F.sum("n").alias("n"), F.count("*").alias("k"), F.sum("q").alias("q"), F.sum("c").alias("c"))
-    whole = sums.groupBy(*keys, "dim").agg(F.sum("s").alias("s")).groupBy(*keys).agg(F.sum(F.col("s") * F.col("s")).alias("g"))
-    count = points.groupBy(*keys).agg(F.count("*").alias("n_points"), F.count_if(F.col(cluster) < 0).alias("n_noise"))
-    between = (F.col("c") - F.col("g") / F.col("n")) / (F.col("k") - 1)
-    within = (F.col("q") - F.col("c")) / (F.col("n") - F.col("k"))
-    ok = (F.col("k") > 1) & (F.col("n") > F.col("k")) & (F.col("q") > F.col("c"))
-    return count.join(own.join(whole, keys), keys, "left").select(
-        *keys, "n_points", F.coalesce("k", F.lit(0)).cast("long").alias("n_clusters"), "n_noise",
-        F.when(ok, F.try_divide(between, within)).otherwise(F.lit(float("-inf"))).alias("score"))
-
-
 def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: int,
            metric: str = "cosine", chunk_rows: int = 2048) -> DataFrame:
     """(<id_col>, cluster) for every input row."""

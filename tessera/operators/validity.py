@@ -11,11 +11,10 @@ Pairs are compared in blocks of bounded size (``keyed_block_pairs``); only
 per-point and per-cluster values leave a block.  Core distances are summed in log
 space, since 1 / distance to the power of the dimension overflows.
 
-Defined cases: at most one distinct label (noise counts as one) gives minus
-infinity.  A cluster without inner edges takes its largest edge, one without
-inner points all its points, as in the published code.  A single point has
-sparseness 0, and a cluster without another one separation infinity: validity
-1.  Points at distance zero do not count in a core distance; a point with only
+Defined cases: at most one cluster gives minus infinity, with or without noise
+(there is no separation, so such a labeling comes last in a search).  A
+cluster without inner edges takes its largest edge, one without inner points
+all its points, as in the published code.  A single point has sparseness 0.  Points at distance zero do not count in a core distance; a point with only
 such neighbours has core distance 0.  Equal separation and sparseness 0 is validity 0.
 """
 
@@ -113,7 +112,7 @@ def cluster_validity(points: DataFrame, keys: list[str], cluster: str = "cluster
     apart = separations(flagged, keys, cluster, metric, chunk_rows)
     rows = points.groupBy(*own).agg(F.count("*").alias("n")).join(sparse, own, "left").join(apart, own, "left")
     low, sep = F.coalesce("sparseness", F.lit(0.0)), F.coalesce("separation", F.lit(float("inf")))
-    value = F.when(F.isnull("separation"), F.lit(1.0)).when(F.greatest(sep, low) == 0, F.lit(0.0)).otherwise((sep - low) / F.greatest(sep, low))
+    value = F.when(F.greatest(sep, low) == 0, F.lit(0.0)).otherwise((sep - low) / F.greatest(sep, low))
     return rows.select(*own, "n", low.alias("sparseness"), sep.alias("separation"), value.alias("validity"))
 
 
@@ -126,7 +125,7 @@ def dbcv(points: DataFrame, keys: list[str], cluster: str = "cluster", metric: s
         F.count_if(F.col(cluster) == NOISE).alias("n_noise"))
     each = cluster_validity(points, keys, cluster, metric, chunk_rows)
     total = each.groupBy(*keys).agg(F.sum(F.col("n") * F.col("validity")).alias("total"))
-    one = F.col("n_clusters") + F.when(F.col("n_noise") > 0, 1).otherwise(0) <= 1
+    one = F.col("n_clusters") <= 1
     return count.join(total, keys, "left").select(
         *keys, "n_points", "n_clusters", "n_noise",
         F.when(one, F.lit(float("-inf"))).otherwise(F.col("total") / F.col("n_points")).alias("score"))

@@ -10,7 +10,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tessera.operators import aggs
 from tessera.plans import roles
-from tessera.plans.vectors import BEST_SQL
+from tessera.plans.vectors import SEARCH_SQL
 from tessera.plans.registry import ORACLES, QUERIES, query
 from tessera.plans.roles import BILLS_SQL, FULL_TEXT_SQL, with_views
 from tessera.session import scratch_dir
@@ -247,9 +247,9 @@ RUN_ID = "run-0"
 
 def _experiment_log(spark, sf_dir):
     """Two log tables of the run, read back: settings with scores, labels."""
-    from tessera.plans.vectors import _scored_search
+    from tessera.plans.vectors import GRID, _emb, _scored_search
 
-    labels, settings = _scored_search(Tables(spark, sf_dir))
+    labels, settings = _scored_search(_emb(Tables(spark, sf_dir)), GRID)
     out = []
     for name, df in (("settings", settings), ("labels", labels)):
         path = scratch_dir(spark, f"experiment-{name}")
@@ -258,7 +258,7 @@ def _experiment_log(spark, sf_dir):
     return out
 
 
-@query("sink_experiment_log", BEST_SQL + f"""
+@query("sink_experiment_log", SEARCH_SQL + f"""
 SELECT '{RUN_ID}' AS run_id, lab.param_id, CAST(eps AS DOUBLE) AS eps, CAST(ms AS BIGINT) AS min_samples, score, lab.vec_id, lab.cluster
 FROM lab JOIN scored USING (param_id) JOIN params USING (param_id)""")
 def sink_experiment_log(spark, sf_dir):

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tessera.functions import vectors as vx
-from tessera.operators import aggs, density, neighbours, sets
+from tessera.operators import aggs, density, hdbscan, neighbours, sets, spanning, validity
 from tessera.plans import roles
 from tessera.plans.registry import query
 from tessera.plans.roles import TESTIMONY_SQL
@@ -126,29 +126,74 @@ def srch_dbscan_grid(spark, sf_dir):
     return _dbscan(Tables(spark, sf_dir), GRID).select("param_id", "vec_id", "cluster")
 
 
-BEST_SQL = _dbscan_sql(GRID, """,
-pt AS (SELECT lab.param_id, lab.cluster, n.vec_id, unnest(n.e) AS x, unnest(range(len(n.e))) AS dim FROM lab JOIN n USING (vec_id)),
-cs AS (SELECT param_id, cluster, dim, count(*) AS n, sum(x) AS s, sum(x * x) AS q FROM pt WHERE cluster >= 0 GROUP BY ALL),
-cc AS (SELECT param_id, cluster, max(n) AS n, sum(q) AS q, sum(s * s / n) AS c FROM cs GROUP BY ALL),
-pc AS (SELECT param_id, sum(n) AS n, count(*) AS k, sum(q) AS q, sum(c) AS c FROM cc GROUP BY ALL),
-al AS (SELECT param_id, sum(s * s) AS g FROM (SELECT param_id, dim, sum(s) AS s FROM cs GROUP BY ALL) GROUP BY ALL),
-sc AS (SELECT l.param_id, CAST(count(*) AS BIGINT) AS n_points, CAST(count(*) FILTER (WHERE l.cluster < 0) AS BIGINT) AS n_noise
-       FROM lab l GROUP BY ALL),
-scored AS (SELECT sc.param_id, n_points, CAST(coalesce(k, 0) AS BIGINT) AS n_clusters, n_noise,
-       CASE WHEN k > 1 AND n > k AND q > c THEN round(((c - g / n) / (k - 1)) / ((q - c) / (n - k)), 4)
-            ELSE CAST('-inf' AS DOUBLE) END AS score
-FROM sc LEFT JOIN pc USING (param_id) LEFT JOIN al USING (param_id))
-""").replace("\n,\n", ",\n", 1)
-
-
-def _scored_search(t: Tables):
-    """(labels, settings with score, best first)."""
-    labels = materialize(_dbscan(t, GRID), "search-labels")
-    points = labels.join(_emb(t), "vec_id")
-    scored = density.variance_ratio(points, ["param_id"], "cluster", "embedding")
-    scored = scored.withColumn("score", F.round("score", 4))
-    eps = F.create_map(*[x for s in GRID for x in (F.lit(s.param_id), F.lit(s.eps))])
-    ms = F.create_map(*[x for s in GRID for x in (F.lit(s.param_id), F.lit(s.min_samples))])
+def _dbcv_sql(head: str, labels: str) -> str:
+    """DBCV per ``param_id``: ``labels`` selects (param_id, vec_id, cluster).
+    The spanning tree of a cluster is Prim's: each step keeps the points not yet
+    in the tree with their best edge, ordered by (weight, ends)."""
+    return f"""{head}
+lb AS MATERIALIZED ({labels}),
+dd AS MATERIALIZED (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.e, b.e) AS d FROM n a JOIN n b ON a.vec_id <> b.vec_id),
+ls AS (SELECT a.param_id AS k, a.cluster AS c, a.vec_id AS i, dd.j, dd.d FROM lb a JOIN dd ON dd.i = a.vec_id
+       JOIN lb b ON b.param_id = a.param_id AND b.cluster = a.cluster AND b.vec_id = dd.j WHERE a.cluster <> -1),
+sz AS (SELECT param_id AS k, cluster AS c, count(*) AS n FROM lb WHERE cluster <> -1 GROUP BY ALL),
+co AS MATERIALIZED (SELECT k, c, i, exp((mx + ln(sum(exp(lg - mx))) - ln(max(n) - 1)) / -max(dim)) AS core FROM (
+  SELECT ls.*, sz.n, len(n.e) AS dim, -len(n.e) * ln(d) AS lg, max(-len(n.e) * ln(d)) OVER (PARTITION BY k, c, i) AS mx
+  FROM ls JOIN sz USING (k, c) JOIN n ON n.vec_id = ls.i) GROUP BY k, c, i, mx),
+pm(k, c, step, i, core, w, lo, hi) AS (
+  SELECT s.k, s.c, 1, o.i, o.core, greatest(s.core, o.core, d), least(s.i, o.i), greatest(s.i, o.i)
+  FROM (SELECT k, c, min(i) AS i, arg_min(core, i) AS core FROM co GROUP BY k, c) s JOIN co o ON o.k = s.k AND o.c = s.c AND o.i <> s.i
+  JOIN dd ON dd.i = s.i AND dd.j = o.i
+  UNION ALL
+  SELECT k, c, step + 1, i, core, t[1], CAST(t[2] AS BIGINT), CAST(t[3] AS BIGINT) FROM (
+    SELECT q.*, CASE WHEN [greatest(pc, core, d), least(pick, q.i), greatest(pick, q.i)] < [w, lo, hi]
+                     THEN [greatest(pc, core, d), least(pick, q.i), greatest(pick, q.i)] ELSE [w, lo, hi] END AS t
+    FROM (SELECT *, first_value(i) OVER o AS pick, first_value(core) OVER o AS pc FROM pm
+          WINDOW o AS (PARTITION BY k, c ORDER BY w, lo, hi)) q
+    JOIN dd ON dd.i = pick AND dd.j = q.i)),
+tr AS MATERIALIZED (SELECT k, c, lo, hi, w FROM pm QUALIFY row_number() OVER (PARTITION BY k, c, step ORDER BY w, lo, hi) = 1),
+dg AS (SELECT k, c, i FROM (SELECT k, c, lo AS i FROM tr UNION ALL SELECT k, c, hi FROM tr) GROUP BY k, c, i HAVING count(*) > 1),
+sp AS (SELECT tr.k, tr.c, coalesce(max(w) FILTER (WHERE a.i IS NOT NULL AND b.i IS NOT NULL), max(w)) AS sparse
+       FROM tr LEFT JOIN dg a ON a.k = tr.k AND a.c = tr.c AND a.i = lo LEFT JOIN dg b ON b.k = tr.k AND b.c = tr.c AND b.i = hi GROUP BY ALL),
+inn AS MATERIALIZED (SELECT co.* FROM co LEFT JOIN dg USING (k, c, i)
+        WHERE dg.i IS NOT NULL OR (k, c) NOT IN (SELECT (k, c) FROM dg)),
+se AS (SELECT a.k, a.c, min(greatest(a.core, b.core, dd.d)) AS sep FROM inn a JOIN inn b ON a.k = b.k AND a.c <> b.c
+       JOIN dd ON dd.i = a.i AND dd.j = b.i GROUP BY ALL),
+va AS (SELECT sz.k, sum(sz.n * (sep - coalesce(sparse, 0)) / greatest(sep, coalesce(sparse, 0))) AS v
+       FROM sz LEFT JOIN sp USING (k, c) LEFT JOIN se USING (k, c) GROUP BY sz.k),
+scored AS (SELECT param_id, CAST(count(*) AS BIGINT) AS n_points,
+       CAST(count(DISTINCT cluster) FILTER (WHERE cluster <> -1) AS BIGINT) AS n_clusters,
+       CAST(count(*) FILTER (WHERE cluster = -1) AS BIGINT) AS n_noise,
+       CASE WHEN count(DISTINCT cluster) FILTER (WHERE cluster <> -1) <= 1 THEN CAST('-inf' AS DOUBLE) ELSE round(max(v) / count(*), 4) END AS score
+  FROM lb LEFT JOIN va ON va.k = lb.param_id GROUP BY param_id)
+"""
+
+
+def _head(sql: str) -> str:
+    """A statement's common tables, to go on with."""
+    return sql.rstrip().removesuffix(",") + ","
+
+
+def _search_tables(settings, sample: str = "TRUE") -> str:
+    head = _dbscan_sql(settings, "").replace(f"n AS ({VEC_SQL})", f"n AS ({VEC_SQL} WHERE {sample})")
+    return _dbcv_sql(_head(head), "SELECT param_id, vec_id, cluster FROM lab")
+
+
+SEARCH_SQL = _search_tables(GRID)
+BY_SCORE = """
+SELECT scored.param_id, CAST(eps AS DOUBLE) AS eps, CAST(ms AS BIGINT) AS min_samples, n_points, n_clusters, n_noise, score,
+       row_number() OVER (ORDER BY score DESC, scored.param_id) AS place
+FROM scored JOIN params USING (param_id)"""
+
+
+def _scored_search(df, settings):
+    """(labels, settings with DBCV score, best first) of the rows of ``df``."""
+    df = df.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    labels = density.dbscan_grid(df, "vec_id", "embedding", settings).withColumn("param_id", F.col("param_id").cast("long"))
+    labels = materialize(labels, "search-labels")
+    points = labels.join(df, "vec_id").select("param_id", F.col("vec_id").alias("id"), F.col("embedding").alias("vec"), "cluster")
+    scored = validity.dbcv(points, ["param_id"]).withColumn("score", F.round("score", 4))
+    eps = F.create_map(*[x for s in settings for x in (F.lit(s.param_id), F.lit(s.eps))])
+    ms = F.create_map(*[x for s in settings for x in (F.lit(s.param_id), F.lit(s.min_samples))])
     key = F.col("param_id").cast("int")
     # one row per setting
     place = F.row_number().over(Window.orderBy(F.desc("score"), "param_id")).cast("long")
@@ -156,14 +201,66 @@ def _scored_search(t: Tables):
                                  "n_points", "n_clusters", "n_noise", "score").withColumn("place", place)
 
 
-@query("srch_best_first", BEST_SQL + """
-SELECT scored.param_id, CAST(eps AS DOUBLE) AS eps, CAST(ms AS BIGINT) AS min_samples, n_points, n_clusters, n_noise, score,
-       row_number() OVER (ORDER BY score DESC, scored.param_id) AS place
-FROM scored JOIN params USING (param_id)""")
+@query("srch_best_first", SEARCH_SQL + BY_SCORE)
 def srch_best_first(spark, sf_dir):
-    """Search result: every setting of the grid with its score, best first
-    (place 1 is the chosen setting)."""
-    return _scored_search(Tables(spark, sf_dir))[1].orderBy("place")
+    """Grid search: every setting with its DBCV score, best first (place 1 is
+    the chosen setting)."""
+    return _scored_search(_emb(Tables(spark, sf_dir)), GRID)[1].orderBy("place")
+
+
+RANDOM = density.search_settings("random", GRID_EPS, GRID_MIN_SAMPLES, N_ITER, SEARCH_SEED)
+SAMPLE_FRAC = 0.6
+
+
+@query("srch_random_sample", _search_tables(
+    RANDOM, f"CAST('0x' || substr(md5('{SEARCH_SEED}|' || CAST(vec_id AS VARCHAR)), 1, 8) AS BIGINT) < {int(SAMPLE_FRAC * 2**32)}") + BY_SCORE)
+def srch_random_sample(spark, sf_dir):
+    """Random search on a row sample: ``N_ITER`` settings drawn without
+    replacement, scored on the rows whose hash lies below the fraction."""
+    rows = density.row_sample(_emb(Tables(spark, sf_dir)), "vec_id", SAMPLE_FRAC, SEARCH_SEED)
+    return _scored_search(rows, RANDOM)[1].orderBy("place")
+
+
+@query("clu_dbcv", _dbcv_sql(f"WITH RECURSIVE n AS ({VEC_SQL}),", "SELECT 0 AS param_id, vec_id, label AS cluster FROM embeddings")
+       + "SELECT n_points, n_clusters, n_noise, score FROM scored")
+def clu_dbcv(spark, sf_dir):
+    """Validity of the given labels as a clustering of the vectors."""
+    e = Tables(spark, sf_dir).embeddings
+    points = e.select(F.lit(0).alias("param_id"), F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vec"),
+                      F.col("label").cast("long").alias("cluster"))
+    return validity.dbcv(points, ["param_id"]).select("n_points", "n_clusters", "n_noise", F.round("score", 4).alias("score"))
+
+
+HDB_CLUSTER_SIZE, HDB_SAMPLES = 5, 3
+
+# Prim on the mutual-reachability distances; equal weights do not change the sums
+SPAN_SQL = f"""
+WITH RECURSIVE n AS ({VEC_SQL}),
+dd AS MATERIALIZED (SELECT a.vec_id AS i, b.vec_id AS j, list_distance(a.e, b.e) AS d FROM n a, n b),
+co AS MATERIALIZED (SELECT i, max(d) AS core FROM (SELECT i, d, row_number() OVER (PARTITION BY i ORDER BY d) AS r FROM dd) WHERE r <= {HDB_SAMPLES} GROUP BY i),
+mr AS MATERIALIZED (SELECT dd.i, dd.j, greatest(a.core, b.core, d) AS w FROM dd JOIN co a ON a.i = dd.i JOIN co b ON b.i = dd.j),
+pr(step, i, w) AS (
+  SELECT 1, j, w FROM mr WHERE i = (SELECT min(vec_id) FROM n) AND j <> i
+  UNION ALL
+  SELECT step + 1, q.i, least(q.w, mr.w) FROM (SELECT *, first_value(i) OVER (ORDER BY w, i) AS pick FROM pr) q
+  JOIN mr ON mr.i = pick AND mr.j = q.i WHERE q.i <> pick),
+tr AS (SELECT step, min(w) AS w FROM pr GROUP BY step)
+SELECT CAST(count(*) AS BIGINT) AS n_edges, round(sum(w), 6) AS total, round(min(w), 6) AS shortest, round(max(w), 6) AS longest FROM tr"""
+
+
+@query("clu_span_tree", SPAN_SQL)
+def clu_span_tree(spark, sf_dir):
+    """The spanning tree under HDBSCAN: edges, total weight, extremes."""
+    points = materialize(_emb(Tables(spark, sf_dir)).select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vec")), "span-points")
+    points = materialize(points.join(spanning.core_distances(points, HDB_SAMPLES), "id"), "span-core")
+    return spanning.spanning_tree(points).agg(
+        F.count("*").alias("n_edges"), F.round(F.sum("w"), 6).alias("total"), F.round(F.min("w"), 6).alias("shortest"),
+        F.round(F.max("w"), 6).alias("longest"))
+
+
+@query("clu_hdbscan")
+def clu_hdbscan(spark, sf_dir):
+    return hdbscan.hdbscan(_emb(Tables(spark, sf_dir)), "vec_id", "embedding", HDB_CLUSTER_SIZE, HDB_SAMPLES)
 
 
 def _grid_values_sql(settings) -> str:

@@ -128,6 +128,17 @@ def test_hdbscan_against_brute_force(spark, seed, least, samples, eps, chunk, ru
     assert got == want and max(want.values()) > 0
 
 
+def test_hdbscan_query(spark):
+    from tessera.plans import QUERIES
+    from tessera.plans.vectors import HDB_CLUSTER_SIZE, HDB_SAMPLES
+    from tests.conftest import SF_SMALL
+
+    rows = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").collect()
+    want = brute_hdbscan({r["vec_id"]: [float(x) for x in r["embedding"]] for r in rows}, HDB_CLUSTER_SIZE, HDB_SAMPLES)
+    assert {r["vec_id"]: r["cluster"] for r in QUERIES["clu_hdbscan"](spark, SF_SMALL).collect()} == want
+    assert len(set(want.values())) > 1
+
+
 def test_hdbscan_edges(spark):
     one = spark.createDataFrame([(7, [1.0, 2.0])], SCHEMA)
     assert [tuple(r) for r in hdb.hdbscan(one, "id", "vec", 2).collect()] == [(7, -1)]
@@ -153,7 +164,7 @@ def test_tree_is_the_same_in_any_blocks(spark, metric):
 
 
 def brute_dbcv(vecs, label):
-    if len(set(label.values())) <= 1:
+    if len(set(label.values()) - {-1}) <= 1:
         return -math.inf
     groups = defaultdict(list)
     for i, k in sorted(label.items()):
@@ -176,8 +187,8 @@ def brute_dbcv(vecs, label):
         inner[k] = mid or set(ids)
     total = 0.0
     for k, ids in groups.items():
-        sep = min((max(core[i], core[j], dist(vecs[i], vecs[j])) for o in groups if o != k for i in inner[k] for j in inner[o]), default=None)
-        total += len(ids) * (1.0 if sep is None else 0.0 if max(sep, sparse[k]) == 0 else (sep - sparse[k]) / max(sep, sparse[k]))
+        sep = min((max(core[i], core[j], dist(vecs[i], vecs[j])) for o in groups if o != k for i in inner[k] for j in inner[o]))
+        total += len(ids) * (0.0 if max(sep, sparse[k]) == 0 else (sep - sparse[k]) / max(sep, sparse[k]))
     return total / len(label)
 
 
@@ -203,7 +214,7 @@ def test_dbcv_against_brute_force(spark, chunk):
         rows += [(p, i, v, label[i]) for i, v in vecs.items()]
     df = spark.createDataFrame(rows, "param_id long, id long, vec array<double>, cluster long")
     got = {r["param_id"]: r["score"] for r in validity.dbcv(df, ["param_id"], chunk_rows=chunk).collect()}
-    assert got[2] == -math.inf and set(got) == set(want)
+    assert got[2] == got[3] == -math.inf and set(got) == set(want)
     for p in want:
         assert got[p] == pytest.approx(want[p], rel=1e-9)
 
