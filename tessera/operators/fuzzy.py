@@ -3,8 +3,8 @@
 * ``pair_scores``     - the three ratios of two name columns, per row.
 * ``fuzzy_pairs``     - every pair of distinct names with combined score
   >= threshold, mirrored, plus the self pair (score 100): the sparse
-  form of the reference's n x n score matrix.  All pairs are scored
-  exactly, in bounded blocks (``blockpairs``).
+  form of the n x n score matrix.  Names meet under the keys of ``namekeys``,
+  which lose no pair; the names of one key are compared in bounded blocks.
 * ``greedy_anchors``  - the queue clustering: in name order, a name is an
   anchor unless an earlier anchor matches it; a member joins the first
   (earliest) anchor that matches it.  Solved by rounds of joins: a name is
@@ -19,8 +19,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tessera.functions.fuzzy import combined_score, process, token_set_ratio, token_sort_ratio
-from tessera.operators.blockpairs import block_pairs
+from tessera.functions.fuzzy import combined_score, token_set_ratio, token_sort_ratio
+from tessera.operators.namekeys import key_rows
+from tessera.operators.spanning import keyed_block_pairs
 from tessera.session import ensure_checkpoint_dir, materialize
 
 SCORES = StructType([
@@ -91,30 +92,27 @@ def _candidates(sa: list[str], sb: list[str], threshold: int, same: bool, block:
 
 def _score_block(threshold: int):
     def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        ln = left["name"].tolist()
-        rn = right["name"].tolist()
-        lp = [process(x) for x in ln]
-        rp = lp if same else [process(x) for x in rn]
-        ls = [" ".join(sorted(x.split())) for x in lp]
-        rs = ls if same else [" ".join(sorted(x.split())) for x in rp]
-        out_a, out_b, out_s = [], [], []
+        key = (left if len(left) else right)["key_hash"].iat[0]
+        ln, rn, ls, rs = left["name"].tolist(), right["name"].tolist(), left["s"].tolist(), right["s"].tolist()
+        lk = [set(x.tolist()) for x in left["keys"]]
+        rk = lk if same else [set(x.tolist()) for x in right["keys"]]
+        out = []
         for i, j in _candidates(ls, rs, threshold, same):
-            pa, pb = lp[i], rp[j]
-            sc = (token_sort_ratio(pa, pb) + token_set_ratio(pa, pb)) // 2
+            if min(lk[i] & rk[j]) != key:
+                continue  # the pair is scored under its first common key
+            sc = (token_sort_ratio(ls[i], rs[j]) + token_set_ratio(ls[i], rs[j])) // 2
             if sc >= threshold:
-                out_a.append(ln[i])
-                out_b.append(rn[j])
-                out_s.append(sc)
-        return pd.DataFrame({"ANCHOR": pd.Series(out_a, dtype="string"),
-                             "MATCH": pd.Series(out_b, dtype="string"),
-                             "SIMILARITY_SCORE": pd.Series(out_s, dtype="int32")})
+                out.append((ln[i], rn[j], sc))
+        return pd.DataFrame(out, columns=["ANCHOR", "MATCH", "SIMILARITY_SCORE"])
     return fn
 
 
 def fuzzy_pairs(df: DataFrame, name_col: str, threshold: int = 80, chunk_rows: int = 512) -> DataFrame:
     names = df.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
-    names = materialize(names, "fuzzy-names")   # read k times by the block join
-    half = block_pairs(names, "name", _score_block(threshold), PAIR_SCHEMA, chunk_rows=chunk_rows)
+    names = materialize(names, "fuzzy-names")
+    rows = materialize(key_rows(names, threshold).withColumn("key_hash", F.hash("key")), "fuzzy-keys")
+    # a hot key is dealt into chunks; distinct: two keys may have one hash
+    half = keyed_block_pairs(rows, ["key"], "name", _score_block(threshold), PAIR_SCHEMA, chunk_rows).distinct()
     # both directions of a pair from one scoring pass
     flip = F.struct(F.col("MATCH").alias("ANCHOR"), F.col("ANCHOR").alias("MATCH"), "SIMILARITY_SCORE")
     both = half.select(F.explode(F.array(F.struct("ANCHOR", "MATCH", "SIMILARITY_SCORE"), flip)).alias("p")).select("p.*")

@@ -93,3 +93,44 @@ def test_golden_variants(spark):
     assert got == _brute_queue(GOLDEN_VARIANTS, 80)
     # the plain variants gather under the shortest name
     assert sum(1 for v in got.values() if v == "Sierra Club") >= 5
+
+
+def _invented(n, seed):
+    """Names of few to many words with dropped, doubled, swapped letters."""
+    import random
+
+    rng = random.Random(seed)
+    words = ["".join(rng.choice("abcdefghiklmnoprstuvw") for _ in range(rng.randint(1, 9))) for _ in range(60)]
+    out = []
+    for _ in range(n):
+        name = [rng.choice(words) for _ in range(rng.randint(1, 4))]
+        if rng.random() < 0.2:
+            name.append(name[0])
+        text = " ".join(name)
+        for _ in range(rng.randint(0, 2)):
+            k = rng.randrange(max(1, len(text)))
+            text = text or "q"
+            text = rng.choice([text[:k] + text[k + 1:], text[:k] + text[k] + text[k:], text[:k] + "x" + text[k + 1:], text.replace(" ", "", 1)])
+        out.append(rng.choice([text, text.title(), text + "!", "é" + text]))
+    return sorted(set(out) | {"", "--", "é", "a", "A", "ab", "b a"})
+
+
+@pytest.mark.parametrize("threshold, seed", [(80, 1), (80, 2), (90, 3), (70, 4), (68, 5), (100, 6)])
+def test_candidate_keys_lose_no_pair(spark, threshold, seed):
+    names = _invented(150, seed)
+    df = spark.createDataFrame([(n,) for n in names], "name string")
+    got = {(r.ANCHOR, r.MATCH, r.SIMILARITY_SCORE) for r in fuzzy.fuzzy_pairs(df, "name", threshold, chunk_rows=20).collect()}
+    assert got == _brute_pairs(names, threshold)
+
+
+def test_candidates_are_fewer_than_all_pairs(spark):
+    from tessera.operators.namekeys import key_rows
+
+    def met(names):
+        rows = key_rows(spark.createDataFrame([(n,) for n in names], "name string"), 80)
+        pairs = rows.alias("a").join(rows.alias("b"), "key").where("a.name < b.name").select("a.name", "b.name").distinct().count()
+        return pairs, len(names) * (len(names) - 1) // 2
+
+    met_golden, all_golden = met(GOLDEN_VARIANTS)
+    met_invented, all_invented = met(_invented(400, 9))
+    assert met_golden <= all_golden and met_invented < 0.5 * all_invented
