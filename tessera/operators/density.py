@@ -1,32 +1,40 @@
 """Density clustering (V5 DBSCAN, V12 one-job parameter search).
 
-DBSCAN as joins: identical vectors are merged into one point with a
-weight; the eps-graph is computed once (at the largest eps of a search)
-with the block join; for every setting, a point is core when its own
-weight plus its neighbours' reaches ``min_samples``; clusters are the
-connected components of the core-core graph; a border point joins the
-smallest adjacent cluster; the rest is noise (-1).
+Identical vectors are merged into one point with a weight.  Two passes over
+blocks of bounded size (``keyed_block_pairs``) replace an edge table:
+
+1. A block counts, per point and eps, the weight of its neighbours; sums
+   over the blocks tell for every setting whether a point is core.
+2. A block keeps, per setting, the connected core points of its two chunks as
+   a star (smallest id, member): a spanning forest of at most its rows.  A
+   border point keeps one link per such star it is next to.
+
+The components of the stars are the clusters; a border point joins the
+smallest cluster next to it; the rest is noise (-1).
 
 Cluster ids are deterministic: clusters are numbered 0, 1, ... in the
-order of their smallest core point id, and a border point takes the
-smallest adjacent cluster id - the labels a sequential scan in id order
-produces.
-
-All settings of a search run in one job: every edge is tagged with the
-settings whose eps it satisfies (a lookup in a literal array - the
-settings are a handful of driver-side values, so no join is needed) and
-every later step is keyed by ``param_id``.
+order of their smallest core point id (range offsets, no one-task window), and
+a border point takes the smallest adjacent cluster id - the labels a
+sequential scan in id order produces.
+
+All settings of a search run in one job: they are a handful of driver-side
+values, so both passes serve all of them and every later step is keyed by
+``param_id``.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.graph import components
-from tessera.operators.neighbours import eps_edges
+from tessera.operators.neighbours import distance_matrix, vectors_of
+from tessera.operators.ordering import with_position
+from tessera.operators.spanning import keyed_block_pairs
 from tessera.session import materialize
 
 
@@ -78,9 +86,86 @@ def dedupe_points(df: DataFrame, id_col: str, vec_col: str) -> tuple[DataFrame,
     return g.select("id", F.col(vec_col).alias("vec"), "weight"), members
 
 
-def _settings_array(settings: list[Setting]):
-    return F.array(*[F.struct(F.lit(s.param_id).alias("param_id"), F.lit(s.eps).alias("eps"),
-                              F.lit(s.min_samples).alias("min_samples")) for s in settings])
+STAR, BORDER = 0, 1
+
+
+def _neighbour_weights(pts: DataFrame, eps: list[float], metric: str, chunk_rows: int) -> DataFrame:
+    """(id, w0, w1, ...): weight of the other points within each eps."""
+    names = [f"w{k}" for k in range(len(eps))]
+
+    def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
+        d = block_distances(left, right, same, metric)
+        wl, wr = left["weight"].to_numpy(np.int64), right["weight"].to_numpy(np.int64)
+        rows = [left["id"]] if same else [left["id"], right["id"]]
+        out = {"id": pd.concat(rows)}
+        for name, e in zip(names, eps):
+            near = (d <= e).astype(np.int64)
+            out[name] = near @ wr if same else np.concatenate([near @ wr, near.T @ wl])
+        return pd.DataFrame(out)
+
+    schema = "id long, " + ", ".join(f"{n} long" for n in names)
+    parts = keyed_block_pairs(pts.select("id", "vec", "weight"), [], "id", fn, schema, chunk_rows)
+    return parts.groupBy("id").agg(*(F.sum(n).alias(n) for n in names))
+
+
+def block_distances(left: pd.DataFrame, right: pd.DataFrame, same: bool, metric: str) -> np.ndarray:
+    """Distances between the points of two chunks; infinite to itself."""
+    if not len(left) or not len(right):
+        return np.zeros((len(left), len(right)))
+    a = vectors_of(left["vec"], metric == "cosine")
+    d = distance_matrix(a, a if same else vectors_of(right["vec"], metric == "cosine"), metric)
+    if same:
+        np.fill_diagonal(d, np.inf)
+    return d
+
+
+def _local_roots(near: np.ndarray) -> np.ndarray:
+    """Smallest row number reachable from each row of a symmetric boolean
+    matrix; every row is expanded once."""
+    root = np.full(len(near), -1)
+    for i in range(len(near)):
+        if root[i] >= 0:
+            continue
+        front = np.array([i])
+        root[i] = i
+        while len(front):
+            front = np.flatnonzero(near[front].any(axis=0) & (root < 0))
+            root[front] = i
+    return root
+
+
+def _stars(pts: DataFrame, settings: list[Setting], metric: str, chunk_rows: int) -> DataFrame:
+    """(kind, param_id, a, b): core points b joined to the smallest id a of
+    their star, and border points b next to the star of a."""
+
+    def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
+        d = block_distances(left, right, same, metric)
+        rows = left if same else pd.concat([left, right])
+        order = np.argsort(rows["id"].to_numpy(np.int64), kind="stable")
+        ids, core = rows["id"].to_numpy(np.int64)[order], np.array(rows["core"].tolist(), dtype=bool).reshape(len(rows), len(settings))[order]
+        out = []
+        for k, s in enumerate(settings):
+            near = np.zeros((len(rows), len(rows)), bool)
+            n = len(left)
+            if same:
+                near = d <= s.eps
+            elif 0 < n < len(rows):
+                near[:n, n:] = d <= s.eps
+                near[n:, :n] = near[:n, n:].T
+            near = near[np.ix_(order, order)]
+            at = np.flatnonzero(core[:, k])
+            root = at[_local_roots(near[np.ix_(at, at)])] if len(at) else at
+            joined = root != at
+            out.append((STAR, s.param_id, ids[root[joined]], ids[at[joined]]))
+            star = np.full(len(rows), -1)
+            star[at] = root
+            edge = np.flatnonzero(~core[:, k] & near[:, at].any(axis=1)) if len(at) else at
+            for i in edge.tolist():
+                out.append((BORDER, s.param_id, ids[np.unique(star[at[near[i, at]]])], ids[i]))
+        parts = [pd.DataFrame({"kind": kind, "param_id": p, "a": a, "b": b}) for kind, p, a, b in out if np.size(a)]
+        return pd.concat(parts) if parts else pd.DataFrame({"kind": [], "param_id": [], "a": [], "b": []}, dtype="int64")
+
+    return keyed_block_pairs(pts.select("id", "vec", "core"), [], "id", fn, "kind int, param_id int, a long, b long", chunk_rows)
 
 
 def dbscan_grid(df: DataFrame, id_col: str, vec_col: str, settings: list[Setting],
@@ -88,44 +173,28 @@ def dbscan_grid(df: DataFrame, id_col: str, vec_col: str, settings: list[Setting
     """(param_id, <id_col>, cluster) for every input row and setting."""
     pts, members = dedupe_points(df, id_col, vec_col)
     pts = materialize(pts, "dbscan-points")
-    n_pts = pts.count()
-    max_eps = max(s.eps for s in settings)
-    edges = materialize(eps_edges(pts, "id", "vec", max_eps, metric, chunk_rows, n_pts), "dbscan-edges")
-    sarr = _settings_array(settings)
-    # tag each edge with the settings it belongs to
-    tagged = edges.select("src", "dst", F.explode(F.filter(sarr, lambda s: s["eps"] >= F.col("dist"))).alias("s"))
-    tagged = tagged.select(F.col("s.param_id").alias("param_id"), "src", "dst")
-    w = pts.select("id", "weight")
-    # neighbour weight per (setting, point), both directions of each edge
-    nb = (tagged.join(w.withColumnRenamed("id", "dst").withColumnRenamed("weight", "w_dst"), "dst")
-                .select("param_id", F.col("src").alias("id"), F.col("w_dst").alias("w"))
-                .unionByName(tagged.join(w.withColumnRenamed("id", "src").withColumnRenamed("weight", "w_src"), "src")
-                             .select("param_id", F.col("dst").alias("id"), F.col("w_src").alias("w"))))
-    nbw = nb.groupBy("param_id", "id").agg(F.sum("w").alias("nb_weight"))
-    per = (w.select("id", "weight", F.explode(sarr).alias("s"))
-            .select(F.col("s.param_id").alias("param_id"), "id", "weight", F.col("s.min_samples").alias("ms")))
-    per = per.join(nbw, ["param_id", "id"], "left")
-    per = per.withColumn("core", (F.col("weight") + F.coalesce("nb_weight", F.lit(0))) >= F.col("ms"))
-    per = materialize(per.select("param_id", "id", "core"), "dbscan-core")
-    core = per.filter("core").select("param_id", "id")
-    core_edges = (tagged.join(core.withColumnRenamed("id", "src"), ["param_id", "src"])
-                        .join(core.withColumnRenamed("id", "dst"), ["param_id", "dst"]))
-    comp = components(core, core_edges, keys=["param_id"])
-    # number clusters per setting by their smallest core id
-    roots = comp.select("param_id", "comp").distinct()
-    roots = roots.withColumn("cluster", (F.dense_rank().over(Window.partitionBy("param_id").orderBy("comp")) - 1))
-    core_lab = comp.join(roots, ["param_id", "comp"]).select("param_id", "id", "cluster")
-    # border points: smallest adjacent cluster
-    adj = (tagged.select("param_id", "src", "dst")
-                 .unionByName(tagged.select("param_id", F.col("dst").alias("src"), F.col("src").alias("dst"))))
-    border = (adj.join(core_lab.withColumnRenamed("id", "dst"), ["param_id", "dst"])
-                 .groupBy("param_id", F.col("src").alias("id")).agg(F.min("cluster").alias("b_cluster")))
-    lab = (per.join(core_lab, ["param_id", "id"], "left").join(border, ["param_id", "id"], "left")
-              .select("param_id", "id",
-                      F.when(F.col("core"), F.col("cluster"))
-                       .otherwise(F.coalesce(F.col("b_cluster"), F.lit(-1))).cast("long").alias("cluster")))
-    out = members.join(lab, "id").select("param_id", F.col("orig_id").alias(id_col), "cluster")
-    return out
+    eps = sorted({s.eps for s in settings})
+    weights = _neighbour_weights(pts, eps, metric, chunk_rows)
+    is_core = F.array(*(F.col("weight") + F.col(f"w{eps.index(s.eps)}") >= s.min_samples for s in settings))
+    pts = materialize(pts.join(weights, "id").select("id", "vec", is_core.alias("core")), "dbscan-core")
+    links = materialize(_stars(pts, settings, metric, chunk_rows), "dbscan-links")
+
+    flags = F.array(*(F.struct(F.lit(s.param_id).alias("param_id"), F.get("core", F.lit(k)).alias("core")) for k, s in enumerate(settings)))
+    per = pts.select("id", F.inline(flags))
+    star = links.where(F.col("kind") == STAR).select("param_id", F.col("a").alias("src"), F.col("b").alias("dst"))
+    ends = star.select("param_id", F.explode(F.array("src", "dst")).alias("id")).distinct()
+    joined = components(materialize(ends, "dbscan-ends"), star, keys=["param_id"])
+    core = per.where("core").select("param_id", "id").join(joined, ["param_id", "id"], "left")
+    core = materialize(core.withColumn("comp", F.coalesce("comp", "id")), "dbscan-comp")
+    roots = with_position(core.where("id = comp").select("param_id", "comp"), ["param_id", "comp"])
+    first = roots.groupBy("param_id").agg(F.min("pos").alias("first"))
+    roots = roots.join(first, "param_id").select("param_id", "comp", (F.col("pos") - F.col("first")).alias("cluster"))
+    core = materialize(core.join(roots, ["param_id", "comp"]).select("param_id", "id", "cluster"), "dbscan-labels")
+    border = (links.where(F.col("kind") == BORDER).select("param_id", F.col("a").alias("id"), F.col("b").alias("of"))
+              .join(core, ["param_id", "id"]).groupBy("param_id", F.col("of").alias("id")).agg(F.min("cluster").alias("cluster")))
+    label = per.select("param_id", "id").join(core.unionByName(border), ["param_id", "id"], "left")
+    label = label.withColumn("cluster", F.coalesce("cluster", F.lit(-1)).cast("long"))
+    return members.join(label, "id").select("param_id", F.col("orig_id").alias(id_col), "cluster")
 
 
 def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: int,

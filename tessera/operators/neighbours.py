@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tessera.operators.blockpairs import block_pairs
 
 
-def _matrix(col: pd.Series, normalize: bool) -> np.ndarray:
+def vectors_of(col: pd.Series, normalize: bool) -> np.ndarray:
     if len(col) == 0:
         return np.zeros((0, 0))
     m = np.stack([np.asarray(v, dtype=np.float64) for v in col])
@@ -26,7 +26,7 @@ def _matrix(col: pd.Series, normalize: bool) -> np.ndarray:
     return m
 
 
-def _distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+def distance_matrix(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     if metric == "cosine":
         return 1.0 - a @ b.T
     sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
@@ -42,12 +42,12 @@ def eps_edges(df: DataFrame, id_col: str, vec_col: str, eps: float, metric: str
     norm = metric == "cosine"
 
     def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        a = _matrix(left[vec_col], norm)
-        b = a if same else _matrix(right[vec_col], norm)
+        a = vectors_of(left[vec_col], norm)
+        b = a if same else vectors_of(right[vec_col], norm)
         if len(a) == 0 or len(b) == 0:
             return pd.DataFrame({"src": pd.Series([], dtype="int64"), "dst": pd.Series([], dtype="int64"),
                                  "dist": pd.Series([], dtype="float64")})
-        d = _distances(a, b, metric)
+        d = distance_matrix(a, b, metric)
         ia = left[id_col].to_numpy(np.int64)
         ib = ia if same else right[id_col].to_numpy(np.int64)
         mask = d <= eps
@@ -86,14 +86,14 @@ def topk_neighbours(df: DataFrame, id_col: str, vec_col: str, k: int, metric: st
         return out_i, out_j, out_d
 
     def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        a = _matrix(left[vec_col], norm)
-        b = a if same else _matrix(right[vec_col], norm)
+        a = vectors_of(left[vec_col], norm)
+        b = a if same else vectors_of(right[vec_col], norm)
         ia = left[id_col].to_numpy(np.int64)
         ib = ia if same else right[id_col].to_numpy(np.int64)
         if len(a) == 0 or len(b) == 0:
             return pd.DataFrame({"id": pd.Series([], dtype="int64"), "nb": pd.Series([], dtype="int64"),
                                  "dist": pd.Series([], dtype="float64")})
-        d = _distances(a, b, metric)
+        d = distance_matrix(a, b, metric)
         i1, j1, d1 = best(d, ia, ib, same)
         if not same:
             i2, j2, d2 = best(d.T, ib, ia, False)
