@@ -7,22 +7,27 @@ columns.  Ids are dictionary-encoded; where a dictionary grows too large the
 version-2 writer falls back to delta encoding.  Every file row carries its
 ``shard`` and ``pos``, so starts come from one small table of shard totals.
 
-Tokenising: white space never joins two tokens, so a text is cut at blanks
-and line feeds and each piece is encoded once per worker (a cache of bounded
-size).
+Tokenising: with the normaliser and word splitting of ``SPLITS_AT_BLANKS``,
+white space never joins two tokens.  A text is then cut at blanks and line feeds,
+the distinct pieces of a part of a batch are encoded once (and kept in a cache
+of bounded size), and the ids are gathered by piece number.  Texts of any other
+tokenizer file are encoded whole.
 
 Edge cases: null and empty texts give only the end id; a null doc_id sorts
-first; repeated rows are separate documents in file order; an empty table
-writes an empty file set that reads back as no rows.
+first; rows of equal doc_id stand in the order of their texts; repeated rows are
+separate documents; an empty table writes an empty file set that reads back as
+no rows.
 """
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +37,17 @@ from pyspark.sql.window import Window
 from tessera.session import scratch_dir
 
 END_ID = 1
-CACHE_PIECES = 200_000
 CACHE_WORDS = 700_000
+PART_BYTES = 16 << 20  # text of one part; a longer text is a part of its own
+# The normaliser and word splitting that PieceIds is written for.
+SPLITS_AT_BLANKS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
 WRITE_OPTIONS = {
     "parquet.block.size": str(32 << 20),
     "parquet.page.size": str(256 << 10),
@@ -52,42 +66,40 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
-class PieceIds(dict):
-    """piece -> its ids as little-endian unsigned 32-bit bytes.
-
-    Words without a closing mark live in ``words``, all pieces as they stand
-    in the text here; both are cleared when they reach their size."""
+class PieceIds:
+    """Ids of pieces between blanks as little-endian unsigned 32-bit bytes.
+    Words, pieces without a closing mark, are cached; the cache is cleared when it
+    reaches its size."""
 
-    def __init__(self, tokenizer_json: str, pieces: int = CACHE_PIECES, words: int = CACHE_WORDS):
+    def __init__(self, tokenizer_json: str, words: int = CACHE_WORDS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer, self.pieces, self.max_words = Tokenizer.from_str(tokenizer_json), pieces, words
-        self.model, self.words = self.tokenizer.model, {}
+        self.tokenizer, self.max_words = Tokenizer.from_str(tokenizer_json), words
+        self.model, self.words = self.tokenizer.model, {"": b""}
         self.id_bytes = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size())]
         self.shown = byte_characters()
 
-    def __missing__(self, piece: str) -> bytes:
-        # a "<" may belong to a special token, which is matched before lower-casing
-        word = piece.lower() if piece.isascii() and "<" not in piece else piece
-        mark = b""
-        if len(word) > 1 and word[-1] in ".," and word[-2].isalnum() and "<" not in word:
-            # a mark after a letter or digit is a token group of its own
-            word, mark = word[:-1], self[word[-1]]
+    def word_ids(self, word: str) -> bytes:
         got = self.words.get(word)
         if got is None:
             if len(self.words) >= self.max_words:
-                self.words.clear()
+                self.words = {"": b""}
             got = self.words[word] = self.lookup(word)
-        got += mark
-        if len(self) >= self.pieces:
-            self.clear()
-        self[piece] = got
         return got
 
+    def piece_ids(self, piece: str) -> bytes:
+        # a "<" may belong to a special token, which is matched before lower-casing
+        if "<" in piece:
+            return self.word_ids(piece)
+        word = piece.lower() if piece.isascii() else piece
+        if word[-1:] in (".", ",") and word[-2:-1].isalnum():
+            # a mark after a letter or digit is a token group of its own
+            return self.word_ids(word[:-1]) + self.word_ids(word[-1])
+        return self.word_ids(word)
+
     def lookup(self, word: str) -> bytes:
         """Ids of a word: lower-case Latin letters are one token group that
         needs no normalising, so they go straight to the model."""
@@ -96,26 +108,66 @@ class PieceIds(dict):
             return b"".join([self.id_bytes[t.id] for t in self.model.tokenize(shown)])
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        return b"".join([self[p] for p in text.replace("\n", " ").split(" ") if p])
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, number of ids per text)."""
+        lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        pieces = lists.flatten().dictionary_encode()
+        coded = [self.piece_ids(p) for p in pieces.dictionary.to_pylist()]
+        pool = np.frombuffer(b"".join(coded), "<i4")
+        size = np.array([len(c) for c in coded], np.int64) // 4
+        first = np.cumsum(size) - size
+        at = pieces.indices.to_numpy(zero_copy_only=False)
+        n = size[at]
+        end = np.cumsum(n)
+        ids = pool[np.repeat(first[at] - (end - n), n) + np.arange(int(n.sum()))]
+        last = np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+        return ids, np.diff(np.concatenate(([0], np.concatenate(([0], end))[last])))
+
+
+class WholeTexts:
+    """Encodes whole texts with any tokenizer file."""
+
+    def __init__(self, tokenizer_json: str):
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = [e.ids for e in self.tokenizer.encode_batch([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+        return np.array([i for ids in found for i in ids], "<i4"), np.array([len(ids) for ids in found], np.int64)
+
 
+def splits_at_blanks(tokenizer_json: str) -> bool:
+    """Whether pieces between blanks may be encoded one by one."""
+    spec = json.loads(tokenizer_json)
+    return (all(spec[k] == v for k, v in SPLITS_AT_BLANKS.items())
+            and all("<" in t["content"] and " " not in t["content"] for t in spec["added_tokens"]))
 
-_caches: dict[str, PieceIds] = {}
 
+_caches: dict[str, PieceIds | WholeTexts] = {}
 
-def cache_for(tokenizer_json: str) -> PieceIds:
-    """The worker's cache; workers are reused, so later tasks start warm."""
+
+def cache_for(tokenizer_json: str) -> PieceIds | WholeTexts:
+    """The worker's encoder; workers are reused, so later tasks start warm."""
     if tokenizer_json not in _caches:
         _caches.clear()
-        _caches[tokenizer_json] = PieceIds(tokenizer_json)
+        _caches[tokenizer_json] = (PieceIds if splits_at_blanks(tokenizer_json) else WholeTexts)(tokenizer_json)
     return _caches[tokenizer_json]
 
 
+def parts_of(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about ``PART_BYTES`` of text each."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    k = 0
+    while k < batch.num_rows:
+        done = size[k - 1] if k else 0
+        to = max(k + 1, int(np.searchsorted(size, done + PART_BYTES, side="right")))
+        yield batch.slice(k, to - k)
+        k = to
+
+
 def encode(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> DataFrame:
     """(shard, pos, doc_id, n_tokens, ids) in ascending doc_id order."""
-    end = np.array([end_id], "<u4").tobytes()
     schema = T.StructType([
         T.StructField("shard", T.IntegerType()), T.StructField("pos", T.LongType()),
         T.StructField("doc_id", T.LongType()), T.StructField("n_tokens", T.LongType()),
@@ -125,11 +177,10 @@ def encode(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> DataFr
         cache = cache_for(tokenizer_json)
         shard, pos = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for k in range(0, batch.num_rows, 512):
-                part = batch.slice(k, 512)
-                ids = [cache.encode(t) + end for t in part.column(1).to_pylist()]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+            for part in parts_of(batch, 1):
+                ids, n = cache.encode_column(part.column(1))
+                flat = pa.array(np.insert(ids, np.cumsum(n), np.int32(end_id)), pa.int32())
+                n = n + 1
                 offsets = pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(len(n), shard, np.int32)), pa.array(np.arange(pos, pos + len(n))),
@@ -137,7 +188,7 @@ def encode(docs: DataFrame, tokenizer_json: str, end_id: int = END_ID) -> DataFr
                     names=["shard", "pos", "doc_id", "n_tokens", "ids"])
                 pos += len(n)
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return ordered.mapInArrow(run, schema)
 
 
