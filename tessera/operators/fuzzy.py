@@ -7,8 +7,7 @@
   which lose no pair; the names of one key are compared in bounded blocks.
 * ``greedy_anchors``  - the queue clustering: in name order, a name is an
   anchor unless an earlier anchor matches it; a member joins the first
-  (earliest) anchor that matches it.  Solved by rounds of joins: a name is
-  decided once all its earlier neighbours are decided.
+  (earliest) anchor that matches it.  Solved per component of the match graph.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tessera.functions.fuzzy import combined_score, token_set_ratio, token_sort_ratio
+from tessera.operators.graph import components
 from tessera.operators.namekeys import key_rows
 from tessera.operators.spanning import keyed_block_pairs
 from tessera.session import ensure_checkpoint_dir, materialize
@@ -121,43 +121,67 @@ def fuzzy_pairs(df: DataFrame, name_col: str, threshold: int = 80, chunk_rows: i
     return both.unionByName(self_pairs)
 
 
-def greedy_anchors(names: DataFrame, pairs: DataFrame, name_col: str = "name") -> DataFrame:
+GROUP_EDGES = 1 << 18
+
+
+def _queue(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The queue clustering of one component from its (u, v) edges, u < v."""
+    earlier: dict[str, list[str]] = {}
+    for u, v in zip(pdf["u"], pdf["v"]):
+        earlier.setdefault(v, []).append(u)
+        earlier.setdefault(u, [])
+    anchor: dict[str, str] = {}
+    for name in sorted(earlier, key=lambda x: x.encode()):
+        mine = [u for u in earlier[name] if anchor[u] == u]
+        anchor[name] = min(mine, key=lambda x: x.encode()) if mine else name
+    return pd.DataFrame({"name": list(anchor), "anchor": list(anchor.values())})
+
+
+def _anchors_in_rounds(edges: DataFrame) -> DataFrame:
+    """(name, anchor) of components too large for one group.  A name without an
+    undecided earlier neighbour is an anchor and removes its neighbours; only
+    the edges between undecided names, the frontier, are rewritten."""
+    names = edges.select(F.explode(F.array("u", "v")).alias("name")).distinct()
+    open_names, open_edges, found = materialize(names, "greedy-open"), edges, None
+    while not open_names.isEmpty():
+        anchors = materialize(open_names.join(open_edges.select(F.col("v").alias("name")), "name", "left_anti"), "greedy-anchors")
+        removed = open_edges.join(anchors.select(F.col("name").alias("u")), "u").select(F.col("v").alias("name")).distinct()
+        found = anchors if found is None else found.unionByName(anchors)
+        gone = materialize(anchors.unionByName(removed), "greedy-gone")
+        open_names = materialize(open_names.join(gone, "name", "left_anti"), "greedy-open")
+        left = open_edges.join(gone.select(F.col("name").alias("u")), "u", "left_anti").join(
+            gone.select(F.col("name").alias("v")), "v", "left_anti")
+        open_edges = materialize(left.select("u", "v"), "greedy-frontier")
+    if found is None:
+        return names.select("name", F.col("name").alias("anchor"))
+    first = edges.join(found.select(F.col("name").alias("u")), "u").groupBy(F.col("v").alias("name")).agg(F.min("u").alias("anchor"))
+    members = first.join(found, "name", "left_anti")
+    return found.select("name", F.col("name").alias("anchor")).unionByName(members)
+
+
+def greedy_anchors(names: DataFrame, pairs: DataFrame, name_col: str = "name", group_edges: int = GROUP_EDGES) -> DataFrame:
     """(name, anchor) for every distinct name; anchors map to themselves.
 
     ``pairs`` holds (ANCHOR, MATCH) edges at or above the threshold (self
     pairs are ignored).  Anchors are the greedy (lexicographically first)
-    maximal independent set, found in rounds: a name is *not* an anchor as
-    soon as one earlier neighbour is an anchor, and *is* one once all its
-    earlier neighbours are known non-anchors.  The smallest undecided name
-    is always decided, so the loop terminates; on match graphs it takes a
-    few rounds.  A member then belongs to its earliest anchor neighbour,
-    which is exactly the anchor that removed it from the queue.
+    maximal independent set, and a member belongs to its earliest anchor
+    neighbour, exactly the anchor that removed it from the queue.  The queue
+    never crosses a component of the match graph: components of at most
+    ``group_edges`` edges are solved in one group each, whatever the length of
+    their chains, larger ones in rounds over their frontier.
     """
     ensure_checkpoint_dir(names.sparkSession)
     edges = (pairs.filter(F.col("ANCHOR") < F.col("MATCH"))
                   .select(F.col("ANCHOR").alias("u"), F.col("MATCH").alias("v")).distinct())
     edges = materialize(edges, "greedy-edges")
-    state = (names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
-                  .withColumn("is_anchor", F.lit(None).cast("boolean")))
-    state = materialize(state, "greedy-state")
-    while True:
-        undecided = state.filter(F.col("is_anchor").isNull())
-        if undecided.isEmpty():
-            break
-        earlier = (edges.join(undecided.select(F.col("name").alias("v")), "v")
-                        .join(state.select(F.col("name").alias("u"), F.col("is_anchor").alias("u_anchor")), "u"))
-        votes = earlier.groupBy("v").agg(
-            F.max(F.coalesce(F.col("u_anchor"), F.lit(False))).alias("has_anchor"),
-            F.count_if(F.col("u_anchor").isNull()).alias("n_open"))
-        step = undecided.join(votes, undecided["name"] == votes["v"], "left").select(
-            "name",
-            F.when(F.col("has_anchor"), F.lit(False))
-             .when(F.coalesce(F.col("n_open"), F.lit(0)) == 0, F.lit(True)).alias("new"))
-        state = (state.join(step, "name", "left")
-                      .select("name", F.coalesce("is_anchor", "new").alias("is_anchor")))
-        state = materialize(state, "greedy-state")
-    anchors = state.filter(F.col("is_anchor")).select(F.col("name").alias("u"))
-    first = (edges.join(anchors, "u").groupBy("v").agg(F.min("u").alias("first_anchor")))
-    out = state.join(first, state["name"] == first["v"], "left")
-    return out.select("name", F.when(F.col("is_anchor"), F.col("name"))
-                               .otherwise(F.col("first_anchor")).alias("anchor"))
+    ends = edges.select(F.explode(F.array("u", "v")).alias("id")).distinct()
+    comp = components(materialize(ends, "greedy-ends"), edges.toDF("src", "dst"))
+    edges = materialize(edges.join(comp.withColumnRenamed("id", "u"), "u"), "greedy-edges")
+    large = edges.groupBy("comp").agg(F.count("*").alias("n")).where(F.col("n") > group_edges).select("comp")
+    large = materialize(large, "greedy-large")
+    solved = edges.join(large, "comp", "left_anti").groupBy("comp").applyInPandas(_queue, "name string, anchor string")
+    if not large.isEmpty():
+        solved = solved.unionByName(_anchors_in_rounds(edges.join(large, "comp", "left_semi").select("u", "v")))
+    all_names = names.select(F.col(name_col).alias("name")).filter(F.col("name").isNotNull()).distinct()
+    return all_names.join(materialize(solved, "greedy-solved"), "name", "left").select(
+        "name", F.coalesce("anchor", "name").alias("anchor"))

@@ -66,8 +66,26 @@ def test_pairs_and_queue(spark, threshold):
     pairs = fuzzy.fuzzy_pairs(df, "name", threshold, chunk_rows=16)   # many blocks
     got = {(r.ANCHOR, r.MATCH, r.SIMILARITY_SCORE) for r in pairs.collect()}
     assert got == _brute_pairs(names, threshold)
-    g = fuzzy.greedy_anchors(df, pairs)
-    assert {r.name: r.anchor for r in g.collect()} == _brute_queue(names, threshold)
+    for group_edges in (1 << 18, 0):  # one group per component, or rounds over the frontier
+        g = fuzzy.greedy_anchors(df, pairs, group_edges=group_edges)
+        assert {r.name: r.anchor for r in g.collect()} == _brute_queue(names, threshold)
+
+
+def test_long_chain_takes_few_rounds(spark, monkeypatch):
+    """A path of 1,000 names: every second one is an anchor."""
+    import tessera.operators.fuzzy as module
+    import tessera.operators.graph as graph
+
+    written = []
+    for m in (module, graph):
+        real = m.materialize
+        monkeypatch.setattr(m, "materialize", lambda df, tag, real=real: (written.append(tag), real(df, tag))[1])
+    chain = [f"n{k:04d}" for k in range(1000)]
+    names = spark.createDataFrame([(n,) for n in chain], "name string")
+    pairs = spark.createDataFrame(list(zip(chain, chain[1:])), "ANCHOR string, MATCH string")
+    got = {r.name: r.anchor for r in fuzzy.greedy_anchors(names, pairs).collect()}
+    assert got == {n: chain[k - k % 2] for k, n in enumerate(chain)}
+    assert len(written) < 20
 
 
 def test_pair_scores_column(spark):
