@@ -1,15 +1,10 @@
-"""Co-occurrence counts of items over baskets (who shares bills with whom)
-as a blocked sparse matrix product, C = M M^T.
-
-M is the item x basket incidence matrix, given as distinct (item, basket)
-rows.  Items are hash-split into ``k_i`` chunks and baskets into ``k_b``
-chunks.  Task (i, j, l) holds the incidence rows whose item falls in
-chunk i or j and whose basket falls in chunk l, multiplies the two small
-dense incidence blocks with numpy and emits one partial count per item
-pair; a final aggregate (combined map-side) sums the ``k_b`` partials of a
-pair.  No task enumerates the pairs inside a basket, a basket with very
-many items is spread over the item chunks, and an item on very many
-baskets is spread over the basket chunks, so every task stays bounded.
+"""Co-occurrence counts of items over baskets (who shares bills with whom).
+
+Baskets of at most ``heavy`` items are dealt by hash into groups of a bounded
+number of pairs; a group counts its pairs before it hands them on, and no row
+is copied.  The items of a larger basket are cut into chunks and compared chunk
+by chunk (``keyed_block_pairs``), so a basket with very many items is spread
+over tasks.  An item on very many baskets meets only partial counts.
 """
 
 from __future__ import annotations
@@ -21,6 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.spanning import keyed_block_pairs
 from tessera.session import materialize
 
 
@@ -33,50 +29,47 @@ def incidence(pairs: DataFrame, item: str, basket: str) -> DataFrame:
     return materialize(inc, "incidence")
 
 
-def cooccurrence(inc: DataFrame, item_chunk: int = 512, rows_per_task: int = 200_000) -> DataFrame:
+COUNTS = "item_a string, item_b string, shared long"
+
+
+def _count_pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Pair counts over the baskets of one group."""
+    item, names = pd.factorize(pdf["item"], sort=True)
+    basket, _ = pd.factorize(pdf["basket"])
+    order = np.lexsort((item, basket))
+    item, size = item[order], np.bincount(basket)
+    first = np.cumsum(size) - size
+    found = []
+    for m in np.unique(size[size > 1]):  # baskets of one size side by side
+        rows = item[first[size == m][:, None] + np.arange(m)[None, :]]
+        a, b = np.triu_indices(m, 1)
+        found.append((rows[:, a] * len(names) + rows[:, b]).ravel())
+    pair, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.int64),) * 2
+    return pd.DataFrame({"item_a": names[pair // max(1, len(names))], "item_b": names[pair % max(1, len(names))], "shared": n})
+
+
+def _block_pairs(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
+    """The pairs of two chunks of one basket."""
+    a, b = left["item"].to_numpy(object), right["item"].to_numpy(object)
+    i, j = np.triu_indices(len(a), 1) if same else (x.ravel() for x in np.indices((len(a), len(b))))
+    a, b = a[i], b[j]
+    less = np.array([x < y for x, y in zip(a, b)], bool)
+    return pd.DataFrame({"item_a": np.where(less, a, b), "item_b": np.where(less, b, a), "shared": 1})
+
+
+def cooccurrence(inc: DataFrame, heavy: int = 512, pairs_per_task: int = 1 << 18) -> DataFrame:
     """(item_a, item_b, shared) for item_a < item_b sharing >= 1 basket,
     from distinct (item, basket) rows (see ``incidence``)."""
-    stats = inc.agg(F.countDistinct("item").alias("n_items"), F.count(F.lit(1)).alias("n_rows")).first()
-    k_i = max(1, math.ceil(stats["n_items"] / item_chunk))
-    k_b = max(1, math.ceil(stats["n_rows"] / rows_per_task))
-    tagged = inc.select(
-        "item", "basket",
-        F.pmod(F.xxhash64("item"), F.lit(k_i)).cast("int").alias("_ic"),
-        F.pmod(F.xxhash64("basket"), F.lit(k_b)).cast("int").alias("_bc"))
-    rep = tagged.withColumn("_o", F.explode(F.sequence(F.lit(0), F.lit(k_i - 1))))
-    rep = rep.select("item", "basket", "_ic", "_bc",
-                     F.least("_ic", "_o").alias("_i"), F.greatest("_ic", "_o").alias("_j"))
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = int(pdf["_i"].iat[0]), int(pdf["_j"].iat[0])
-        b_codes, _ = pd.factorize(pdf["basket"])
-        nb = int(b_codes.max()) + 1 if len(b_codes) else 0
-
-        def block(mask):
-            names = pdf.loc[mask, "item"].to_numpy()
-            codes, uniq = pd.factorize(names)
-            m = np.zeros((len(uniq), nb), dtype=np.float64)
-            m[codes, b_codes[mask.to_numpy()]] = 1.0
-            return np.asarray(uniq, dtype=object), m
-
-        if i == j:
-            ua, ma = block(pdf["_ic"] == i)
-            c = ma @ ma.T
-            r, s = np.nonzero(np.triu(c, 1))
-            a, b, v = ua[r], ua[s], c[r, s]
-        else:
-            ua, ma = block(pdf["_ic"] == i)
-            ub, mb = block(pdf["_ic"] == j)
-            c = ma @ mb.T
-            r, s = np.nonzero(c)
-            a, b, v = ua[r], ub[s], c[r, s]
-        lo = np.where(a < b, a, b)
-        hi = np.where(a < b, b, a)
-        return pd.DataFrame({"item_a": pd.Series(lo, dtype="string"), "item_b": pd.Series(hi, dtype="string"),
-                             "shared": v.astype(np.int64)})
-
-    partial = rep.groupBy("_i", "_j", "_bc").applyInPandas(run, "item_a string, item_b string, shared long")
-    return partial.groupBy("item_a", "item_b").agg(F.sum("shared").cast("long").alias("shared"))
+    inc = inc.select("item", "basket")
+    sizes = inc.groupBy("basket").agg(F.count("*").alias("n")).where("n > 1")
+    rows = materialize(inc.join(sizes, "basket"), "basket-rows")
+    pairs = rows.where(F.col("n") <= heavy).agg(F.coalesce(F.sum((F.col("n") - 1) / 2), F.lit(0)).alias("p")).first()["p"]
+    group = F.pmod(F.xxhash64("basket"), F.lit(max(1, math.ceil(pairs / pairs_per_task))))
+    light = rows.where(F.col("n") <= heavy).withColumn("group", group).select("group", "basket", "item")
+    parts = light.groupBy("group").applyInPandas(_count_pairs, COUNTS)
+    large = rows.where(F.col("n") > heavy).select("basket", "item")
+    parts = parts.unionByName(keyed_block_pairs(large, ["basket"], "item", _block_pairs, COUNTS, heavy))
+    return parts.groupBy("item_a", "item_b").agg(F.sum("shared").cast("long").alias("shared"))
 
 
 def affinity(pairs: DataFrame, item: str, basket: str, **kw) -> DataFrame:

@@ -19,5 +19,7 @@ def test_blocked_product_matches_pairs(spark):
             want[(a, b)] += 1
     df = spark.createDataFrame([(r.p_name, r.l_orderkey) for r in rows], "org string, bill long")
     inc = cooccur.incidence(df, "org", "bill")
-    got = cooccur.cooccurrence(inc, item_chunk=5, rows_per_task=300)   # many item and basket chunks
-    assert {(r.item_a, r.item_b): r.shared for r in got.collect()} == dict(want)
+    for kw in ({}, {"heavy": 3, "pairs_per_task": 500}, {"heavy": 1}):  # light, mixed, heavy baskets only
+        got = cooccur.cooccurrence(inc, **kw)
+        assert {(r.item_a, r.item_b): r.shared for r in got.collect()} == dict(want)
+    assert cooccur.cooccurrence(inc.limit(0)).collect() == []
