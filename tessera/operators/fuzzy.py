@@ -1,6 +1,6 @@
 """Fuzzy name matching.
 
-* ``pair_scores``     - the three ratios of two name columns, per row.
+* ``pair_scores``     - the three ratios of two name columns, per row (expressions).
 * ``fuzzy_pairs``     - every pair of distinct names with combined score
   >= threshold, mirrored, plus the self pair (score 100): the sparse
   form of the n x n score matrix.  Names meet under the keys of ``namekeys``,
@@ -14,35 +14,16 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tessera.functions.fuzzy import combined_score, token_set_ratio, token_sort_ratio
+from tessera.functions.fuzzy import token_set_ratio, token_sort_ratio
+from tessera.functions.ratios import pair_scores
 from tessera.operators.graph import components
 from tessera.operators.namekeys import key_rows
 from tessera.operators.spanning import keyed_block_pairs
 from tessera.session import ensure_checkpoint_dir, materialize
 
-SCORES = StructType([
-    StructField("token_sort", IntegerType()),
-    StructField("token_set", IntegerType()),
-    StructField("score", IntegerType()),
-])
-
-
-@F.pandas_udf(SCORES)
-def _scores(a: pd.Series, b: pd.Series) -> pd.DataFrame:
-    rows = [combined_score(x, y) if x is not None and y is not None else (None, None, None)
-            for x, y in zip(a, b)]
-    return pd.DataFrame(rows, columns=["token_sort", "token_set", "score"])
-
-
-def pair_scores(a: Column, b: Column) -> Column:
-    """struct<token_sort, token_set, score> of two name columns."""
-    return _scores(a, b)
-
-
 PAIR_SCHEMA = "ANCHOR string, MATCH string, SIMILARITY_SCORE int"
 
 

@@ -24,17 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.ratios import processed
 from tessera.session import materialize
 
 MIN_T = 68
 
 
-def processed(name: Column) -> Column:
-    """``functions.fuzzy.process`` as an expression."""
-    ascii_only = F.regexp_replace(name, r"[^\x00-\x7f]", "")
-    return F.trim(F.lower(F.regexp_replace(ascii_only, "[^A-Za-z0-9_]", " ")))
-
-
 def _numbered(grams: Column) -> Column:
     count = lambda g, i: F.size(F.filter(F.slice(grams, 1, i + 1), lambda x: x == g))
     return F.transform(grams, lambda g, i: F.concat(g, F.lit("#"), count(g, i).cast("string")))

@@ -107,14 +107,9 @@ def model_encoder(load_model: Callable[[], object], dim: int) -> Encoder:
     return lambda c: _encode.asNondeterministic()(c)
 
 
-def silver_table_or_none(spark, path: str | None):
-    """The silver table when it exists (it is absent on the first run, in
-    which case every usable bronze document is unprocessed)."""
-    if path is None:
+def silver_table_or_none(spark, table: str | None):
+    """The silver table when the catalog has it (it is absent on the first run,
+    in which case every usable bronze document is unprocessed)."""
+    if table is None or not spark.catalog.tableExists(table):
         return None
-    try:
-        return spark.read.parquet(path)
-    except Exception as e:  # missing path -> no silver table yet
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return None
-        raise
+    return spark.table(table)

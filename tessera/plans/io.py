@@ -172,8 +172,16 @@ def sink_csv_roundtrip(spark, sf_dir):
 @query("sink_catalog_copy", " UNION ALL ".join(
     f"SELECT '{n}' AS \"table\", CAST(count(*) AS BIGINT) AS rows FROM {n}" for n in TABLE_NAMES))
 def sink_catalog_copy(spark, sf_dir):
+    """The source database lists the given files as tables; the copy takes its
+    list from the catalog."""
+    root = scratch_dir(spark, "catalog")
+    source, target = (f"{kind}_{root.rsplit('-', 1)[1]}" for kind in ("bronze", "copy"))
+    for db in (source, target):
+        spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/{db}'")
     t = Tables(spark, sf_dir)
-    return sinks.catalog_copy(spark, {n: getattr(t, n) for n in TABLE_NAMES}, scratch_dir(spark, "catalog"))
+    for n in TABLE_NAMES:
+        spark.catalog.createTable(f"{source}.{n}", path=t.path(n), source="parquet")
+    return sinks.catalog_copy(spark, source, target)
 
 
 @query("src_tsv", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
@@ -218,13 +226,12 @@ def sink_merge_upsert(spark, sf_dir):
     the batch).  The merge updates, inserts and keeps target rows."""
     t = Tables(spark, sf_dir)
     first = _silver_summary(t, 1).join(t.labels.select("doc_id"), "doc_id", "left_semi")
-    p0 = scratch_dir(spark, "merge-0")
-    first.write.mode("overwrite").parquet(p0)
+    path = scratch_dir(spark, "merge")
+    sinks.merge_upsert(spark, path, first, ["doc_id"], order_col="version")
     english = t.documents.where(F.col("lang") == "en").select("doc_id")
     later = _silver_summary(t, 2).join(english, "doc_id", "left_semi")
     batch = later.unionByName(later)
-    p1 = scratch_dir(spark, "merge-1")
-    merged = sinks.merge_upsert(spark, p0, batch, ["doc_id"], p1, order_col="version")
+    merged = sinks.merge_upsert(spark, path, batch, ["doc_id"], order_col="version")
     return merged.select("doc_id", "n_chars", "version")
 
 
@@ -385,6 +392,6 @@ def join_anti_first_run(spark, sf_dir):
     from tessera.operators import filters, joins, silver
 
     t = Tables(spark, sf_dir)
-    existing = silver.silver_table_or_none(spark, scratch_dir(spark, "silver-absent"))
+    existing = silver.silver_table_or_none(spark, "silver_not_made_yet")
     todo = joins.unprocessed(filters.usable_text(roles.full_text(t)), existing)
     return todo.select("doc_id", "session")

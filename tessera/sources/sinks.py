@@ -2,29 +2,70 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
 
-def merge_upsert(spark: SparkSession, target_path: str | None, batch: DataFrame, keys: list[str],
-                 out_path: str, order_col: str | None = None) -> DataFrame:
+
+BUCKETS = 32
+
+
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``, None if nothing was written there yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def read_keyed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a table written by ``replace_keys``, None before the first."""
+    found = existing(spark, path)
+    return None if found is None else found.where("_live").drop("_live", "bucket")
+
+
+def replace_keys(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], buckets: int = BUCKETS,
+                 keys_of: DataFrame | None = None) -> DataFrame:
+    """Put ``batch`` into the table at ``path`` in place of all rows with its
+    keys, or with those of ``keys_of``; a key may have many rows.
+
+    The table is partitioned by a hash of the keys.  Only the partitions that
+    hold such a key are read, merged and overwritten (dynamic partition
+    overwrite), the files of the others stay.  A row that is not live keeps a
+    partition in the overwrite whose last rows go.  The merged rows are
+    written to the scratch folder before the first file is replaced, and applying
+    the same batch again gives the same table, so a failed run is repeated."""
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    new = materialize(batch.withColumns({"bucket": bucket, "_live": F.lit(True)}), "merge-batch")
+    gone = (batch if keys_of is None else keys_of).select(*keys).unionByName(new.select(*keys)).distinct()
+    gone = materialize(gone.withColumn("bucket", bucket), "merge-keys")
+    touched = [r["bucket"] for r in gone.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
+    if touched:
+        target = existing(spark, path)
+        if target is not None:
+            old = gone.select(*(F.col(k).alias(f"_gone_{k}") for k in keys))
+            same = [F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in keys]
+            new = new.unionByName(target.where(F.col("_live") & F.col("bucket").isin(touched)).join(old, same, "left_anti"))
+        held = gone.select("bucket").distinct().withColumn("_live", F.lit(False))
+        new = materialize(new.unionByName(held, allowMissingColumns=True), "merge-new")
+        new.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    found = read_keyed(spark, path)
+    return batch if found is None else found.select(*batch.columns)
+
+
+def merge_upsert(spark: SparkSession, path: str, batch: DataFrame, keys: list[str], order_col: str | None = None,
+                 buckets: int = BUCKETS) -> DataFrame:
     """Keyed merge (upsert) without a lake format: de-duplicate the batch
     by key (latest ``order_col`` wins, remaining ties by the row's other
-    values, so the result does not depend on row order), keep target rows whose key is not
-    in the batch (anti join), add the batch, and write the result to a new
-    path (never over the path being read).  Applying the same batch twice
-    gives the same table."""
+    values, so the result does not depend on row order), then ``replace_keys``."""
     rest = [c for c in batch.columns if c not in keys and c != order_col]
     last = F.struct(*[F.col(c) for c in ([order_col] if order_col else []) + rest])
     batch = batch.groupBy(*keys).agg(F.max(last).alias("_last")).select(*keys, "_last.*").select(*batch.columns)
-    if target_path is not None:
-        target = spark.read.parquet(target_path)
-        kept = target.join(batch.select(*keys), keys, "left_anti")
-        merged = kept.unionByName(batch)
-    else:
-        merged = batch
-    merged.write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+    return replace_keys(spark, path, batch, keys, buckets)
 
 
 def json_snapshot(df: DataFrame, order: list[str], n: int = 10) -> DataFrame:
@@ -33,16 +74,17 @@ def json_snapshot(df: DataFrame, order: list[str], n: int = 10) -> DataFrame:
     return df.orderBy(*order).limit(n).select(*order, F.to_json(F.struct(*df.columns)).alias("record"))
 
 
-def catalog_copy(spark: SparkSession, tables: dict[str, DataFrame], target_root: str) -> DataFrame:
-    """Copy every table to ``<target_root>/<name>`` and return a manifest
-    (table, rows) computed from the copies."""
+def catalog_copy(spark: SparkSession, source: str, target: str) -> DataFrame:
+    """Copy every table that the catalog lists in database ``source`` into
+    database ``target`` and return a manifest (table, rows) counted on the
+    copies.  Temporary views are not part of a database and are skipped."""
+    names = sorted(t.name for t in spark.catalog.listTables(source) if not t.isTemporary)
     parts = []
-    for name, df in tables.items():
-        path = f"{target_root.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        parts.append(spark.read.parquet(path).agg(F.count(F.lit(1)).cast("long").alias("rows"))
+    for name in names:
+        spark.table(f"{source}.{name}").write.mode("overwrite").saveAsTable(f"{target}.{name}")
+        parts.append(spark.table(f"{target}.{name}").agg(F.count(F.lit(1)).cast("long").alias("rows"))
                      .select(F.lit(name).alias("table"), "rows"))
-    out = parts[0]
-    for p in parts[1:]:
+    out = spark.createDataFrame([], "table string, rows long")
+    for p in parts:
         out = out.unionByName(p)
     return out

@@ -1,13 +1,12 @@
 """Bronze -> silver as a Structured Streaming job (K1).
 
-New bronze text files are picked up by a file stream; each micro-batch is
-reduced to documents that no other batch has put into silver (an anti-join on
-doc_id; a document repeated inside the batch counts once), cleaned, split
-into sentences and encoded, then written under ``<silver>/batch_id=<n>`` with
-overwrite.  A micro-batch that is replayed after a failure compares itself
-with the other batches only and rewrites exactly its own folder, so silver
-holds every (doc_id, sentence_index) once, also where a document lands in
-several files.
+New bronze text files are picked up by a file stream.  Each micro-batch is
+reduced to one row per document, cleaned, split into sentences and encoded; its
+sentences then replace those that silver holds of the same documents
+(``sinks.replace_keys``), so a changed document changes in silver, a
+document that lands in several files counts once, and a micro-batch that is
+replayed after a failure leaves the same table.  A document whose new
+text has no sentence left keeps none.
 """
 
 from __future__ import annotations
@@ -17,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.operators import silver
+from tessera.sources import sinks
 
 
 def silver_batch(batch: DataFrame) -> DataFrame:
@@ -29,15 +29,10 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, schema: StructType,
     """Process every bronze file available now, then stop."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        known = _batches(spark, silver_path)
-        if known is not None:
-            known = known.where(F.col("batch_id") != batch_id).select("doc_id").distinct()
-            batch = batch.join(known, "doc_id", "left_anti")
         # of a repeated document the largest row counts, whatever the order
         rest = [c for c in batch.columns if c != "doc_id"]
         batch = batch.groupBy("doc_id").agg(F.max(F.struct(*rest)).alias("_r")).select("doc_id", "_r.*")
-        out = silver_batch(batch)
-        out.write.mode("overwrite").parquet(f"{silver_path.rstrip('/')}/batch_id={batch_id}")
+        sinks.replace_keys(spark, silver_path, silver_batch(batch), ["doc_id"], keys_of=batch)
 
     stream = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
                    .parquet(bronze_path))
@@ -46,24 +41,13 @@ def run_silver_stream(spark: SparkSession, bronze_path: str, schema: StructType,
     q.awaitTermination()
 
 
-def _batches(spark: SparkSession, silver_path: str) -> DataFrame | None:
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.parquet(silver_path)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
 def read_silver(spark: SparkSession, silver_path: str) -> DataFrame:
     """The silver rows; an empty table if no batch was written yet."""
-    found = _batches(spark, silver_path)
+    found = sinks.read_keyed(spark, silver_path)
     if found is None:
         none = spark.createDataFrame([], "doc_id long, doc_text string")
         return silver_batch(none)
-    return found.drop("batch_id")
+    return found
 
 
 def summarize(sent_vectors: DataFrame) -> DataFrame:

@@ -152,3 +152,16 @@ def test_candidates_are_fewer_than_all_pairs(spark):
     met_golden, all_golden = met(GOLDEN_VARIANTS)
     met_invented, all_invented = met(_invented(400, 9))
     assert met_golden <= all_golden and met_invented < 0.5 * all_invented
+
+
+def test_ratio_expressions_equal_plain_ratios(spark):
+    import random
+
+    rng = random.Random(3)
+    names = _invented(120, 21) + ["ab " * 70, "ba " * 65, "x" * 62, "x" * 61 + "y", "xy" * 80, "z" * 124 + " a", "a b a b", "a a", "a"]
+    rows = [(a, b) for a in names for b in rng.sample(names, 6)] + [(a, a) for a in names]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.select("a", "b", fuzzy.pair_scores(F.col("a"), F.col("b")).alias("s"))
+    assert "Python" not in got._jdf.queryExecution().toString()
+    for r in got.collect():
+        assert tuple(r["s"]) == combined_score(r["a"], r["b"]), (r["a"], r["b"])

@@ -73,15 +73,71 @@ def test_topk_of_equal_vectors_is_bounded(spark):
 
 
 def test_merge_does_not_depend_on_row_order(spark):
-    target = scratch_dir(spark, "t-target")
-    spark.createDataFrame([(1, 1, "old"), (9, 1, "kept")], "k long, version long, v string").write.parquet(target)
     rows = [(1, 2, "x"), (1, 2, "y"), (2, 1, "n"), (2, 2, "m")]
     for order in (rows, rows[::-1]):
+        target = scratch_dir(spark, "t-target")
+        sinks.merge_upsert(spark, target, spark.createDataFrame([(1, 1, "old"), (9, 1, "kept")], "k long, version long, v string"), ["k"])
         batch = spark.createDataFrame(order, "k long, version long, v string")
-        got = sinks.merge_upsert(spark, target, batch, ["k"], scratch_dir(spark, "t-out"), order_col="version")
+        got = sinks.merge_upsert(spark, target, batch, ["k"], order_col="version")
         assert sorted(map(tuple, got.collect())) == [(1, 2, "y"), (2, 2, "m"), (9, 1, "kept")]
 
 
+def test_merge_touches_only_partitions_of_its_keys(spark):
+    import glob
+    import os
+
+    path = scratch_dir(spark, "t-keyed").removeprefix("file:")
+    sinks.replace_keys(spark, path, spark.range(200).selectExpr("id AS k", "'old' AS v"), ["k"], buckets=8)
+    files = lambda: {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/bucket=*/*.parquet")}
+    before = files()
+    sinks.replace_keys(spark, path, spark.createDataFrame([(3, "new"), (3, "more")], "k long, v string"), ["k"], buckets=8)
+    after = files()
+    assert len({os.path.dirname(f) for f in before}) == 8
+    assert len({os.path.dirname(f) for f in before.keys() ^ after.keys()}) == 1
+    assert all(after[f] == before[f] for f in before.keys() & after.keys())
+    rows = sinks.read_keyed(spark, path)
+    assert rows.count() == 201 and sorted(r["v"] for r in rows.where("k = 3").collect()) == ["more", "new"]
+
+
+def test_merge_empties_a_partition(spark):
+    path = scratch_dir(spark, "t-keyed")
+    one = spark.createDataFrame([(1, "a"), (None, "n")], "k long, v string")
+    sinks.replace_keys(spark, path, one, ["k"], buckets=8)
+    got = sinks.replace_keys(spark, path, one.limit(0), ["k"], buckets=8, keys_of=one.where("k = 1"))
+    assert [tuple(r) for r in got.collect()] == [(None, "n")]
+
+
+def test_changed_document_replaces_its_sentences(spark):
+    schema = StructType([StructField("doc_id", LongType()), StructField("doc_text", StringType())])
+    bronze, silver, ckpt = (scratch_dir(spark, f"c-{x}") for x in ("bronze", "silver", "ckpt"))
+    old, new = "This is the first long sentence of the text. Here is a second long sentence.", "Only one quite different sentence is left here."
+    spark.createDataFrame([(1, old), (2, old), (4, old)], schema).write.parquet(f"{bronze}/drop=1")
+    run_silver_stream(spark, f"{bronze}/*", schema, silver, ckpt)
+    spark.createDataFrame([(1, new), (3, old), (4, "")], schema).write.parquet(f"{bronze}/drop=2")
+    run_silver_stream(spark, f"{bronze}/*", schema, silver, ckpt)
+    found = {}
+    for r in read_silver(spark, silver).collect():
+        found.setdefault(r["doc_id"], []).append(r["sentence"])
+    assert len(found[2]) == len(found[3]) == 2 and len(found[1]) == 1 and "different" in found[1][0] and 4 not in found
+
+
+def test_copy_takes_its_list_from_the_catalog(spark):
+    root = scratch_dir(spark, "t-db")
+    for db in ("from_db", "to_db"):
+        spark.sql(f"CREATE DATABASE {db} LOCATION '{root}/{db}'")
+    spark.range(3).write.saveAsTable("from_db.three")
+    spark.range(5).write.saveAsTable("from_db.five")
+    spark.range(7).createOrReplaceTempView("a_view")
+    assert sorted(map(tuple, sinks.catalog_copy(spark, "from_db", "to_db").collect())) == [("five", 5), ("three", 3)]
+    assert sorted(t.name for t in spark.catalog.listTables("to_db") if not t.isTemporary) == ["five", "three"]
+    from tessera.operators import silver
+
+    assert silver.silver_table_or_none(spark, "to_db.none") is None and silver.silver_table_or_none(spark, "nowhere.x") is None
+    assert silver.silver_table_or_none(spark, "to_db.five").count() == 5
+    for db in ("from_db", "to_db"):
+        spark.sql(f"DROP DATABASE {db} CASCADE")
+
+
 def test_repeat_by_weight_in_blocks(spark):
     df = spark.createDataFrame([("a", 2500), ("b", 1), ("c", 0), ("d", None)], "n string, w int")
     got = {r["n"]: r["count"] for r in aggs.repeat_by_weight(df, "w").groupBy("n").count().collect()}
