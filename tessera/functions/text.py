@@ -141,3 +141,15 @@ def kept_sentences(cleaned: Column) -> Column:
     pieces = sentence_array(cleaned)
     indexed = F.transform(pieces, lambda s, i: F.struct(i.alias("sentence_index"), F.trim(s).alias("sentence")))
     return F.filter(indexed, lambda x: F.length(x["sentence"]) > MIN_SENTENCE_CHARS)
+
+
+def fix_scanned(text: Column, digits: list[tuple[str, str]]) -> Column:
+    """Digit / letter confusions of a scan, by their neighbours: a digit between
+    two lower-case letters is the letter, between capitals the capital (an I
+    for a 1), and such a letter between two digits is the digit."""
+    for digit, letter in digits:
+        capital = "I" if letter == "l" else letter.upper()
+        text = F.regexp_replace(text, f"(?<=[a-z]){digit}(?=[a-z])", letter)
+        text = F.regexp_replace(text, f"(?<=[A-Z]){digit}(?=[A-Z])", capital)
+        text = F.regexp_replace(text, f"(?<=[0-9])[{letter}{capital}](?=[0-9])", digit)
+    return text

@@ -95,14 +95,13 @@ def sorted_distinct_list(col: str, sep: str = ",") -> Column:
 
 
 def trend_with_names(df: DataFrame, group: str, name: str) -> DataFrame:
-    """Rows, distinct names and the sorted name list per group.  Names are
-    made distinct per group first so the list aggregate sees each name once."""
-    per = df.groupBy(group, name).agg(F.count(F.lit(1)).alias("_n"))
-    return per.groupBy(group).agg(
-        F.sum("_n").cast("long").alias("records"),
-        F.count(F.col(name)).cast("long").alias("distinct_names"),
-        F.concat_ws(",", F.array_sort(F.collect_list(F.col(name)))).alias("names"),
-    )
+    """One row per group and name: the name's records, and the records and
+    distinct names of its group.  The names of a group stay rows, so no task
+    holds the list of a large group."""
+    per = df.groupBy(group, name).agg(F.count(F.lit(1)).cast("long").alias("name_records"))
+    whole = per.groupBy(group).agg(F.sum("name_records").cast("long").alias("records"),
+                                   F.count(F.col(name)).cast("long").alias("distinct_names"))
+    return per.where(F.col(name).isNotNull()).join(whole, group)
 
 
 def breadth(df: DataFrame, entity: str, session: str, area: str) -> DataFrame:

@@ -54,23 +54,23 @@ def sentence_vectors(sents: DataFrame, encoder: Encoder | None = None,
             .withColumn("embedding_dimension", F.size("embedding").cast("long"))
 
 
-def document_summary(docs: DataFrame, dim: int = DEFAULT_DIM, key: str = "doc_id",
+def document_summary(docs: DataFrame, encoder: Encoder | None = None, key: str = "doc_id",
                      text: str = "doc_text") -> DataFrame:
-    """Per document, without exploding: sentence count, sentence characters
-    and token mass of the hashed vectors, computed on the sentence array."""
-    kept = tx.kept_sentences(F.col(text))
-    mass = F.aggregate(kept, F.lit(0).cast("long"),
-                       lambda acc, s: acc + F.size(vx.tokens(s["sentence"])).cast("long"))
-    chars = F.aggregate(kept, F.lit(0).cast("long"),
-                        lambda acc, s: acc + F.length(s["sentence"]).cast("long"))
+    """Per document: sentence count, sentence characters, and mass and dimension
+    of the sentence vectors the encoder returns.  Only these numbers are
+    shuffled, added up before; a document without sentences keeps its row."""
     extra = [c for c in docs.columns if c not in (key, text)]
-    return docs.select(
-        key, *extra,
-        F.size(kept).cast("long").alias("n_sentences"),
-        chars.alias("sentence_chars"),
-        mass.alias("token_mass"),
-        F.when(F.size(kept) > 0, F.lit(dim)).cast("long").alias("embedding_dimension"),
-    )
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.select("_row", key, *extra, F.explode_outer(tx.kept_sentences(F.col(text))).alias("_s"))
+    rows = sentence_vectors(rows.select("_row", key, *extra, F.col("_s.sentence").alias("sentence")), encoder)
+    found = F.col("sentence").isNotNull()
+    mass = F.aggregate("embedding", F.lit(0.0).cast("double"), lambda a, x: a + x)
+    zero = F.lit(0).cast("long")
+    return rows.groupBy("_row", key, *extra).agg(
+        F.count("sentence").cast("long").alias("n_sentences"),
+        F.coalesce(F.sum(F.length("sentence")), zero).cast("long").alias("sentence_chars"),
+        F.coalesce(F.sum(F.when(found, mass)), zero).cast("long").alias("token_mass"),
+        F.max(F.when(found, F.col("embedding_dimension"))).cast("long").alias("embedding_dimension")).drop("_row")
 
 
 def sparse_hash_counts(sents: DataFrame, dim: int = DEFAULT_DIM,

@@ -95,12 +95,12 @@ GROUP BY todo.doc_id, todo.session"""
 
 @query("silver_documents", with_views(SILVER_SQL, ft=FULL_TEXT_SQL, cl=CLEANED_SQL))
 def silver_documents(spark, sf_dir):
-    """Flagship: the silver stage for all unprocessed usable documents,
-    summarised per document (sentence count, characters, vector mass,
-    vector dimension).  Map-only after the anti-join."""
+    """Flagship: the silver stage for all unprocessed usable documents, with
+    every sentence encoded, summarised per document (sentence count,
+    characters, mass and dimension of its vectors)."""
     t = Tables(spark, sf_dir)
     docs = silver.cleaned_documents(roles.full_text(t), roles.processed_docs(t))
-    return silver.document_summary(docs, DIM)
+    return silver.document_summary(docs)
 
 
 @query("vec_embedding_table", with_views(f"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tessera.functions import text as tx
 from tessera.operators import distinct_text, silver
 from tessera.session import materialize
 from tessera.plans import roles
@@ -99,3 +100,25 @@ def doc_frequent_pairs(spark, sf_dir):
     (a top-k report)."""
     a = _affinity(Tables(spark, sf_dir)).select("item_a", "item_b", "shared")
     return sets.top_k(a, TOP_PAIRS, F.desc("shared"), F.asc("item_a"), F.asc("item_b"))
+
+
+# A digit inside a word and the letter it stands for, and back.
+OCR_DIGITS = [("0", "o"), ("1", "l"), ("5", "s")]
+
+_fixed_sql = "coalesce(text, '')"
+for _digit, _letter in OCR_DIGITS:
+    _cap = _letter.upper() if _letter != "l" else "I"
+    for _around, _old, _new in ((("[a-z]", "[a-z]"), _digit, _letter), (("[A-Z]", "[A-Z]"), _digit, _cap), (("[0-9]", "[0-9]"), f"[{_letter}{_cap}]", _digit)):
+        for _ in range(2):  # a match takes both neighbours, so every second one waits for the next pass
+            _fixed_sql = f"regexp_replace({_fixed_sql}, '({_around[0]}){_old}({_around[1]})', '\\1{_new}\\2', 'g')"
+
+
+@query("doc_ocr_fixes", f"""
+SELECT doc_id, md5(fixed) AS fixed_md5, fixed <> coalesce(text, '') AS changed FROM (SELECT *, {_fixed_sql} AS fixed FROM documents)""")
+def doc_ocr_fixes(spark, sf_dir):
+    """Texts with digits between letters, and letters between digits, read as
+    the character they were scanned from."""
+    docs = Tables(spark, sf_dir).documents
+    text = F.coalesce("text", F.lit(""))
+    fixed = docs.withColumn("fixed", tx.fix_scanned(text, OCR_DIGITS))
+    return fixed.select("doc_id", F.md5("fixed").alias("fixed_md5"), (F.col("fixed") != text).alias("changed"))

@@ -291,26 +291,19 @@ def dq_key_tests(spark, sf_dir):
     """Column tests as rows (table, column, test, failures); the model
     table (rows 1 and null) must fail not_null once."""
     t = Tables(spark, sf_dir)
-    o = t.orders.agg(
-        (F.count("o_orderkey") - F.countDistinct("o_orderkey")).cast("long").alias("u"),
-        F.count_if(F.col("o_orderkey").isNull()).cast("long").alias("n"))
-    li = t.lineitem.agg((F.count(F.lit(1)) - F.countDistinct("l_orderkey", "l_linenumber")).cast("long").alias("u"))
+
+    def failures(df, table: str, column: str, keys: list[str], tests: tuple[str, ...]):
+        """One aggregate per table, turned into one row per test."""
+        null = F.greatest(F.lit(0), *[F.col(k).isNull().cast("int") for k in keys])
+        found = df.agg((F.sum(1 - null) - F.countDistinct(*keys)).cast("long").alias("unique"), F.sum(null).cast("long").alias("not_null"))
+        stacked = F.stack(F.lit(len(tests)), *[x for n in tests for x in (F.lit(n), F.coalesce(F.col(n), F.lit(0)))]).alias("test", "failures")
+        return found.select(F.lit(table).alias("table"), F.lit(column).alias("column"), stacked)
+
     r0 = t.region.filter(F.col("r_regionkey") == 0)
     model = r0.select(F.lit(1).alias("id")).unionByName(r0.select(F.lit(None).cast("int").alias("id")))
-    m = model.agg((F.count("id") - F.countDistinct("id")).cast("long").alias("u"),
-                  F.count_if(F.col("id").isNull()).cast("long").alias("n"))
-    rows = [
-        o.select(F.lit("orders").alias("table"), F.lit("o_orderkey").alias("column"), F.lit("unique").alias("test"),
-                 F.col("u").alias("failures")),
-        o.select(F.lit("orders"), F.lit("o_orderkey"), F.lit("not_null"), F.col("n")),
-        li.select(F.lit("lineitem"), F.lit("l_orderkey,l_linenumber"), F.lit("unique"), F.col("u")),
-        m.select(F.lit("model"), F.lit("id"), F.lit("unique"), F.col("u")),
-        m.select(F.lit("model"), F.lit("id"), F.lit("not_null"), F.col("n")),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.union(r)
-    return out
+    return (failures(t.orders, "orders", "o_orderkey", ["o_orderkey"], ("unique", "not_null"))
+            .unionByName(failures(t.lineitem, "lineitem", "l_orderkey,l_linenumber", ["l_orderkey", "l_linenumber"], ("unique",)))
+            .unionByName(failures(model, "model", "id", ["id"], ("unique", "not_null"))))
 
 
 @query("dq_error_rows", with_views("""

@@ -346,10 +346,10 @@ def agg_type_profile(spark, sf_dir):
 
 
 @query("agg_trend_names", with_views("""
-SELECT legislature, CAST(count(*) AS BIGINT) AS records,
-       CAST(count(DISTINCT Organization) AS BIGINT) AS distinct_names,
-       string_agg(DISTINCT Organization, ',' ORDER BY Organization) AS names
-FROM th GROUP BY legislature""", th=TESTIMONY_SQL))
+SELECT legislature, Organization, CAST(count(*) AS BIGINT) AS name_records,
+       CAST(sum(count(*)) OVER (PARTITION BY legislature) AS BIGINT) AS records,
+       CAST(count(Organization) OVER (PARTITION BY legislature) AS BIGINT) AS distinct_names
+FROM th GROUP BY legislature, Organization QUALIFY Organization IS NOT NULL""", th=TESTIMONY_SQL))
 def agg_trend_names(spark, sf_dir):
     return aggs.trend_with_names(roles.testimony(Tables(spark, sf_dir)), "legislature", "Organization")
 

@@ -78,3 +78,16 @@ def test_model_encoder_plugin(spark):
     rows = {r.sentence_index: (list(r.embedding), r.embedding_dimension, r.model_name) for r in v.collect()}
     assert rows[0] == ([2.0, 2.0, 5.0], 3, "toy")
     assert rows[1] == ([3.0, 0.0, 3.0], 3, "toy")
+
+
+def test_scanned_characters(spark):
+    from pyspark.sql import functions as F
+
+    from tessera.functions import text as tx
+    from tessera.plans.extras import OCR_DIGITS
+
+    cases = {"h0use c0mm0n": "house common", "H0USE B1LL": "HOUSE BILL", "1O0 2l3 4S6 9I9": "100 213 456 919", "wor1d 5ection": "world 5ection",
+             "x0y0z": "xoyoz", "a00b H.R.10 A1 1a": "a00b H.R.10 A1 1a", "": "", "clo5e": "close", "Bi1l": "Bill"}
+    df = spark.createDataFrame([(k,) for k in cases], "s string")
+    got = {r["s"]: r["f"] for r in df.select("s", tx.fix_scanned(F.col("s"), OCR_DIGITS).alias("f")).collect()}
+    assert got == cases
