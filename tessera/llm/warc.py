@@ -38,6 +38,7 @@ DATE = "1970-01-01T00:00:00Z"
 # Fixed value: the base32 alphabet.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+RANGES_PER_TASK = 4
 
 def base32_of_sha1(hex40: Column) -> Column:
     """Five hex digits are four base32 digits; 40 give 32."""
@@ -142,8 +143,13 @@ def candidates(parts: DataFrame, split_bytes: int) -> DataFrame:
                 rows = [(path, part, a, b) for a, b in leaves.items() if b is not None]
                 yield pd.DataFrame(rows, columns=["path", "range", "offset", "leaves"])
 
-    spread = parts.select("path", "size", "range").repartition("path", "range")
-    return spread.mapInPandas(run, "path string, range long, offset long, leaves long")
+    return dealt(parts.select("path", "size", "range"), parts).mapInPandas(run, "path string, range long, offset long, leaves long")
+
+
+def dealt(rows: DataFrame, parts: DataFrame) -> DataFrame:
+    """Rows that stand for ranges of files, a few to a task.  The count is given,
+    since the rows are small and would be coalesced by their own size."""
+    return rows.repartition(max(1, -(-parts.count() // RANGES_PER_TASK)))
 
 
 def chain_entries(found: DataFrame, parts: DataFrame) -> DataFrame:
@@ -201,5 +207,5 @@ def read(spark: SparkSession, path: str, split_bytes: int = 16 << 20) -> DataFra
                 yield pd.DataFrame(rows, columns=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
                                    ).astype({"page_id": "Int64", "refers_to": "Int64"})
 
-    return entry.repartition("path", "range").mapInPandas(
+    return dealt(entry, parts).mapInPandas(
         run, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string")

@@ -52,3 +52,10 @@ def test_empty_and_broken(spark, tmp_path):
     open(f"{new}/part-0.txt", "wb").write(raw)
     with pytest.raises(Exception, match="digest"):
         warc.read(spark, f"file://{new}").count()
+
+
+def test_ranges_are_read_by_many_tasks(spark, tmp_path):
+    rows = [(k, f"http://x/{k}", "<p>" + "y" * 400) for k in range(150)]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), f"file://{tmp_path}/w")
+    got = warc.read(spark, f"file://{tmp_path}/w", 1000)
+    assert got.rdd.getNumPartitions() >= 60 // warc.RANGES_PER_TASK and got.count() == 150
