@@ -35,10 +35,10 @@ from tessera.llm.common import saved
 MAGIC = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
 DATE = "1970-01-01T00:00:00Z"
+RANGES_PER_TASK = 4
 # Fixed value: the base32 alphabet.
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
-RANGES_PER_TASK = 4
 
 def base32_of_sha1(hex40: Column) -> Column:
     """Five hex digits are four base32 digits; 40 give 32."""
