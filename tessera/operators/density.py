@@ -31,8 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.cells import distance_matrix, vectors_of
 from tessera.operators.graph import components
-from tessera.operators.neighbours import distance_matrix, vectors_of
 from tessera.operators.ordering import with_position
 from tessera.operators.spanning import keyed_block_pairs
 from tessera.session import materialize

@@ -1,9 +1,11 @@
-"""Vector neighbour search (J9, J10, V3, V8) on top of ``blockpairs``.
-
-Each chunk pair is compared with one float64 matrix product; only the
-pairs that pass (distance <= eps, or a row's k best) leave the task.  For
-top-k, every task keeps at most k candidates per row, so the final
-per-row selection sees at most ``k * n_chunks`` rows per key.
+"""Vector neighbour search (J9, J10, V3, V8) over pivot cells.
+
+Pairs within a distance: a point visits the cells that the distance can
+reach.  Top-k takes two passes: the k best of a point's own cell bound how far
+its neighbours can be, then it visits the cells within that bound.  Each
+block is one float64 matrix product; only the pairs that pass, or a row's k
+best, leave the task, so the final per-row selection sees at most k rows
+per visited chunk.
 """
 
 from __future__ import annotations
@@ -13,96 +15,79 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators.blockpairs import block_pairs
+from tessera.operators.cells import Cells, distance_matrix, vectors_of
+from tessera.session import materialize
 
+EDGE_SCHEMA = "src long, dst long, dist double"
 
-def vectors_of(col: pd.Series, normalize: bool) -> np.ndarray:
-    if len(col) == 0:
-        return np.zeros((0, 0))
-    m = np.stack([np.asarray(v, dtype=np.float64) for v in col])
-    if normalize:
-        n = np.linalg.norm(m, axis=1, keepdims=True)
-        m = np.divide(m, n, out=np.zeros_like(m), where=n > 0)
-    return m
 
+def _points(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
+    return df.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("vec"))
 
-def distance_matrix(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    if metric == "cosine":
-        return 1.0 - a @ b.T
-    sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.sqrt(np.maximum(sq, 0.0))
 
-
-EDGE_SCHEMA = "src long, dst long, dist double"
+def _block(left: pd.DataFrame, right: pd.DataFrame, mode: str, metric: str):
+    """(ids, ids, distances) of two chunks."""
+    a = vectors_of(left["vec"], metric == "cosine")
+    b = a if mode == "same" else vectors_of(right["vec"], metric == "cosine")
+    d = distance_matrix(a, b, metric) if len(a) and len(b) else np.zeros((len(a), len(b)))
+    return left["id"].to_numpy(np.int64), right["id"].to_numpy(np.int64), d
 
 
 def eps_edges(df: DataFrame, id_col: str, vec_col: str, eps: float, metric: str = "cosine",
               chunk_rows: int = 2048, n_rows: int | None = None) -> DataFrame:
     """Undirected pairs (src < dst) within distance ``eps``."""
-    norm = metric == "cosine"
-
-    def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        a = vectors_of(left[vec_col], norm)
-        b = a if same else vectors_of(right[vec_col], norm)
-        if len(a) == 0 or len(b) == 0:
-            return pd.DataFrame({"src": pd.Series([], dtype="int64"), "dst": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
-        d = distance_matrix(a, b, metric)
-        ia = left[id_col].to_numpy(np.int64)
-        ib = ia if same else right[id_col].to_numpy(np.int64)
+
+    def fn(left: pd.DataFrame, right: pd.DataFrame, mode: str) -> pd.DataFrame:
+        ia, ib, d = _block(left, right, mode, metric)
         mask = d <= eps
-        if same:
+        if mode == "same":
             mask &= ia[:, None] < ib[None, :]
         r, c = np.nonzero(mask)
         x, y = ia[r], ib[c]
         return pd.DataFrame({"src": np.minimum(x, y), "dst": np.maximum(x, y), "dist": d[r, c]})
 
-    sel = df.select(F.col(id_col).cast("long").alias(id_col), vec_col)
-    return block_pairs(sel, id_col, fn, EDGE_SCHEMA, chunk_rows=chunk_rows, n_rows=n_rows)
+    cells = Cells(_points(df, id_col, vec_col), metric, chunk_rows, n_rows)
+    return cells.blocks(cells.visitors(eps, upward=True), fn, EDGE_SCHEMA)
 
 
 def topk_neighbours(df: DataFrame, id_col: str, vec_col: str, k: int, metric: str = "cosine",
                     chunk_rows: int = 2048, n_rows: int | None = None) -> DataFrame:
-    """(id, neighbour, dist, rank) for the k nearest other rows of each row;
-    ties by neighbour id."""
-    norm = metric == "cosine"
+    """(id, nb, dist, rank) for the k nearest other rows of each row; ties by
+    neighbour id."""
+    schema = "id long, nb long, dist double"
 
-    def best(d: np.ndarray, ids_row: np.ndarray, ids_col: np.ndarray, exclude_self: bool):
-        out_i, out_j, out_d = [], [], []
+    def best(d: np.ndarray, ids_row: np.ndarray, ids_col: np.ndarray, exclude_self: bool) -> list[tuple]:
         if d.size == 0:
-            return out_i, out_j, out_d
+            return []
         if exclude_self:
             d = d.copy()
             d[ids_row[:, None] == ids_col[None, :]] = np.inf
         kk = min(k, d.shape[1])
         cut = np.partition(d, kk - 1, axis=1)[:, kk - 1]
+        out = []
         for r in range(d.shape[0]):
             # the final order is (distance, neighbour id), so the first k of it suffice, ties included
             cols = np.nonzero((d[r] <= cut[r]) & np.isfinite(d[r]))[0]
             cols = cols[np.lexsort((ids_col[cols], d[r, cols]))[:kk]]
-            out_i.extend([ids_row[r]] * len(cols))
-            out_j.extend(ids_col[cols].tolist())
-            out_d.extend(d[r, cols].tolist())
-        return out_i, out_j, out_d
-
-    def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        a = vectors_of(left[vec_col], norm)
-        b = a if same else vectors_of(right[vec_col], norm)
-        ia = left[id_col].to_numpy(np.int64)
-        ib = ia if same else right[id_col].to_numpy(np.int64)
-        if len(a) == 0 or len(b) == 0:
-            return pd.DataFrame({"id": pd.Series([], dtype="int64"), "nb": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
-        d = distance_matrix(a, b, metric)
-        i1, j1, d1 = best(d, ia, ib, same)
-        if not same:
-            i2, j2, d2 = best(d.T, ib, ia, False)
-            i1, j1, d1 = i1 + i2, j1 + j2, d1 + d2
-        return pd.DataFrame({"id": np.asarray(i1, dtype=np.int64), "nb": np.asarray(j1, dtype=np.int64),
-                             "dist": np.asarray(d1, dtype=np.float64)})
-
-    sel = df.select(F.col(id_col).cast("long").alias(id_col), vec_col)
-    cand = block_pairs(sel, id_col, fn, "id long, nb long, dist double", chunk_rows=chunk_rows, n_rows=n_rows)
-    w = Window.partitionBy("id").orderBy("dist", "nb")
-    ranked = cand.withColumn("rank", F.row_number().over(w))
-    return ranked.filter(F.col("rank") <= k)
+            out += zip([ids_row[r]] * len(cols), ids_col[cols].tolist(), d[r, cols].tolist())
+        return out
+
+    def fn(left: pd.DataFrame, right: pd.DataFrame, mode: str) -> pd.DataFrame:
+        ia, ib, d = _block(left, right, mode, metric)
+        rows = best(d, ia, ib, mode == "same")
+        if mode == "home":
+            rows += best(d.T, ib, ia, False)
+        return pd.DataFrame(rows, columns=["id", "nb", "dist"]).astype({"id": "int64", "nb": "int64", "dist": "float64"})
+
+    cells = Cells(_points(df, id_col, vec_col), metric, chunk_rows, n_rows)
+    order = Window.partitionBy("id").orderBy("dist", "nb")
+    ranked = lambda rows: rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    own = cells.blocks(None, fn, schema)
+    if not len(cells.pivots):
+        return ranked(own)
+    own = materialize(ranked(own).drop("rank"), "knn-own")
+    # the k-th best so far; a row with fewer can have neighbours anywhere
+    bound = own.groupBy("id").agg(F.count("*").alias("n"), F.max("dist").alias("reach"))
+    reach = F.when(F.col("n") >= k, F.col("reach")).otherwise(F.lit(float("inf")))
+    cells.rows = materialize(cells.rows.join(bound, "id", "left").select("id", "vec", "cell", reach.alias("reach")), "knn-reach")
+    return ranked(own.unionByName(cells.blocks(cells.visitors(), fn, schema, within=False)))
