@@ -47,3 +47,34 @@ def distinctive_sentences(sparse: DataFrame, doc: str = "doc_id", idx: str = "se
     key = F.struct(F.round("similarity", 9).alias("s"), F.col(idx).alias("i"))
     best = sim.groupBy(doc).agg(F.min_by(F.struct(idx, "similarity"), key).alias("b"))
     return best.select(doc, F.col(f"b.{idx}").alias(idx), F.round("b.similarity", 6).alias("similarity"))
+
+
+def tfidf_in_scopes(docs: DataFrame, scopes: list[str], text: str, k: int = 10) -> DataFrame:
+    """(scope, *scopes, term, tf, df, tfidf, rank): the k terms that set the text
+    of one cell, a value of every scope column (a party on a bill), apart
+    from the other cells that share its scope value (the party's other bills, the
+    others on the bill)."""
+    terms = docs.select(*scopes, F.explode(vx.tokens(F.col(text))).alias("term"))
+    tf = materialize(terms.groupBy(*scopes, "term").agg(F.count(F.lit(1)).cast("long").alias("tf")), "tfidf-cells")
+    out = None
+    for scope in scopes:
+        df = tf.groupBy(scope, "term").agg(F.count(F.lit(1)).cast("long").alias("df"))
+        n = tf.select(*scopes).distinct().groupBy(scope).agg(F.count(F.lit(1)).alias("n_cells"))
+        scored = tf.join(df, [scope, "term"]).join(n, scope)
+        scored = scored.withColumn("tfidf", F.col("tf") * F.log(F.col("n_cells") / F.col("df")))
+        w = Window.partitionBy(*scopes).orderBy(F.desc(F.round("tfidf", 9)), F.asc("term"))
+        ranked = scored.withColumn("rank", F.row_number().over(w).cast("long")).where(F.col("rank") <= k).select(
+            F.lit(scope).alias("scope"), *scopes, "term", "tf", "df", F.round("tfidf", 6).alias("tfidf"), "rank")
+        out = ranked if out is None else out.unionByName(ranked)
+    return out
+
+
+def sentence_similarity(sparse: DataFrame, group: str, keys: list[str]) -> DataFrame:
+    """(group, *keys, similarity): cosine of every sentence to the mean vector
+    of its group's sentences, from sparse (group, keys, bucket, cnt) counts.
+    The mean enters as a sum: a scale does not change a cosine."""
+    mean = sparse.groupBy(group, "bucket").agg(F.sum("cnt").cast("double").alias("m"))
+    mnorm = mean.groupBy(group).agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("mnorm"))
+    dots = sparse.join(mean, [group, "bucket"]).groupBy(group, *keys).agg(
+        F.sum(F.col("cnt") * F.col("m")).alias("dot"), F.sqrt(F.sum(F.col("cnt").cast("double") * F.col("cnt"))).alias("snorm"))
+    return dots.join(mnorm, group).select(group, *keys, (F.col("dot") / (F.col("snorm") * F.col("mnorm"))).alias("similarity"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tessera.functions import text as tx
 from tessera.operators import distinct_text, silver
 from tessera.session import materialize
@@ -50,9 +52,61 @@ def doc_distinctive_sentence(spark, sf_dir):
     return distinct_text.distinctive_sentences(materialize(sparse, "sparse-sentences"))
 
 
-# ------------------------------------------------- co-testimony
-from pyspark.sql import functions as F  # noqa: E402
+# party = source, bill = language of a document
+def _tfidf_scope_sql(scope: str) -> str:
+    return f"""
+SELECT '{scope}' AS scope, party, bill, term, CAST(tf AS BIGINT) AS tf, CAST(df AS BIGINT) AS df, round(tfidf, 6) AS tfidf, CAST(rk AS BIGINT) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY party, bill ORDER BY round(tfidf, 9) DESC, term) AS rk
+      FROM (SELECT tf.*, df, tf * ln(n / df) AS tfidf FROM tf
+            JOIN (SELECT {scope}, term, count(*) AS df FROM tf GROUP BY ALL) USING ({scope}, term)
+            JOIN (SELECT {scope}, count(DISTINCT (party, bill)) AS n FROM tf GROUP BY ALL) USING ({scope})))
+WHERE rk <= {TOP_TERMS}"""
+
+
+@query("doc_tfidf_scopes", """
+WITH terms AS (SELECT source AS party, lang AS bill, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}_]+')) AS term FROM documents),
+tf AS (SELECT party, bill, term, count(*) AS tf FROM terms WHERE term <> '' GROUP BY ALL)
+""" + _tfidf_scope_sql("party") + "\nUNION ALL" + _tfidf_scope_sql("bill"))
+def doc_tfidf_scopes(spark, sf_dir):
+    """Terms that set a party's text on a bill apart from its text on other
+    bills, and from the others' text on the same bill."""
+    docs = Tables(spark, sf_dir).documents.select(F.col("source").alias("party"), F.col("lang").alias("bill"), "text")
+    return distinct_text.tfidf_in_scopes(docs, ["party", "bill"], "text", TOP_TERMS)
+
+
+def _similar_scope_sql(scope: str) -> str:
+    return f"""
+SELECT '{scope}' AS scope, party, bill, doc_id, sentence_index, round(similarity, 6) AS similarity
+FROM (SELECT *, row_number() OVER (PARTITION BY party, bill ORDER BY round(similarity, 9), doc_id, sentence_index) AS rk
+      FROM (SELECT party, bill, doc_id, sentence_index, sum(cnt * m) / (sqrt(sum(CAST(cnt AS DOUBLE) * cnt)) * max(mnorm)) AS similarity
+            FROM sv JOIN (SELECT {scope}, bucket, CAST(sum(cnt) AS DOUBLE) AS m FROM sv GROUP BY ALL) USING ({scope}, bucket)
+            JOIN (SELECT {scope}, sqrt(sum(m * m)) AS mnorm FROM (SELECT {scope}, bucket, CAST(sum(cnt) AS DOUBLE) AS m FROM sv GROUP BY ALL) GROUP BY ALL)
+              USING ({scope}) GROUP BY ALL))
+WHERE rk = 1"""
+
+
+@query("doc_distinctive_scopes", with_views(
+    "WITH sv AS (SELECT source AS party, lang AS bill, hashed.* FROM hashed JOIN documents USING (doc_id))"
+    + _similar_scope_sql("party") + "\nUNION ALL" + _similar_scope_sql("bill"),
+    ft=FULL_TEXT_SQL, cl=CLEANED_SQL, hashed=HASH_SQL))
+def doc_distinctive_scopes(spark, sf_dir):
+    """Per party and bill, the sentence least like all sentences of the party,
+    and the one least like all sentences on the bill."""
+    t = Tables(spark, sf_dir)
+    sparse = silver.sparse_hash_counts(silver.sentences(silver.cleaned_documents(roles.full_text(t), None)))
+    place = t.documents.select("doc_id", F.col("source").alias("party"), F.col("lang").alias("bill"))
+    sparse = materialize(sparse.join(place, "doc_id"), "sparse-scopes")
+    out = None
+    for scope, other in (("party", "bill"), ("bill", "party")):
+        near = distinct_text.sentence_similarity(sparse, scope, [other, "doc_id", "sentence_index"])
+        first = F.struct(F.round("similarity", 9).alias("s"), F.col("doc_id").alias("d"), F.col("sentence_index").alias("i"))
+        best = near.groupBy("party", "bill").agg(F.min_by(F.struct("doc_id", "sentence_index", "similarity"), first).alias("b"))
+        best = best.select(F.lit(scope).alias("scope"), "party", "bill", "b.doc_id", "b.sentence_index", F.round("b.similarity", 6).alias("similarity"))
+        out = best if out is None else out.unionByName(best)
+    return out
 
+
+# ------------------------------------------------- co-testimony
 from tessera.operators import cooccur, sets  # noqa: E402
 from tessera.plans.roles import TESTIMONY_SQL  # noqa: E402
 

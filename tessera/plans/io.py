@@ -143,16 +143,17 @@ def src_doc_extract(spark, sf_dir):
 
 
 @query("sink_json_snapshot", """
-SELECT doc_id, CAST(to_json({'doc_id': doc_id, 'lang': lang, 'source': source}) AS VARCHAR) AS record
+SELECT doc_id, CAST(to_json({'doc_id': doc_id, 'lang': lang, 'source': source}) AS VARCHAR) AS record,
+       row_number() OVER (ORDER BY doc_id) - 1 AS line
 FROM documents ORDER BY doc_id LIMIT 10""")
 def sink_json_snapshot(spark, sf_dir):
     d = Tables(spark, sf_dir).documents.select("doc_id", "lang", "source")
     snap = sinks.json_snapshot(d, ["doc_id"], 10)
     path = scratch_dir(spark, "json-snapshot")
-    snap.select("record").write.mode("overwrite").text(path)
-    back = spark.read.text(path)
+    snap.select("record").coalesce(1).write.mode("overwrite").text(path)
+    back = spark.read.text(path)  # one file of ten rows: the row counter is the line number
     return back.select(F.get_json_object("value", "$.doc_id").cast("long").alias("doc_id"),
-                       F.col("value").alias("record"))
+                       F.col("value").alias("record"), F.monotonically_increasing_id().alias("line"))
 
 
 @query("sink_csv_roundtrip", """

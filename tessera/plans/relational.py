@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.strings import like
 from tessera.operators import aggs, filters, joins, sets, windows
+from tessera.operators.ordering import with_position
 from tessera.plans import roles
 from tessera.plans.registry import query
 from tessera.plans.roles import BILLS_SQL, FULL_TEXT_SQL, TESTIMONY_FULL_SQL, TESTIMONY_SQL, with_views
@@ -100,19 +101,19 @@ def flt_testimony_active(spark, sf_dir):
 
 
 @query("src_testimony_attrs", f"""
-SELECT a.* FROM ({TESTIMONY_FULL_SQL}) a
+SELECT a.*, row_number() OVER (ORDER BY LastName NULLS FIRST, FirstName NULLS FIRST, Organization NULLS FIRST, Id) - 1 AS position FROM ({TESTIMONY_FULL_SQL}) a
 SEMI JOIN (SELECT DISTINCT paperNumber, legislature FROM ({BILLS_SQL}) b) r
   ON r.paperNumber = a.LDNumber AND r.legislature = a.legislature
 WHERE (Inactive IS NULL OR NOT Inactive) AND NOT coalesce(starts_with(LastName, '@'), FALSE)""")
 def src_testimony_attrs(spark, sf_dir):
     """All testimony fields for every requested (paper, session), in the
-    interface's order: the per-paper calls become one semi-join against the
-    bill list.  The nested request is flattened to dotted columns."""
+    interface's order, which ``position`` states: the per-paper calls become
+    one semi-join against the bill list.  The nested request is flattened to dotted columns."""
     t = Tables(spark, sf_dir)
     a = filters.active_testimony(roles.testimony_full(t))
     req = roles.bills(t).select(F.col("paperNumber").alias("LDNumber"), "legislature").distinct()
     out = landing.flatten(a.join(req, ["LDNumber", "legislature"], "left_semi").select(*a.columns))
-    return out.orderBy(*[F.asc_nulls_first(c) for c in ("LastName", "FirstName", "Organization")], "Id")
+    return with_position(out, [*(F.asc_nulls_first(c) for c in ("LastName", "FirstName", "Organization")), "Id"], "position")
 
 
 @query("flt_like_lower", """
