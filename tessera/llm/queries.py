@@ -223,7 +223,68 @@ def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(Tables(spark, sf_dir).documents)
 
 
-@query("op12_pii")
+# the base patterns of the contract, without possessive runs
+_PII_SQL = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "id": f"[^{pii.DELIMITER}0-9]*[0-9][^{pii.DELIMITER}]*".replace("'", "''"),
+}
+
+
+def _units_sql(text: str) -> str:
+    cut = pii.DELIMITER.replace("'", "''")
+    return (f"list_filter(string_split_regex(translate({text}, '{ASCII_UPPER}123456789', '{ASCII_LOWER}000000000'), '[{cut}]+'), "
+            "lambda x: x <> '')")
+
+
+def _pii_matches_sql(kind: str) -> str:
+    pattern = _PII_SQL[kind]
+    size = "coalesce(list_sum(list_transform({}, lambda x: length(x))), 0)"
+    return f"""SELECT r, {pii.KINDS.index(kind)} AS kind, t, h[k] AS value,
+  CAST({size.format('p[1:k]')} + {size.format('h[1:k - 1]')} AS BIGINT) AS start FROM (
+  SELECT r, t, p, h, unnest(range(1, len(h) + 1)) AS k FROM (
+    SELECT r, t, string_split_regex(t, '{pattern}') AS p, regexp_extract_all(t, '{pattern}') AS h FROM d WHERE regexp_matches(t, '{pattern}')))"""
+
+
+_PII_BYTE = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
+_PII_ROUNDS = ",\n".join(f"""g{k} AS (SELECT pattern FROM bp JOIN pl USING (pattern) WHERE seed {f'OR value IN (SELECT value FROM a{k - 1})' if k > 1 else ''}
+  GROUP BY pattern, places HAVING count(DISTINCT value) >= {pii.MIN_VALUES} AND 100 * sum(n) >= {pii.TRUST} * places),
+a{k} AS (SELECT value FROM e WHERE NOT seed GROUP BY value
+  HAVING 2 * coalesce(sum(n) FILTER (WHERE one IN (SELECT pattern FROM g{k}) OR coalesce(two IN (SELECT pattern FROM g{k}), FALSE)), 0) >= sum(n))"""
+                         for k in range(1, pii.ROUNDS + 1))
+
+OP12_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(_pii_matches_sql(k) for k in pii.KINDS)}),
+n AS (SELECT *, regexp_replace(value, '[^0-9]', '', 'g') AS digits FROM (
+  SELECT r, kind, t, start, CASE WHEN kind = 4 THEN regexp_replace(value, '[.!?]+$', '') ELSE value END AS value FROM m)),
+f AS (SELECT r, kind, t, value, start, start + length(value) AS stop FROM n WHERE CASE kind
+  WHEN 1 THEN regexp_full_match(value, '{_PII_BYTE}(\\.{_PII_BYTE}){{3}}')
+  WHEN 2 THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
+    CASE WHEN i % 2 = 1 THEN CAST(substr(reverse(digits), i, 1) AS INTEGER) ELSE
+      CAST(substr(reverse(digits), i, 1) AS INTEGER) * 2 - CASE WHEN substr(reverse(digits), i, 1) > '4' THEN 9 ELSE 0 END END)) % 10 = 0
+  WHEN 3 THEN length(digits) BETWEEN 9 AND 15
+  WHEN 4 THEN length(value) >= {pii.MIN_CHARS} AND length(digits) >= {pii.MIN_DIGITS} ELSE TRUE END),
+o AS (SELECT f.r, f.kind, f.value, f.start, f.stop, {_units_sql(f"substr(t, greatest(1, f.start - {pii.REACH - 1}), least(f.start, {pii.REACH}))")} AS u
+      FROM f WHERE kind < 4 OR NOT EXISTS (SELECT 1 FROM f s WHERE s.kind < 4 AND s.r = f.r AND s.start < f.stop AND f.start < s.stop)),
+e AS (SELECT value, kind < 4 AS seed, u[-1] AS one, u[-2] || ' ' || u[-1] AS two, count(*) AS n FROM o WHERE len(u) > 0 GROUP BY ALL),
+bp AS (SELECT pattern, value, seed, sum(n) AS n FROM (SELECT value, seed, n, unnest([one, two]) AS pattern FROM e) WHERE pattern IS NOT NULL GROUP BY ALL),
+w AS (SELECT {_units_sql('t')} AS u FROM d),
+pl AS (SELECT pattern, count(*) AS places FROM (SELECT unnest(u) AS pattern FROM w UNION ALL
+       SELECT unnest(list_transform(range(1, len(u)), lambda i: u[i] || ' ' || u[i + 1])) FROM w)
+       WHERE pattern IN (SELECT pattern FROM bp) GROUP BY pattern),
+{_PII_ROUNDS},
+s AS (SELECT r, kind, start, ['email', 'ip', 'card', 'phone', 'id'][kind + 1] || ':' || start || ':' || stop AS span FROM o
+      WHERE kind < 4 OR value IN (SELECT value FROM a{pii.ROUNDS})),
+c AS (SELECT r, count(*) FILTER (WHERE kind = 0) AS n0, count(*) FILTER (WHERE kind = 1) AS n1, count(*) FILTER (WHERE kind = 2) AS n2,
+        count(*) FILTER (WHERE kind = 3) AS n3, string_agg(span, ',' ORDER BY start, kind) FILTER (WHERE kind < 4) AS base,
+        string_agg(span, ',' ORDER BY start, kind) AS spans FROM s GROUP BY r)
+SELECT doc_id, CAST(coalesce(n0, 0) AS BIGINT) AS n_email, CAST(coalesce(n1, 0) AS BIGINT) AS n_ip, CAST(coalesce(n2, 0) AS BIGINT) AS n_card,
+       CAST(coalesce(n3, 0) AS BIGINT) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN c USING (r)"""
+
+
+@query("op12_pii", OP12_SQL)
 def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(Tables(spark, sf_dir).documents)
     base = F.filter("spans", lambda s: s["kind"] < len(pii.BASE_KINDS))
