@@ -1,5 +1,9 @@
+import random
+import re
 from collections import defaultdict
 
+import pytest
+
 from tessera.llm import urls
 
 URLS = [
@@ -63,3 +67,86 @@ def test_branches_that_part_below_six_segments(spark):
     found = {(r["path"].split("/")[8] if r["page_id"] < 900 else "", r["verdict"], r["template"]) for r in got.collect()}
     assert found == {("spam", "block", "/a/b/c/d/e/f/g/spam/{n}.html"), ("news", "allow", "/a/b/c/d/e/f/g/news/{n}.html"),
                      ("", "allow", "/a/b/c/d/e/f/g")}
+
+
+def brute_verdicts(pages, labels, min_purity=0.5, weight=10.0, z=2.0, min_labels=5):
+    """(host, path, rule, verdict, template) per page from a tree of
+    dictionaries; ``pages`` and ``labels`` are lists of pairs."""
+    quality = {}
+    for i, q in labels:
+        if i is not None and q is not None:
+            quality[i] = min(q, quality.get(i, q))
+    placed, counts = [], defaultdict(lambda: [0, 0])
+    for i, url in pages:
+        host, path, rule, verdict = brute(url)
+        shape = tuple(s for s in re.sub("[0-9]+", "{n}", path).split("/") if s)
+        placed.append((i, host, path, rule, verdict, shape))
+        if i in quality:
+            counts[host, shape][0] += 1
+            counts[host, shape][1] += quality[i] > 0
+        else:
+            counts[host, shape]
+    template = {}
+
+    def grow(host, shapes, prefix, d):
+        for s in shapes:
+            if len(s) == d:
+                template[host, s] = prefix
+        shapes = [s for s in shapes if len(s) > d]
+        if len(shapes) == 1:
+            template[host, shapes[0]] = prefix + "/" + "/".join(shapes[0][d:])
+            return
+        child = defaultdict(list)
+        for s in shapes:
+            child[s[d]].append(s)
+        total = [sum(counts[host, s][k] for s in shapes) for k in (0, 1)]
+        rate = (total[1] + 0.5) / (total[0] + 1)
+        merged = defaultdict(list)
+        for seg, below in child.items():
+            n, g = (sum(counts[host, s][k] for s in below) for k in (0, 1))
+            differs = n >= min_labels and abs(g - n * rate) / (n * rate * (1 - rate)) ** 0.5 > z
+            merged[seg if len(child) == 1 or differs else "*"] += below
+        for seg, below in merged.items():
+            grow(host, below, f"{prefix}/{seg}", d + 1)
+
+    for host in {h for h, _ in counts}:
+        grow(host, [s for h, s in counts if h == host], "", 0)
+    by = defaultdict(lambda: [0, 0])
+    for key, (n, g) in counts.items():
+        by[key[0], template[key]][0] += n
+        by[key[0], template[key]][1] += g
+    prior = (sum(g for _, g in counts.values()) + 1) / (sum(n for n, _ in counts.values()) + 2)
+    out = []
+    for i, host, path, rule, verdict, shape in placed:
+        n, g = by[host, template[host, shape]]
+        bad = (g + weight * prior) / (n + weight) < min_purity
+        out.append((i, host, path, rule, verdict or ("block" if bad else "allow"), template[host, shape]))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_tree_against_brute_force(spark, seed):
+    rnd = random.Random(seed)
+    pages, labels = [], []
+    for k in range(700):
+        host = rnd.choice(["h.io", "h.io", "g.io", "www.example.net", "one.io"])
+        path = [rnd.choice(["spam", "ads", "news", "blog", f"u{rnd.randrange(40)}", f"user-{chr(97 + rnd.randrange(20))}"]) for _ in range(rnd.randrange(5))]
+        pages.append((k if k % 50 else k - 50, f"http://{host}/" + "/".join(path) + rnd.choice(["", "/", "?q", f"/{k}.html"])))
+        bad = 0.9 if "spam" in path[:2] else 0.6 if "ads" in path else 0.1
+        if rnd.random() < 0.7:
+            labels.append((k, int(rnd.random() > bad)))
+    labels += [(labels[0][0], 0), (None, 1), (5, None)]
+    got = urls.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    want = brute_verdicts(pages, labels)
+    assert sorted(((r["page_id"], r["host"], r["path"], r["rule"], r["verdict"], r["template"]) for r in got), key=str) == want
+    assert len({w[5] for w in want if w[4] == "block" and w[3] is None}) >= 3
+
+
+def test_query_against_brute_force(spark):
+    from tessera.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    pages = [tuple(r) for r in spark.read.parquet(f"{sf}/pages.parquet").select("page_id", "url").collect()]
+    labels = [tuple(r) for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect()]
+    got = QUERIES["op7_url_filter"](spark, sf).select("page_id", "host", "path", "rule", "verdict", "template").collect()
+    assert sorted(map(tuple, got), key=str) == brute_verdicts(pages, labels)
