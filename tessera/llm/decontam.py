@@ -6,8 +6,9 @@ hash.  Each Arrow batch of documents is turned into one id array (0 for words
 outside the benchmark); only windows without a 0 are hashed, looked up, and
 every hit is verified id by id.  The scan is map-only.
 
-The broadcast holds at most ``block_bytes`` of benchmark text: a larger
-benchmark is dealt into blocks by hash, each block scans all documents, and
+The broadcast holds the windows of at most about ``block_bytes`` of benchmark text
+(some four times these bytes): a larger benchmark is dealt into blocks by hash,
+each block scans all documents and is released before the next one is built, and
 the spans of a document are united.
 
 Edge cases: null or wordless texts have no words and no hits; items without
@@ -26,7 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import saved
+
 WINDOW = 10
+BLOCK_BYTES = 8 << 20  # benchmark text of one block
 # bytes -> bytes: A-Z lower-cased, every other ASCII byte outside a-z 0-9 a
 # blank; bytes of non-ASCII characters are word bytes
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
@@ -38,41 +42,69 @@ def words_of(text: str | None) -> list[bytes]:
 
 
 class Windows:
-    """Window set of one benchmark block; plain arrays, sent by broadcast."""
+    """Window set of one benchmark block, as arrays: the items' words one after
+    the other as ids and, per window length, the distinct windows by hash with
+    their place in the words and their items.  About 20 bytes a word."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], size: int):
         self.vocab: dict[bytes, int] = {}
-        grams: dict[int, dict[tuple[int, ...], set[str | None]]] = {}
-        for item, text in items:
-            ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)]
-            n = min(size, len(ids))
-            for i in range(len(ids) - n + 1 if n else 0):
-                grams.setdefault(n, {}).setdefault(tuple(ids[i:i + n]), set()).add(item)
+        self.items = [item for item, _ in items]
+        coded = [np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in words_of(text)], np.int32) for _, text in items]
+        self.tokens = np.concatenate([*coded, np.zeros(0, np.int32)])
         rng = np.random.default_rng(7)
         self.mult = rng.integers(0, 2**63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        length = np.array([len(c) for c in coded], np.int64)
+        first = np.cumsum(length) - length
+        width = np.minimum(length, size)
         self.by_len = []
-        for n, found in sorted(grams.items()):
-            rows = np.array(list(found), np.int64).reshape(-1, n)
-            owners = list(found.values())
-            h = self.hash_rows(rows)
-            order = np.argsort(h, kind="stable")
-            self.by_len.append((n, h[order], rows[order], [owners[k] for k in order]))
-
-    def hash_rows(self, rows: np.ndarray) -> np.ndarray:
-        return (rows.astype(np.uint64) * self.mult[:rows.shape[1]]).sum(axis=1, dtype=np.uint64)
-
-    def scan(self, ids: np.ndarray) -> Iterator[tuple[int, int, set]]:
+        for n in np.unique(width[width > 0]).tolist():
+            own = np.flatnonzero(width == n)
+            windows = length[own] - n + 1
+            item = np.repeat(own, windows)
+            start = np.repeat(first[own] - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))
+            self.by_len.append((n, *self._distinct(n, start, item)))
+
+    def hash_at(self, ids: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+        """Rolling hash of the ``n`` ids from each place; column by column, so
+        that no matrix of all windows is made."""
+        h = np.zeros(len(at), np.uint64)
+        for j in range(n):
+            h += ids[at + j].astype(np.uint64) * self.mult[j]
+        return h
+
+    def _distinct(self, n: int, start: np.ndarray, item: np.ndarray):
+        """(hashes, places, owner offsets, owners) of distinct windows."""
+        h = self.hash_at(self.tokens, start, n)
+        order = np.argsort(h, kind="stable")
+
+        def equal(order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            a, b = start[order[:-1]], start[order[1:]]
+            hashes = h[order[:-1]] == h[order[1:]]
+            same = hashes.copy()
+            for j in range(n):
+                same &= self.tokens[a + j] == self.tokens[b + j]
+            return hashes, same
+
+        hashes, same = equal(order)
+        if (hashes & ~same).any():  # different windows of one hash: order them by their words too
+            order = np.lexsort([*(self.tokens[start + j] for j in reversed(range(n))), h])
+            hashes, same = equal(order)
+        group = np.concatenate(([0], np.cumsum(~same))) if len(order) else np.zeros(0, np.int64)
+        rep = order[np.concatenate(([0], np.flatnonzero(~same) + 1))] if len(order) else order
+        pairs = np.unique(group * len(self.items) + item[order])  # an item counts once per window
+        offsets = np.searchsorted(pairs // max(1, len(self.items)), np.arange(len(rep) + 1))
+        return h[rep], start[rep].astype(np.int64), offsets, (pairs % max(1, len(self.items))).astype(np.int32)
+
+    def scan(self, ids: np.ndarray) -> Iterator[tuple[int, int, list]]:
         """(start, length, items) of every verified window occurrence."""
         zeros = np.concatenate(([0], np.cumsum(ids == 0)))
-        for n, hashes, rows, owners in self.by_len:
+        for n, hashes, places, offsets, owners in self.by_len:
             if len(ids) < n:
                 continue
             at = np.flatnonzero(zeros[n:] == zeros[:-n])
             if not len(at):
                 continue
-            h = np.zeros(len(at), np.uint64)
-            for j in range(n):
-                h += ids[at + j].astype(np.uint64) * self.mult[j]
+            h = self.hash_at(ids, at, n)
             k = np.searchsorted(hashes, h)
             seen = k < len(hashes)
             seen[seen] = hashes[k[seen]] == h[seen]
@@ -80,8 +112,8 @@ class Windows:
                 for m in range(first, len(hashes)):  # windows of one hash stand together
                     if hashes[m] != hashes[first]:
                         break
-                    if (ids[i:i + n] == rows[m]).all():
-                        yield i, n, owners[m]
+                    if (ids[i:i + n] == self.tokens[places[m]:places[m] + n]).all():
+                        yield i, n, [self.items[x] for x in owners[offsets[m]:offsets[m + 1]]]
 
 
 def _scan_batch(texts: list[str | None], win: Windows) -> tuple[list[int], list[list], list[list]]:
@@ -97,7 +129,7 @@ def _scan_batch(texts: list[str | None], win: Windows) -> tuple[list[int], list[
     for i, n, owners in win.scan(ids):
         d = int(np.searchsorted(starts, i, side="right")) - 1
         spans[d].append((i - int(starts[d]), i - int(starts[d]) + n - 1))
-        items[d] |= owners
+        items[d].update(owners)
     return counts, [merged(s) for s in spans], [sorted(x for x in s if x is not None) for s in items]
 
 
@@ -111,26 +143,43 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
-def blocks(bench: DataFrame, size: int, block_bytes: int) -> Iterator[Windows]:
-    """The benchmark in parts of about ``block_bytes``, each collected alone."""
+def n_blocks(bench: DataFrame, block_bytes: int) -> int:
     text = F.coalesce(F.col("text"), F.lit(""))
     total = bench.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"]
-    n = max(1, -(-int(total) // block_bytes))
-    part = F.pmod(F.xxhash64("item_id", text), F.lit(n))
+    return max(1, -(-int(total) // block_bytes))
+
+
+def blocks(bench: DataFrame, size: int, n: int) -> Iterator[Windows]:
+    """The benchmark in ``n`` parts, each collected alone."""
+    part = F.pmod(F.xxhash64("item_id", F.coalesce(F.col("text"), F.lit(""))), F.lit(n))
     for k in range(n):
         rows = bench.select(F.col("item_id").cast("string").alias("item_id"), "text").where(part == k)
-        yield Windows([(r["item_id"], r["text"]) for r in rows.collect()], size)
+        yield Windows([(r["item_id"], r["text"]) for r in rows.toLocalIterator()], size)
+
+
+def in_turn(bench: DataFrame, size: int, block_bytes: int, scan) -> list[DataFrame]:
+    """``scan(broadcast, last result)`` for every block.  Of several blocks each is
+    written and its broadcast released before the next one is built."""
+    n = n_blocks(bench, block_bytes)
+    out: list[DataFrame] = []
+    for win in blocks(bench, size, n):
+        sent = bench.sparkSession.sparkContext.broadcast(win)
+        got = scan(sent, out[-1] if out else None)
+        if n > 1:
+            got = saved(got, "decontam-block")
+            sent.destroy()
+        out.append(got)
+    return out
 
 
 def find_hits(docs: DataFrame, bench: DataFrame, size: int = WINDOW,
-              block_bytes: int = 32 << 20) -> DataFrame:
+              block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, spans, items) for every row of ``docs``; spans are
     disjoint [first, last] word positions, items sorted item ids."""
-    spark = docs.sparkSession
     schema = "rid long, doc_id long, n_words long, spans array<struct<a:long,b:long>>, items array<string>"
     rows = docs.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "text")
 
-    def scan(sent):
+    def scan(sent, _):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
                 n, spans, items = _scan_batch(pdf["text"].tolist(), sent.value)
@@ -139,7 +188,7 @@ def find_hits(docs: DataFrame, bench: DataFrame, size: int = WINDOW,
 
         return rows.mapInPandas(run, schema)
 
-    parts = [scan(spark.sparkContext.broadcast(w)) for w in blocks(bench, size, block_bytes)]
+    parts = in_turn(bench, size, block_bytes, scan)
     if len(parts) == 1:
         return parts[0].drop("rid")
     both = reduce(DataFrame.unionByName, parts).groupBy("rid", "doc_id").agg(
@@ -175,7 +224,7 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
 
 
 def decontaminate(docs: DataFrame, bench: DataFrame, mode: str = "drop", size: int = WINDOW,
-                  block_bytes: int = 32 << 20) -> DataFrame:
+                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``docs`` without contaminated rows (``drop``) or with the hit spans cut
     from their text (``cut``); all columns pass through.  A benchmark of
     several blocks is applied block after block; for ``cut`` every block sees
@@ -211,15 +260,11 @@ def decontaminate(docs: DataFrame, bench: DataFrame, mode: str = "drop", size: i
             new = pa.array([cut_spans(t, s) if s else t for t, s in zip(texts, spans)], batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays([new if k == at else batch.column(k) for k in range(len(names))], names=names)
 
-    send = docs.sparkSession.sparkContext.broadcast
     if mode == "drop":
-        out = docs
-        for win in blocks(bench, size, block_bytes):
-            out = out.mapInArrow(drop(send(win)), docs.schema)
-        return out
+        return in_turn(bench, size, block_bytes,
+                       lambda sent, last: (docs if last is None else last).mapInArrow(drop(sent), docs.schema))[-1]
     extra = "_spans" + "_" * max(map(len, names))  # no input column has this name
     out = docs.withColumn(extra, F.array().cast("array<struct<a:long,b:long>>"))
     schema = out.schema
-    for win in blocks(bench, size, block_bytes):
-        out = out.mapInArrow(mark(send(win)), schema)
-    return out.mapInArrow(cut, docs.schema)
+    marked = in_turn(bench, size, block_bytes, lambda sent, last: (out if last is None else last).mapInArrow(mark(sent), schema))[-1]
+    return marked.mapInArrow(cut, docs.schema)

@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import numpy as np
+
 from tessera.llm import decontam
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -96,3 +98,28 @@ def test_cut_does_not_depend_on_blocks(spark):
         got = decontam.decontaminate(docs, bench, "cut", block_bytes=block_bytes)
         assert got.columns == docs.columns
         assert sorted(map(tuple, got.collect())) == want
+
+
+def test_windows_stay_small():
+    """8 MB of benchmark text: a few bytes per byte, also when pickled."""
+    import pickle
+    import random
+
+    rnd = random.Random(1)
+    vocab = [f"w{k}x" for k in range(20_000)]
+    items = [(f"i{k}", " ".join(rnd.choices(vocab, k=400))) for k in range(500)] + [("short", "one two"), ("none", None)]
+    items += [("twin", items[0][1])]
+    n_bytes = sum(len(t or "") for _, t in items)
+    win = decontam.Windows(items, 10)
+    assert len(pickle.dumps(win)) < 6 * n_bytes
+    ids = np.array([win.vocab[w] for w in decontam.words_of(items[0][1])], np.int64)
+    found = list(win.scan(ids))
+    assert len(found) == 391 and all(sorted(o) == ["i0", "twin"] for _, _, o in found)
+
+
+def test_windows_of_one_hash(monkeypatch):
+    """All hashes equal: windows are still told apart by their words."""
+    monkeypatch.setattr(decontam.Windows, "hash_at", lambda self, ids, at, n: np.zeros(len(at), np.uint64))
+    win = decontam.Windows([("a", "x y z x y"), ("b", "y z x"), ("c", "q")], 3)
+    ids = np.array([win.vocab.get(w, 0) for w in b"x y z x o q".split()], np.int64)
+    assert sorted((i, n, o) for i, n, o in win.scan(ids)) == [(0, 3, ["a"]), (1, 3, ["a", "b"]), (5, 1, ["c"])]
