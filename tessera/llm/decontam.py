@@ -31,6 +31,7 @@ from tessera.llm.common import saved
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20  # benchmark text of one block
+PART_CHARS = 1 << 20   # document text whose words a task holds at a time
 # bytes -> bytes: A-Z lower-cased, every other ASCII byte outside a-z 0-9 a
 # blank; bytes of non-ASCII characters are word bytes
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
@@ -117,7 +118,21 @@ class Windows:
 
 
 def _scan_batch(texts: list[str | None], win: Windows) -> tuple[list[int], list[list], list[list]]:
-    """Per text: number of words, merged word spans [first, last], item ids."""
+    """Per text: number of words, merged word spans [first, last], item ids.
+    Only the words of about ``PART_CHARS`` of text are held at a time."""
+    out: tuple[list[int], list[list], list[list]] = ([], [], [])
+    part, size = [], 0
+    for k, text in enumerate(texts):
+        part.append(text)
+        size += len(text or "")
+        if size >= PART_CHARS or k + 1 == len(texts):
+            for done, new in zip(out, _scan_part(part, win)):
+                done.extend(new)
+            part, size = [], 0
+    return out
+
+
+def _scan_part(texts: list[str | None], win: Windows) -> tuple[list[int], list[list], list[list]]:
     get = win.vocab.get
     words = [words_of(t) for t in texts]
     counts = list(map(len, words))

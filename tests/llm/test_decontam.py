@@ -123,3 +123,12 @@ def test_windows_of_one_hash(monkeypatch):
     win = decontam.Windows([("a", "x y z x y"), ("b", "y z x"), ("c", "q")], 3)
     ids = np.array([win.vocab.get(w, 0) for w in b"x y z x o q".split()], np.int64)
     assert sorted((i, n, o) for i, n, o in win.scan(ids)) == [(0, 3, ["a"]), (1, 3, ["a", "b"]), (5, 1, ["c"])]
+
+
+def test_parts_of_a_batch(monkeypatch):
+    win = decontam.Windows([("a", "x y z")], 2)
+    texts = ["x y z", None, "", "q x y", "z", "y z " * 5]
+    whole = decontam._scan_batch(texts, win)
+    monkeypatch.setattr(decontam, "PART_CHARS", 4)
+    assert decontam._scan_batch(texts, win) == whole and len(whole[0]) == len(texts)
+    assert decontam._scan_batch([], win) == ([], [], [])
