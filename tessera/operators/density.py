@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from tessera.operators.cells import distance_matrix, vectors_of
 from tessera.operators.graph import components
 from tessera.operators.ordering import with_position
-from tessera.operators.spanning import keyed_block_pairs
+from tessera.operators.spanning import CHUNK_ROWS, join_roots, keyed_block_pairs, tiles
 from tessera.session import materialize
 
 
@@ -94,44 +94,35 @@ def _neighbour_weights(pts: DataFrame, eps: list[float], metric: str, chunk_rows
     names = [f"w{k}" for k in range(len(eps))]
 
     def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        d = block_distances(left, right, same, metric)
         wl, wr = left["weight"].to_numpy(np.int64), right["weight"].to_numpy(np.int64)
-        rows = [left["id"]] if same else [left["id"], right["id"]]
-        out = {"id": pd.concat(rows)}
-        for name, e in zip(names, eps):
-            near = (d <= e).astype(np.int64)
-            out[name] = near @ wr if same else np.concatenate([near @ wr, near.T @ wl])
-        return pd.DataFrame(out)
+        of_left = np.zeros((len(eps), len(left)), np.int64)
+        of_right = of_left if same else np.zeros((len(eps), len(right)), np.int64)
+        for i, j, d in near_pairs(left, right, same, metric, max(eps)):
+            for k, e in enumerate(eps):
+                at = d <= e
+                of_left[k] += np.bincount(i[at], wr[j[at]], len(left)).astype(np.int64)
+                of_right[k] += np.bincount(j[at], wl[i[at]], len(right)).astype(np.int64)
+        rows, found = ([left["id"]], [of_left]) if same else ([left["id"], right["id"]], [of_left, of_right])
+        return pd.DataFrame({"id": pd.concat(rows), **dict(zip(names, np.concatenate(found, axis=1)))})
 
     schema = "id long, " + ", ".join(f"{n} long" for n in names)
-    parts = keyed_block_pairs(pts.select("id", "vec", "weight"), [], "id", fn, schema, chunk_rows)
+    parts = keyed_block_pairs(pts.select("id", "vec", "weight"), [], "id", fn, schema, chunk_rows, dealt=True)
     return parts.groupBy("id").agg(*(F.sum(n).alias(n) for n in names))
 
 
-def block_distances(left: pd.DataFrame, right: pd.DataFrame, same: bool, metric: str) -> np.ndarray:
-    """Distances between the points of two chunks; infinite to itself."""
-    if not len(left) or not len(right):
-        return np.zeros((len(left), len(right)))
+def near_pairs(left: pd.DataFrame, right: pd.DataFrame, same: bool, metric: str, eps: float):
+    """(i, j, d): row numbers and distances of the pairs within ``eps`` of two
+    chunks, tile by tile; of a chunk with itself each pair once."""
     a = vectors_of(left["vec"], metric == "cosine")
-    d = distance_matrix(a, a if same else vectors_of(right["vec"], metric == "cosine"), metric)
-    if same:
-        np.fill_diagonal(d, np.inf)
-    return d
-
-
-def _local_roots(near: np.ndarray) -> np.ndarray:
-    """Smallest row number reachable from each row of a symmetric boolean
-    matrix; every row is expanded once."""
-    root = np.full(len(near), -1)
-    for i in range(len(near)):
-        if root[i] >= 0:
-            continue
-        front = np.array([i])
-        root[i] = i
-        while len(front):
-            front = np.flatnonzero(near[front].any(axis=0) & (root < 0))
-            root[front] = i
-    return root
+    b = a if same else vectors_of(right["vec"], metric == "cosine")
+    for x, y in tiles(len(a), len(b), same):
+        d = distance_matrix(a[x], b[y], metric)
+        i, j = np.divmod(np.flatnonzero(d.ravel() <= eps), d.shape[1])
+        if same and x == y:
+            once = i < j
+            i, j = i[once], j[once]
+        if len(i):
+            yield i + x.start, j + y.start, d[i, j]
 
 
 def _stars(pts: DataFrame, settings: list[Setting], metric: str, chunk_rows: int) -> DataFrame:
@@ -139,37 +130,42 @@ def _stars(pts: DataFrame, settings: list[Setting], metric: str, chunk_rows: int
     their star, and border points b next to the star of a."""
 
     def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        d = block_distances(left, right, same, metric)
         rows = left if same else pd.concat([left, right])
+        n = len(rows)
         order = np.argsort(rows["id"].to_numpy(np.int64), kind="stable")
-        ids, core = rows["id"].to_numpy(np.int64)[order], np.array(rows["core"].tolist(), dtype=bool).reshape(len(rows), len(settings))[order]
-        out = []
+        ids = rows["id"].to_numpy(np.int64)[order]
+        core = np.array(rows["core"].tolist(), dtype=bool).reshape(n, len(settings))[order]
+        place = np.empty(n, np.int64)
+        place[order] = np.arange(n)
+        place_right = place if same else place[len(left):]
+        roots = [np.arange(n) for _ in settings]
+        border = [[] for _ in settings]
+        for i, j, d in near_pairs(left, right, same, metric, max(s.eps for s in settings)):
+            i, j = place[i], place_right[j]
+            for k, s in enumerate(settings):
+                at = d <= s.eps
+                x, y = i[at], j[at]
+                cx, cy = core[x, k], core[y, k]
+                join_roots(roots[k], x[cx & cy], y[cx & cy])
+                one = cx != cy  # a point that is not core has fewer than min_samples of these
+                border[k].append(np.where(cx, x, y)[one] * n + np.where(cx, y, x)[one])
+        parts = []
         for k, s in enumerate(settings):
-            near = np.zeros((len(rows), len(rows)), bool)
-            n = len(left)
-            if same:
-                near = d <= s.eps
-            elif 0 < n < len(rows):
-                near[:n, n:] = d <= s.eps
-                near[n:, :n] = near[:n, n:].T
-            near = near[np.ix_(order, order)]
-            at = np.flatnonzero(core[:, k])
-            root = at[_local_roots(near[np.ix_(at, at)])] if len(at) else at
-            joined = root != at
-            out.append((STAR, s.param_id, ids[root[joined]], ids[at[joined]]))
-            star = np.full(len(rows), -1)
-            star[at] = root
-            edge = np.flatnonzero(~core[:, k] & near[:, at].any(axis=1)) if len(at) else at
-            for i in edge.tolist():
-                out.append((BORDER, s.param_id, ids[np.unique(star[at[near[i, at]]])], ids[i]))
-        parts = [pd.DataFrame({"kind": kind, "param_id": p, "a": a, "b": b}) for kind, p, a, b in out if np.size(a)]
-        return pd.concat(parts) if parts else pd.DataFrame({"kind": [], "param_id": [], "a": [], "b": []}, dtype="int64")
-
-    return keyed_block_pairs(pts.select("id", "vec", "core"), [], "id", fn, "kind int, param_id int, a long, b long", chunk_rows)
+            joined = np.flatnonzero(roots[k] != np.arange(n))
+            parts.append((STAR, s.param_id, ids[roots[k][joined]], ids[joined]))
+            if border[k]:
+                inner, edge = np.divmod(np.concatenate(border[k]), n)
+                star, edge = np.divmod(np.unique(roots[k][inner] * n + edge), n)
+                parts.append((BORDER, s.param_id, ids[star], ids[edge]))
+        frames = [pd.DataFrame({"kind": kind, "param_id": p, "a": a, "b": b}) for kind, p, a, b in parts if len(a)]
+        return pd.concat(frames) if frames else pd.DataFrame({"kind": [], "param_id": [], "a": [], "b": []}, dtype="int64")
+
+    return keyed_block_pairs(pts.select("id", "vec", "core"), [], "id", fn, "kind int, param_id int, a long, b long", chunk_rows,
+                             dealt=True)
 
 
 def dbscan_grid(df: DataFrame, id_col: str, vec_col: str, settings: list[Setting],
-                metric: str = "cosine", chunk_rows: int = 2048) -> DataFrame:
+                metric: str = "cosine", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(param_id, <id_col>, cluster) for every input row and setting."""
     pts, members = dedupe_points(df, id_col, vec_col)
     pts = materialize(pts, "dbscan-points")
@@ -198,7 +194,7 @@ def dbscan_grid(df: DataFrame, id_col: str, vec_col: str, settings: list[Setting
 
 
 def dbscan(df: DataFrame, id_col: str, vec_col: str, eps: float, min_samples: int,
-           metric: str = "cosine", chunk_rows: int = 2048) -> DataFrame:
+           metric: str = "cosine", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """(<id_col>, cluster) for every input row."""
     g = dbscan_grid(df, id_col, vec_col, [Setting(0, eps, min_samples)], metric, chunk_rows)
     return g.select(id_col, "cluster")

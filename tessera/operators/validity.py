@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.spanning import CHUNK_ROWS, distances, keyed_block_pairs, matrix, spanning_tree
+from tessera.operators.spanning import CHUNK_ROWS, keyed_block_pairs, leveled, matrix, near_levels, pair_distances, spanning_tree, tiles
 from tessera.session import materialize
 
 NOISE = -1
@@ -39,29 +39,58 @@ def _keyed(out: dict, keys: list[str], pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({**{c: pdf[c].iat[0] if len(pdf) else None for c in keys}, **out})
 
 
+def powered(x: np.ndarray, exponent: float) -> np.ndarray:
+    """x ** exponent, a whole exponent by squaring."""
+    if exponent != int(exponent):
+        return np.power(x, exponent)
+    out, n = np.ones_like(x), int(exponent)
+    while n:
+        if n & 1:
+            out *= x
+        n >>= 1
+        if n:
+            x = x * x
+    return out
+
+
 def all_points_core(points: DataFrame, keys: list[str], metric: str = "euclidean", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``points`` (keys, id, vec) with ``core``: ((sum of (1 / d) ** dim over the
     other points of the key) / (n - 1)) ** (-1 / dim)."""
 
-    def log_sums(d: np.ndarray, dim: int) -> np.ndarray:
-        with np.errstate(divide="ignore"):
-            x = np.where(d > 0, -dim * np.log(d), -np.inf)
-        top = x.max(axis=1, initial=-np.inf)
-        safe = np.where(np.isfinite(top), top, 0.0)
-        with np.errstate(divide="ignore"):
-            return safe + np.log(np.exp(x - safe[:, None]).sum(axis=1))
+    def log_sums(d: np.ndarray, dim: int, scale: np.ndarray) -> np.ndarray:
+        """log of the sum of (1 / d) ** dim, from levels divided by ``scale``."""
+        half = 1.0 if metric == "cosine" else 0.5  # levels are squares unless cosine
+        with np.errstate(divide="ignore", invalid="ignore"):
+            x = np.divide(scale[:, None], d, out=np.zeros_like(d), where=d > 0)
+            return np.log(powered(x, half * dim).sum(axis=1)) - half * dim * np.log(scale)
+
+    def add_logs(total: np.ndarray, at: slice, d: np.ndarray, dim: int) -> None:
+        scale = np.min(d, axis=1, initial=np.inf, where=d > 0)
+        some = np.isfinite(scale)
+        part = np.where(some, log_sums(d, dim, np.where(some, scale, 1.0)), -np.inf)
+        total[at] = np.logaddexp(total[at], part)
 
     def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        a, b = matrix(left["vec"], metric), matrix(right["vec"], metric)
-        d = distances(a, b, metric) if len(a) and len(b) else np.zeros((len(a), len(b)))
+        a = matrix(left["vec"], metric)
+        b = a if same else matrix(right["vec"], metric)
         dim = a.shape[1] if len(a) else b.shape[1]
-        ids, part = left["id"].tolist(), log_sums(d, dim)
-        if not same:
-            ids, part = ids + right["id"].tolist(), np.concatenate([part, log_sums(d.T, dim)])
-        return _keyed({"id": ids, "dim": dim, "part": part}, keys, left if len(left) else right)
+        of_a = np.full(len(a), -np.inf)
+        of_b = of_a if same else np.full(len(b), -np.inf)
+        for x, y in tiles(len(a), len(b), same):
+            d, slack = near_levels(a[x], b[y], metric)
+            # where a product loses the digits of a short distance, and at zero
+            i, j = np.divmod(np.flatnonzero(d.ravel() <= 1e8 * slack), d.shape[1])
+            d[i, j] = leveled(pair_distances(a[x][i], b[y][j], metric), metric)
+            if same and x == y:
+                np.fill_diagonal(d, 0.0)
+            add_logs(of_a, x, d, dim)
+            if not (same and x == y):
+                add_logs(of_b, y, d.T, dim)
+        ids, part = (left["id"], of_a) if same else (pd.concat([left["id"], right["id"]]), np.concatenate([of_a, of_b]))
+        return _keyed({"id": ids.to_numpy(np.int64), "dim": dim, "part": part}, keys, left if len(left) else right)
 
     rows = points.select(*keys, "id", "vec")
-    parts = keyed_block_pairs(rows, keys, "id", fn, _of(points, keys) + "id long, dim int, part double", chunk_rows)
+    parts = keyed_block_pairs(rows, keys, "id", fn, _of(points, keys) + "id long, dim int, part double", chunk_rows, dealt=True)
     parts = materialize(parts.where("part > double('-infinity')"), "dbcv-parts")
     top = parts.groupBy(*keys, "id").agg(F.max("part").alias("top"), F.max("dim").alias("dim"))
     total = parts.join(top.drop("dim"), [*keys, "id"]).groupBy(*keys, "id").agg(F.sum(F.exp(F.col("part") - F.col("top"))).alias("s"))
@@ -76,19 +105,30 @@ def separations(inner: DataFrame, keys: list[str], cluster: str, metric: str = "
     cluster's points to those of another cluster of the same labeling."""
 
     def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
-        a, b = matrix(left["vec"], metric), matrix(right["vec"], metric)
+        a = matrix(left["vec"], metric)
+        b = a if same else matrix(right["vec"], metric)
         if not len(a) or not len(b):
             return _keyed({cluster: [], "separation": []}, keys, left)
         of_a, of_b = left[cluster].to_numpy(np.int64), right[cluster].to_numpy(np.int64)
-        w = np.maximum(distances(a, b, metric), np.maximum(left["core"].to_numpy()[:, None], right["core"].to_numpy()[None, :]))
-        w[of_a[:, None] == of_b[None, :]] = np.inf
-        least = pd.concat([pd.Series(w.min(axis=1), index=of_a), pd.Series(w.min(axis=0), index=of_b)])
+        core_a, core_b = left["core"].to_numpy(np.float64), right["core"].to_numpy(np.float64)
+        least = []
+        for x, y in tiles(len(a), len(b), same):
+            d, _ = near_levels(a[x], b[y], metric)
+            np.maximum(d, leveled(core_a[x], metric)[:, None], out=d)
+            np.maximum(d, leveled(core_b[y], metric)[None, :], out=d)
+            d[of_a[x][:, None] == of_b[y][None, :]] = np.inf
+            for i, j in ((np.arange(len(d)), d.argmin(axis=1)), (d.argmin(axis=0), np.arange(d.shape[1]))):
+                there = np.isfinite(d[i, j])
+                i, j = i[there] + x.start, j[there] + y.start
+                w = np.maximum(pair_distances(a[i], b[j], metric), np.maximum(core_a[i], core_b[j]))
+                least += [pd.Series(w, index=of_a[i]), pd.Series(w, index=of_b[j])]
+        least = pd.concat(least)
         least = least.groupby(level=0).min()
         least = least[np.isfinite(least)]
         return _keyed({cluster: least.index.to_numpy(), "separation": least.to_numpy()}, keys, left)
 
     schema = _of(inner, keys) + f"{cluster} long, separation double"
-    found = keyed_block_pairs(inner.select(*keys, cluster, "id", "vec", "core"), keys, "id", fn, schema, chunk_rows)
+    found = keyed_block_pairs(inner.select(*keys, cluster, "id", "vec", "core"), keys, "id", fn, schema, chunk_rows, dealt=True)
     return found.groupBy(*keys, cluster).agg(F.min("separation").alias("separation"))
 
 
