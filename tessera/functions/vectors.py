@@ -74,8 +74,10 @@ def norm2(v: Column) -> Column:
 
 def l2_normalize(v: Column) -> Column:
     """Unit-length vector in double precision; a zero vector stays zero."""
-    n = norm2(v)
-    return F.transform(v, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double")))
+    def divided(n: Column) -> Column:
+        return F.transform(v, lambda x: F.when(n > 0, x.cast("double") / n).otherwise(x.cast("double")))
+
+    return F.get(F.transform(F.array(norm2(v)), divided), F.lit(0))  # the norm once a row, not once a component
 
 
 def dot(a: Column, b: Column) -> Column:

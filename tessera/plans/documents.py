@@ -70,10 +70,10 @@ def vec_dense_encode(spark, sf_dir):
     ft = roles.full_text(Tables(spark, sf_dir))
     v = silver.sentence_vectors(silver.sentences(silver.cleaned_documents(ft, None)))
     v = v.withColumn("unit", vx.l2_normalize(F.col("embedding")))
-    both = F.arrays_zip("embedding", "unit")
-    e = v.select("doc_id", "sentence_index", F.posexplode(both).alias("bucket", "e"))
-    return e.where(F.col("e")["embedding"] != 0).select(
-        "doc_id", "sentence_index", F.col("bucket").cast("long").alias("bucket"),
+    both = F.transform(F.arrays_zip("embedding", "unit"), lambda e, i: F.struct(i.alias("bucket"), e["embedding"].alias("embedding"), e["unit"].alias("unit")))
+    e = v.select("doc_id", "sentence_index", F.explode(F.filter(both, lambda e: e["embedding"] != 0)).alias("e"))
+    return e.select(
+        "doc_id", "sentence_index", F.col("e")["bucket"].cast("long").alias("bucket"),
         F.col("e")["embedding"].cast("double").alias("raw"), F.round(F.col("e")["unit"].cast("double"), 5).alias("unit"))
 
 
