@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from tessera.session import materialize
 
 MAX_CELLS = 256
+VISIT_ROWS = 8192  # copies that leave a task's Python at a time, not those of a whole batch
 SLACK = 1e-9  # rounding of the bounds; the distance itself decides
 
 
@@ -56,6 +57,16 @@ def to_pivots(vec: pd.Series, pivots: np.ndarray, metric: str) -> np.ndarray:
     return distance_matrix(m, pivots, "euclidean") if len(m) else np.zeros((0, len(pivots)))
 
 
+def copies(pdf: pd.DataFrame, near: np.ndarray, rows: int = VISIT_ROWS) -> Iterator[pd.DataFrame]:
+    """(id, vec, cell) of the points with each cell they visit, in frames of at
+    most ``rows``: a point can visit all cells."""
+    i, c = np.nonzero(near)
+    ids, vecs = pdf["id"].to_numpy(), pdf["vec"].to_numpy()
+    for s in range(0, max(1, len(i)), rows):
+        at = i[s:s + rows]
+        yield pd.DataFrame({"id": ids[at], "vec": vecs[at], "cell": c[s:s + rows].astype(np.int32)})
+
+
 class Cells:
     """Points (id, vec, cell) of a table, with the pivots and radii."""
 
@@ -99,8 +110,7 @@ class Cells:
                 own = pdf["cell"].to_numpy()
                 other = np.arange(len(pivots))[None, :]
                 near &= other > own[:, None] if upward else other != own[:, None]
-                i, c = np.nonzero(near)
-                yield pd.DataFrame({"id": pdf["id"].to_numpy()[i], "vec": pdf["vec"].to_numpy()[i], "cell": c.astype(np.int32)})
+                yield from copies(pdf, near)
 
         return self.rows.mapInPandas(visit, f"id long, vec {vec}, cell int")
 
