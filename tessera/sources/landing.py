@@ -87,6 +87,9 @@ def html_to_text(html: Column) -> Column:
     return F.when(t != "", t)
 
 
+EXTRACT_ROWS = 64  # documents whose content and text a task's Python holds besides the Arrow batch
+
+
 def extract_with(df: DataFrame, content: str, extractor, out_schema: str = "doc_text string, error string",
                  keep: tuple[str, ...] = (), tries: int = 3) -> DataFrame:
     """Run a pluggable per-document extractor (e.g. a PDF parser) in Arrow
@@ -96,9 +99,11 @@ def extract_with(df: DataFrame, content: str, extractor, out_schema: str = "doc_
     fields = [f.strip().split()[0] for f in out_schema.split(",")]
 
     def run(batches):
-        for pdf in batches:
+        import pyarrow as pa
+
+        for part in (batch.slice(s, EXTRACT_ROWS) for batch in batches for s in range(0, batch.num_rows, EXTRACT_ROWS)):
             texts, errors = [], []
-            for blob in pdf[content]:
+            for blob in part.column(content).to_pylist():
                 last = None
                 for _ in range(max(1, tries)):
                     try:
@@ -110,13 +115,11 @@ def extract_with(df: DataFrame, content: str, extractor, out_schema: str = "doc_
                 else:
                     texts.append(None)
                     errors.append(f"Error: {last}")
-            out = pdf[list(keep)].copy()
-            out[fields[0]] = pd.Series(texts, dtype="string")
-            out[fields[1]] = pd.Series(errors, dtype="string")
-            yield out
+            out = [part.column(k) for k in keep] + [pa.array(texts, pa.string()), pa.array(errors, pa.string())]
+            yield pa.RecordBatch.from_arrays(out, names=[*keep, *fields])
 
     schema = ", ".join([f"{k} {df.schema[k].dataType.simpleString()}" for k in keep] + [out_schema])
-    return df.mapInPandas(run, schema)
+    return df.select(*dict.fromkeys([*keep, content])).mapInArrow(run, schema)
 
 
 def _fs_path(uri: str):
