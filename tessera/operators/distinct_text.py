@@ -35,15 +35,14 @@ def tfidf_top_terms(docs: DataFrame, group: str, text: str, k: int = 10) -> Data
 def distinctive_sentences(sparse: DataFrame, doc: str = "doc_id", idx: str = "sentence_index") -> DataFrame:
     """Per document, the sentence least similar (cosine) to the document's
     mean sentence vector, from sparse (doc, idx, bucket, cnt) counts."""
-    n = sparse.groupBy(doc).agg(F.countDistinct(idx).alias("n_sent"))
-    mean = (sparse.groupBy(doc, "bucket").agg(F.sum("cnt").alias("tot"))
-                  .join(n, doc).select(doc, "bucket", (F.col("tot") / F.col("n_sent")).alias("m")))
-    mnorm = mean.groupBy(doc).agg(F.sqrt(F.sum(F.col("m") * F.col("m"))).alias("mnorm"))
-    sn = sparse.groupBy(doc, idx).agg(F.sqrt(F.sum(F.col("cnt").cast("double") * F.col("cnt"))).alias("snorm"))
-    dots = (sparse.join(mean, [doc, "bucket"]).groupBy(doc, idx)
-                  .agg(F.sum(F.col("cnt") * F.col("m")).alias("dot")))
-    sim = (dots.join(sn, [doc, idx]).join(mnorm, doc)
-               .select(doc, idx, (F.col("dot") / (F.col("snorm") * F.col("mnorm"))).alias("similarity")))
+    # windows and groups that all stay within a document: counts dealt by document are not dealt again
+    total = F.sum("cnt").over(Window.partitionBy(doc, "bucket"))
+    rows = sparse.where(F.col(doc).isNotNull()).withColumn("_tot", total)
+    dots = rows.groupBy(doc, idx).agg(F.sum(F.col("cnt") * F.col("_tot")).cast("double").alias("dot"),
+                                      F.sqrt(F.sum(F.col("cnt").cast("double") * F.col("cnt"))).alias("snorm"))
+    # the mean enters as a sum (a scale does not change a cosine); its squared norm is the sum of the dots
+    mnorm = F.sqrt(F.sum("dot").over(Window.partitionBy(doc)))
+    sim = dots.select(doc, idx, (F.col("dot") / (F.col("snorm") * mnorm)).alias("similarity"))
     key = F.struct(F.round("similarity", 9).alias("s"), F.col(idx).alias("i"))
     best = sim.groupBy(doc).agg(F.min_by(F.struct(idx, "similarity"), key).alias("b"))
     return best.select(doc, F.col(f"b.{idx}").alias(idx), F.round("b.similarity", 6).alias("similarity"))

@@ -47,9 +47,9 @@ def doc_distinctive_sentence(spark, sf_dir):
     """Per document, the sentence that differs most from the document's
     average sentence (lowest cosine to the mean vector)."""
     ft = roles.full_text(Tables(spark, sf_dir))
-    sparse = silver.sparse_hash_counts(silver.sentences(silver.cleaned_documents(ft, None)))
-    # four aggregates read the sparse counts: write them once
-    return distinct_text.distinctive_sentences(materialize(sparse, "sparse-sentences"))
+    # the sentences are dealt by document once; their counts, many times as long, stay where they are
+    sents = silver.sentences(silver.cleaned_documents(ft, None)).repartition("doc_id")
+    return distinct_text.distinctive_sentences(silver.sparse_hash_counts(sents))
 
 
 # party = source, bill = language of a document
@@ -93,7 +93,8 @@ def doc_distinctive_scopes(spark, sf_dir):
     """Per party and bill, the sentence least like all sentences of the party,
     and the one least like all sentences on the bill."""
     t = Tables(spark, sf_dir)
-    sparse = silver.sparse_hash_counts(silver.sentences(silver.cleaned_documents(roles.full_text(t), None)))
+    sents = silver.sentences(silver.cleaned_documents(roles.full_text(t), None)).repartition("doc_id")
+    sparse = silver.sparse_hash_counts(sents)
     place = t.documents.select("doc_id", F.col("source").alias("party"), F.col("lang").alias("bill"))
     sparse = materialize(sparse.join(place, "doc_id"), "sparse-scopes")
     out = None
