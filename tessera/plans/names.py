@@ -30,7 +30,8 @@ def _neighbour_pairs(t: Tables):
 
 
 def _scored(t: Tables):
-    p = _neighbour_pairs(t)
+    # a few bytes a row but much work: the pairs are dealt over the tasks, not packed by their size
+    p = _neighbour_pairs(t).repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")))
     return p.withColumn("s", fuzzy.pair_scores(F.col("name_a"), F.col("name_b")))
 
 

@@ -165,3 +165,14 @@ def test_ratio_expressions_equal_plain_ratios(spark):
     assert "Python" not in got._jdf.queryExecution().toString()
     for r in got.collect():
         assert tuple(r["s"]) == combined_score(r["a"], r["b"]), (r["a"], r["b"])
+
+
+def test_scored_pairs_are_dealt_over_the_tasks(spark, tmp_path):
+    """The rows are few bytes but much work: no task gets them all."""
+    from tessera.plans.names import str_combined_score
+
+    names = [(k, f"red widget {k % 7} of gear") for k in range(80)]
+    spark.createDataFrame(names, "p_partkey long, p_name string").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    rows = str_combined_score(spark, str(tmp_path)).withColumn("task", F.spark_partition_id()).collect()
+    assert len(rows) == 79 and len({r["task"] for r in rows}) > 1
+    assert all((r["token_sort"], r["token_set"], r["score"]) == combined_score(r["name_a"], r["name_b"]) for r in rows)
