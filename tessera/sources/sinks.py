@@ -34,25 +34,29 @@ def replace_keys(spark: SparkSession, path: str, batch: DataFrame, keys: list[st
     keys, or with those of ``keys_of``; a key may have many rows.
 
     The table is partitioned by a hash of the keys.  Only the partitions that
-    hold such a key are read, merged and overwritten (dynamic partition
-    overwrite), the files of the others stay.  A row that is not live keeps a
-    partition in the overwrite whose last rows go.  The merged rows are
-    written to the scratch folder before the first file is replaced, and applying
-    the same batch again gives the same table, so a failed run is repeated."""
+    hold rows of such a key are read, merged and overwritten (dynamic partition
+    overwrite), the files of the others stay and new rows are added beside
+    them.  A row that is not live keeps a partition in the overwrite whose last
+    rows go.  The rows are written to the scratch folder before the first file is
+    replaced, and applying the same batch again gives the same table (what a
+    failed run has added is found and overwritten), so a failed run is repeated."""
     bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
     new = materialize(batch.withColumns({"bucket": bucket, "_live": F.lit(True)}), "merge-batch")
     gone = (batch if keys_of is None else keys_of).select(*keys).unionByName(new.select(*keys)).distinct()
     gone = materialize(gone.withColumn("bucket", bucket), "merge-keys")
-    touched = [r["bucket"] for r in gone.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-    if touched:
-        target = existing(spark, path)
-        if target is not None:
-            old = gone.select(*(F.col(k).alias(f"_gone_{k}") for k in keys))
-            same = [F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in keys]
-            new = new.unionByName(target.where(F.col("_live") & F.col("bucket").isin(touched)).join(old, same, "left_anti"))
-        held = gone.select("bucket").distinct().withColumn("_live", F.lit(False))
-        new = materialize(new.unionByName(held, allowMissingColumns=True), "merge-new")
-        new.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    target, hit = existing(spark, path), []
+    if target is not None:
+        live = target.where("_live")
+        old = gone.select(*(F.col(k).alias(f"_gone_{k}") for k in keys))
+        same = [F.col(k).eqNullSafe(F.col(f"_gone_{k}")) for k in keys]
+        held = live.select("bucket", *keys).join(old, same, "left_semi").select("bucket").distinct()
+        hit = [r["bucket"] for r in held.collect()]  # at most ``buckets`` numbers
+    if hit:
+        merged = new.where(F.col("bucket").isin(hit)).unionByName(live.where(F.col("bucket").isin(hit)).join(old, same, "left_anti"))
+        kept = gone.where(F.col("bucket").isin(hit)).select("bucket").distinct().withColumn("_live", F.lit(False))
+        merged = materialize(merged.unionByName(kept, allowMissingColumns=True), "merge-new")
+        merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    new.where(~F.col("bucket").isin(hit)).repartition("bucket").write.mode("append").partitionBy("bucket").parquet(path)
     found = read_keyed(spark, path)
     return batch if found is None else found.select(*batch.columns)
 

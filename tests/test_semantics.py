@@ -166,3 +166,18 @@ def test_udf_query_from_another_folder(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=200)
     assert "rows " in run.stdout, run.stderr[-2000:]
+
+
+def test_merge_of_new_keys_rewrites_nothing(spark):
+    """Rows of keys that the table does not hold are added; its files stay."""
+    import glob
+
+    path = scratch_dir(spark, "t-keyed").removeprefix("file:")
+    batch = lambda low, v: spark.range(low, low + 100).selectExpr("id AS k", f"'{v}' AS v")
+    sinks.replace_keys(spark, path, batch(0, "old"), ["k"], buckets=8)
+    before = set(glob.glob(f"{path}/bucket=*/*.parquet"))
+    for _ in range(2):  # applied again, the same batch gives the same table
+        rows = sinks.replace_keys(spark, path, batch(1000, "new"), ["k"], buckets=8)
+        assert rows.count() == 200 and rows.where("v = 'new'").count() == 100
+        if _ == 0:
+            assert before <= set(glob.glob(f"{path}/bucket=*/*.parquet"))
