@@ -82,6 +82,19 @@ def _post_whitespace(t: Column) -> Column:
     return F.trim(t)
 
 
+def _post_whitespace_ascii(t: Column) -> Column:
+    """Steps T8-T14 of a text in which only x20-x7E are left: the same result
+    from character classes that need no Unicode tables and fewer matches."""
+    t = F.replace(t, F.lit("\\n"), F.lit(" "))
+    t = F.regexp_replace(t, "  +", " ")  # a single space stays as it is
+    t = F.regexp_replace(t, r"[#$%&*+/<=>@\[\\\]^`{|}~]", "")  # all that T9 drops
+    t = F.regexp_replace(t, " +(?=[.,!?;:])", "")
+    t = F.regexp_replace(t, r"([.,!?;:]) *+[.,!?;:]", "$1")
+    # T12 and T13 at once: neither makes or ends an isolated run of the other
+    t = F.regexp_replace(t, r"\b(?:[a-zA-Z]|[0-9]++)\b", "")
+    return F.trim(t)
+
+
 def clean_text(col: Column, mode: str = "function", normalize: bool = True) -> Column:
     if mode == "pipeline":
         return clean_text_pipeline(col)
@@ -120,7 +133,7 @@ def clean_text_pipeline(col: Column) -> Column:
     t = F.regexp_replace(t, r"[^\x20-\x7E]", "\\\\")
     # T4 (T5-T7 have nothing left to do on ASCII)
     t = F.regexp_replace(t, r"\\x[0-9a-fA-F]{2}", "")
-    return _post_whitespace(t)
+    return _post_whitespace_ascii(t)
 
 
 # Sentence boundary: whitespace after ., ! or ?

@@ -10,7 +10,8 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
@@ -20,7 +21,7 @@ TOKEN_SPLIT = r"[^\p{L}\p{N}_]+"
 
 def tokens(col: Column) -> Column:
     """Lower-cased word tokens (Unicode letters, digits, underscore)."""
-    return F.filter(F.split(F.lower(col), TOKEN_SPLIT), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(col), TOKEN_SPLIT), "")
 
 
 def md5_bucket(col: Column, dim: int) -> Column:
@@ -39,19 +40,17 @@ def _md5_bucket_py(token: str, dim: int) -> int:
     return int(hashlib.md5(token.encode("utf-8")).hexdigest()[:8], 16) % dim
 
 
-def _hash_count_batch(rows: pd.Series, dim: int) -> pd.Series:
-    """Dense token-count vectors for one Arrow batch of token arrays.
-    Each distinct token of the batch is hashed once; the counting is one
-    ``np.bincount`` over the whole batch."""
+def _hash_counts(rows: pa.Array, dim: int) -> np.ndarray:
+    """Token counts per bucket, (rows, dim), of one Arrow batch of token arrays;
+    a null array counts as empty.  Each distinct token of the batch is hashed
+    once; the counting is one ``np.bincount`` over the whole batch."""
     n = len(rows)
-    lens = np.fromiter((0 if r is None else len(r) for r in rows), dtype=np.int64, count=n)
-    flat = [t for r in rows if r is not None for t in r]
-    codes, uniques = pd.factorize(pd.Series(flat, dtype=object), sort=False)
-    ubuckets = np.fromiter((_md5_bucket_py(t, dim) for t in uniques), dtype=np.int64, count=len(uniques))
-    buckets = ubuckets[codes] if len(flat) else np.zeros(0, dtype=np.int64)
+    lens = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = rows.flatten().dictionary_encode()
+    hashed = np.array([_md5_bucket_py(t, dim) for t in coded.dictionary.to_pylist()], dtype=np.int64)
+    buckets = hashed[coded.indices.to_numpy(zero_copy_only=False)] if len(coded) else np.zeros(0, dtype=np.int64)
     row_of = np.repeat(np.arange(n, dtype=np.int64), lens)
-    mat = np.bincount(row_of * dim + buckets, minlength=n * dim).reshape(n, dim).astype(np.float32)
-    return pd.Series(list(mat))
+    return np.bincount(row_of * dim + buckets, minlength=n * dim).reshape(n, dim)
 
 
 def hash_vector(col: Column, dim: int) -> Column:
@@ -59,15 +58,31 @@ def hash_vector(col: Column, dim: int) -> Column:
     of length ``dim``.  Tokenising stays in the JVM; hashing and counting run
     per Arrow batch (the slot a neural encoder would take)."""
 
-    @F.pandas_udf(ArrayType(FloatType()))
-    def _vec(rows: pd.Series) -> pd.Series:
-        return _hash_count_batch(rows, dim)
+    @F.arrow_udf(ArrayType(FloatType()))
+    def _vec(rows: pa.Array) -> pa.Array:
+        counts = _hash_counts(rows, dim)
+        ends = np.arange(len(counts) + 1, dtype=np.int32) * dim
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(counts.astype(np.float32).ravel()))
 
     # Marked non-deterministic only so the optimizer never duplicates the
     # Python evaluation (e.g. for filters it infers from a later explode).
     return _vec.asNondeterministic()(tokens(col))
 
 
+def hash_entries(col: Column, dim: int) -> Column:
+    """The non-zero components of ``hash_vector``: array<struct<bucket, cnt>>."""
+
+    @F.arrow_udf("array<struct<bucket:long,cnt:long>>")
+    def _entries(rows: pa.Array) -> pa.Array:
+        counts = _hash_counts(rows, dim)
+        row, bucket = np.nonzero(counts)
+        ends = np.concatenate(([0], np.cumsum(np.bincount(row, minlength=len(counts))))).astype(np.int32)
+        pairs = pa.StructArray.from_arrays([pa.array(bucket.astype(np.int64)), pa.array(counts[row, bucket].astype(np.int64))], ["bucket", "cnt"])
+        return pa.ListArray.from_arrays(pa.array(ends), pairs)
+
+    return _entries.asNondeterministic()(tokens(col))
+
+
 def norm2(v: Column) -> Column:
     return F.sqrt(F.aggregate(v, F.lit(0.0).cast("double"), lambda a, x: a + x.cast("double") * x.cast("double")))
 

@@ -22,6 +22,7 @@ from pyspark.sql.types import ArrayType, FloatType
 from tessera.functions import text as tx
 from tessera.functions import vectors as vx
 from tessera.operators import filters, joins
+from tessera.session import materialize
 
 DEFAULT_DIM = 64
 HASH_MODEL = "md5-feature-hash"
@@ -77,14 +78,31 @@ def sparse_hash_counts(sents: DataFrame, dim: int = DEFAULT_DIM,
                        keys: tuple[str, ...] = ("doc_id", "sentence_index")) -> DataFrame:
     """Sparse hashed vectors: one row (keys, bucket, cnt) per non-zero bucket.
 
-    Tokens are exploded and bucketed outside any lambda, so the md5 runs in
-    generated code; the count is a hash aggregate whose map side already
-    sees every token of a sentence (they come from one input row), so the
-    shuffle carries only the final sparse entries.
+    The entries of a sentence are counted in its own row, so the groups, which
+    add up sentences of equal keys, shuffle only the final sparse entries.
     """
-    tok = sents.select(*keys, F.explode(vx.tokens(F.col("sentence"))).alias("_t"))
-    tok = tok.select(*keys, vx.md5_bucket(F.col("_t"), dim).alias("bucket"))
-    return tok.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).cast("long").alias("cnt"))
+    return sentence_counts(sents, dim, keys).groupBy(*keys, "bucket").agg(F.sum("cnt").cast("long").alias("cnt"))
+
+
+def sentence_counts(sents: DataFrame, dim: int = DEFAULT_DIM,
+                    keys: tuple[str, ...] = ("doc_id", "sentence_index")) -> DataFrame:
+    """``sparse_hash_counts`` row by row, without a shuffle: sentences of equal
+    keys stay apart."""
+    return sents.withColumn("_e", vx.hash_entries(F.col("sentence"), dim)).select(*keys, F.explode("_e").alias("_e")).select(*keys, "_e.*")
+
+
+def document_hash_counts(docs: DataFrame, dim: int = DEFAULT_DIM, key: str = "doc_id") -> DataFrame:
+    """(key, sentence_index, bucket, cnt) of cleaned documents.  A document whose
+    key is its own needs no group; only the sentences of keys that are
+    null or repeat are shuffled and added up."""
+    again = docs.groupBy(key).agg(F.count("*").alias("n")).where(F.col(key).isNull() | (F.col("n") > 1))
+    again = materialize(again.select(F.col(key).alias("_again")), "hash-repeated")
+    if again.isEmpty():
+        return sentence_counts(sentences(docs, key), dim, (key, "sentence_index"))
+    same = F.col(key).eqNullSafe(F.col("_again"))
+    once, more = docs.join(again, same, "left_anti"), docs.join(again, same, "left_semi")
+    return sentence_counts(sentences(once, key), dim, (key, "sentence_index")).unionByName(
+        sparse_hash_counts(sentences(more, key), dim, (key, "sentence_index")))
 
 
 def model_encoder(load_model: Callable[[], object], dim: int) -> Encoder:

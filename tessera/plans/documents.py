@@ -55,8 +55,7 @@ def vec_hash_encode(spark, sf_dir):
     """Sparse view of the hashed sentence vectors: one row per non-zero
     bucket (doc_id, sentence_index, bucket, cnt)."""
     ft = roles.full_text(Tables(spark, sf_dir))
-    sents = silver.sentences(silver.cleaned_documents(ft, None))
-    return silver.sparse_hash_counts(sents, DIM)
+    return silver.document_hash_counts(silver.cleaned_documents(ft, None), DIM)
 
 
 @query("vec_dense_encode", with_views(f"""

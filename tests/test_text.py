@@ -91,3 +91,31 @@ def test_scanned_characters(spark):
     df = spark.createDataFrame([(k,) for k in cases], "s string")
     got = {r["s"]: r["f"] for r in df.select("s", tx.fix_scanned(F.col("s"), OCR_DIGITS).alias("f")).collect()}
     assert got == cases
+
+
+def test_ascii_steps_equal_the_general_ones(spark):
+    """The pipeline cleaner's last steps see only ASCII and take cheaper patterns."""
+    import random
+
+    rng = random.Random(5)
+    letters = list("ab1 2u0f\\nx-_.,!?;:'\"()#$%&*+/<=>@[]^`{|}~ ") + ["\\n", "  ", " . "]
+    rows = [("".join(rng.choice(letters) for _ in range(rng.randint(0, 40))),) for _ in range(3000)] + [(None,), ("",)]
+    c = F.col("t")
+    got = spark.createDataFrame(rows, "t string").select("t", tx._post_whitespace_ascii(c).alias("new"), tx._post_whitespace(c).alias("old"))
+    assert [tuple(r) for r in got.where("not new <=> old").collect()] == []
+
+
+def test_hash_counts_of_documents_need_no_shuffle(spark):
+    """Entries are counted in the sentence's row; only null and repeated ids are grouped."""
+    from tessera.operators import silver
+
+    text = "The first long sentence has words. Words words and some other words follow."
+    once = spark.createDataFrame([(1, text), (2, text + " More words stand here today.")], "doc_id long, doc_text string")
+    counts = silver.document_hash_counts(once)
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+    twice = once.unionByName(spark.createDataFrame([(2, text), (None, text), (None, text), (3, "")], "doc_id long, doc_text string"))
+    for docs in (once, twice):
+        want = silver.sparse_hash_counts(silver.sentences(docs))
+        assert sorted(map(str, silver.document_hash_counts(docs).collect())) == sorted(map(str, want.collect()))
+    tokens = sum(r["cnt"] for r in silver.document_hash_counts(twice.where("doc_id is null")).collect())
+    assert tokens == 2 * len(text.replace(".", "").split())
