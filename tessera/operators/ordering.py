@@ -21,6 +21,6 @@ def with_position(df: DataFrame, order: list, name: str = "pos") -> DataFrame:
     sizes = rows.groupBy(part.alias("_task")).agg(F.count("*").alias("_n"))
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
     offset = sizes.select("_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    placed = rows.withColumn("_task", part).join(offset, "_task")
+    placed = rows.withColumn("_task", part).join(F.broadcast(offset), "_task")  # else the wide rows are shuffled again
     row = F.col("_place").bitwiseAND(F.lit((1 << _LOW) - 1))
     return placed.withColumn(name, F.col("_before") + row).drop("_task", "_place", "_before")

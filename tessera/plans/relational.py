@@ -108,11 +108,10 @@ WHERE (Inactive IS NULL OR NOT Inactive) AND NOT coalesce(starts_with(LastName,
 def src_testimony_attrs(spark, sf_dir):
     """All testimony fields for every requested (paper, session), in the
     interface's order, which ``position`` states: the per-paper calls become
-    one semi-join against the bill list.  The nested request is flattened to dotted columns."""
+    one semi-join against the bill list (in ``testimony_full``).  The nested request is flattened to dotted columns."""
     t = Tables(spark, sf_dir)
-    a = filters.active_testimony(roles.testimony_full(t))
-    req = roles.bills(t).select(F.col("paperNumber").alias("LDNumber"), "legislature").distinct()
-    out = landing.flatten(a.join(req, ["LDNumber", "legislature"], "left_semi").select(*a.columns))
+    a = filters.active_testimony(roles.testimony_full(t, papers=roles.bills(t)))
+    out = landing.flatten(a)
     return with_position(out, [*(F.asc_nulls_first(c) for c in ("LastName", "FirstName", "Organization")), "Id"], "position")
 
 
