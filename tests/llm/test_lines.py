@@ -123,3 +123,28 @@ def test_repeated_lines_are_removed(spark):
     assert len(of) == 1 and sum(r["class_id"] in of for r in members) == 5
     assert [(r["doc_id"], r["line_no"]) for r in members if r["class_id"] in of and r["kept"]] == [(1, 0)]
     assert lines.remove_lines(df.limit(0)).count() == 0
+
+
+def test_keys_of_one_line_do_not_reach_the_join(spark):
+    rnd = random.Random(4)
+    vocab = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(8)) for _ in range(3000)]
+    texts = [" ".join(rnd.choice(vocab) for _ in range(30)) for _ in range(200)]
+    words = texts[7].split()
+    texts += [" ".join([*words[:15], "changed", *words[16:]]), texts[9][:40] + "#" + texts[9][41:]]
+    rows = lines.word_rows(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 12).cache()
+    keys = rows.select("id", F.explode("keys").alias("key")).cache()
+    left = lines.that_meet(keys, lines.met_keys(rows, F.col("keys"), "test")).groupBy("key").count().collect()
+    want = {r["key"] for r in keys.groupBy("key").count().where("count > 1").collect()}
+    assert want and want <= {r["key"] for r in left}
+    assert sum(r["count"] for r in left) < keys.count() / 10
+    near = lines.word_pairs(rows, 12).collect()
+    assert len(near) == 2
+
+
+def test_winnowed_hashes(spark):
+    hashes = [[(k * k * 7919 + 13 * k * s) % 10007 for k in range(n)] for s, n in ((1, 11), (2, 30), (3, 4), (5, 5))]
+    df = spark.createDataFrame([(h,) for h in hashes], "w array<long>")
+    each = F.transform(F.sequence(F.lit(0), F.size("w") - 4), lambda i: F.xxhash64(F.lit(9), *[F.get("w", i + k) for k in range(4)]))
+    for r in df.select(each.alias("all"), lines.winnowed(F.col("w"), 4, 3, 9).alias("got")).collect():
+        assert set(r["got"]) == {min(r["all"][j:j + 3]) for j in range(max(1, len(r["all"]) - 2))}
+        assert len(set(r["got"])) == len(r["got"])
