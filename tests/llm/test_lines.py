@@ -148,3 +148,27 @@ def test_winnowed_hashes(spark):
     for r in df.select(each.alias("all"), lines.winnowed(F.col("w"), 4, 3, 9).alias("got")).collect():
         assert set(r["got"]) == {min(r["all"][j:j + 3]) for j in range(max(1, len(r["all"]) - 2))}
         assert len(set(r["got"])) == len(r["got"])
+
+
+def test_common_ends_are_cut_before_words_are_compared(spark):
+    rnd = random.Random(6)
+    rows = [("a b", "a  b"), ("a", "a a"), ("a b a b", "a b"), ("x", "y")]
+    for _ in range(150):
+        s = [rnd.choice("abcd") for _ in range(rnd.randrange(1, 40))]
+        t = list(s)
+        for _ in range(rnd.randrange(4)):
+            k = rnd.randrange(len(t) + 1)
+            t[k:k + rnd.randrange(2)] = [rnd.choice("abcd")] * rnd.randrange(2)
+        rows.append((" ".join(s), " ".join(t) or "a"))
+    df = spark.createDataFrame(rows, "x string, y string")
+    words = lambda c: F.array_compact(F.split(c, " +"))
+    for r in df.withColumn("e", lines.without_common_ends(words("x"), words("y"))).collect():
+        a, b = r["x"].split(), r["y"].split()
+        while a and b and a[0] == b[0]:
+            a, b = a[1:], b[1:]
+        while a and b and a[-1] == b[-1]:
+            a, b = a[:-1], b[:-1]
+        assert (r["e"]["x"], r["e"]["y"]) == (a, b)
+    far = {(x, y): lev(x.split(), y.split()) for x, y in rows}
+    got = {(r["x"], r["y"]): r["distance"] for r in lines.word_distance(df, 4).collect()}
+    assert got == {(x, y): d for (x, y), d in far.items() if d <= max(len(x.split()), len(y.split())) // 4}
