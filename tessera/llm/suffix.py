@@ -11,7 +11,11 @@ once its rank is unique.  One row per byte position is many times the text
 2. Round two, the whole context of the interval (100 bytes and more).  In a
    run of equal rank pairs all but the earliest interval are repeats.
 3. Intervals that are the earliest of their context while their anchor has
-   other contexts are resolved start by start: a start's rank pair is
+   other contexts are cut into blocks of starts by distance to the anchor, an
+   eighth of the threshold long.  The bytes common to all starts of a block
+   (88 of 100) and the whole context of the block settle it as in rounds one
+   and two: nearly all blocks are unique or repeats, at one row for a block.
+4. What is still open is resolved start by start: a start's rank pair is
    (rank of 50 bytes at p, rank of 50 bytes at p + 50); sorting the pairs
    reranks at 100 bytes, and all but the first start of a rank are repeats.
 
@@ -111,14 +115,15 @@ def anchor_rows(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> t
     return low, high, rank[a], mixed(hashes.at(low, high + length) + where)
 
 
-def pieces(raw: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], bytes]]:
-    """Buffers of at most PIECE bytes: (row, offset in its text) of each part
-    and the bytes; parts of a long text overlap by length - 1."""
+def pieces(raw: list[bytes], length: int, most: int | None = None) -> Iterator[tuple[list[int], list[int], bytes]]:
+    """Buffers of at most ``most`` (PIECE) bytes or one part: (row, offset in
+    its text) of each part and the bytes; parts of a long text are of PIECE
+    bytes and overlap by length - 1."""
     rows, offsets, parts, size = [], [], [], 0
     for k, text in enumerate(raw):
         for at in range(0, max(1, len(text) - length + 1), PIECE - length + 1):
             part = text[at:at + PIECE]
-            if size + len(part) > PIECE:
+            if rows and size + len(part) > (most or PIECE):
                 yield rows, offsets, parts
                 rows, offsets, parts, size = [], [], [], 0
             rows.append(k)
@@ -224,27 +229,77 @@ def with_intervals(docs: DataFrame, intervals: DataFrame, keep_rest: bool) -> Da
     return near.unionByName(marked.where("not _maybe").select("doc_id", "doc", "text", F.lit(None).cast(kind).alias("spans")))
 
 
+def open_parts(pdf: pd.DataFrame, length: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(bytes, doc, shift, low, high): buffers of whole pieces and the open
+    intervals in them; a position plus ``shift`` is one of its document."""
+    spans = [np.array([(s["low"], s["high"]) for s in x], np.int64).reshape(-1, 2) for x in pdf["spans"]]
+    ids = pdf["doc"].to_numpy()
+    for rows, offsets, parts in pieces([utf8(t) for t in pdf["text"]], length, 1 << 20):
+        found, base = [], 0
+        for k, at, part in zip(rows, offsets, parts):
+            low, high = np.maximum(spans[k][:, 0], at), np.minimum(spans[k][:, 1], at + len(part) - length)
+            inside = low <= high
+            low, high = low[inside], high[inside]
+            found.append((np.full(len(low), ids[k]), np.full(len(low), at - base), low - at + base, high - at + base))
+            base += len(part)
+        doc, shift, low, high = (np.concatenate(x) for x in zip(*found))
+        if len(low):
+            yield np.frombuffer(b"".join(parts), np.uint8), doc, shift, low, high
+
+
+def anchor_of(h: Hashes, start: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """Anchors of ``start``, chosen as ``anchor_rows`` chooses them."""
+    out = []
+    for k in range(0, len(start), 4096):
+        grams = start[k:k + 4096, None] + np.arange(length - gram + 1)
+        out.append(start[k:k + 4096] + np.argmin(h.at(grams, grams + gram) >> np.uint64(22), axis=1))
+    return np.concatenate(out)
+
+
+def block_rows(open_docs: DataFrame, length: int, gram: int) -> DataFrame:
+    """(rank, context, doc, low, span) of the blocks of open intervals: starts
+    whose distance to the anchor has the same quotient by an eighth of
+    ``length``.  The rank hashes the bytes that all starts of such a block
+    have, the context all bytes of this one's; equal strings are in blocks of
+    equal rank, as for anchors."""
+    block = max(1, length // 8)
+
+    def blocks(data: np.ndarray, doc: np.ndarray, shift: np.ndarray, low: np.ndarray, high: np.ndarray) -> pd.DataFrame:
+        h = Hashes(data)
+        anchor = anchor_of(h, low, length, gram)
+        top = (anchor - low) // block
+        n = top - (anchor - high) // block + 1
+        of = np.repeat(np.arange(len(low)), n)
+        j = top[of] - (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n))
+        core = anchor[of] - j * block  # last start of an uncut block
+        a, b = np.maximum(low[of], core - block + 1), np.minimum(high[of], core)
+        rank = mixed(h.at(core, core + length - block + 1) + j.astype(np.uint64))
+        where = ((core - a).astype(np.uint64) << np.uint64(8)) + (b - a).astype(np.uint64)
+        return pd.DataFrame({"rank": rank.view(np.int64), "context": mixed(h.at(a, b + length) + where).view(np.int64),
+                             "doc": doc[of], "low": a + shift[of], "span": (b - a).astype(np.int32)})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            got = [blocks(*part) for part in open_parts(pdf, length)]
+            if got:
+                yield settle_locally(pd.concat(got, ignore_index=True))
+
+    return open_docs.mapInPandas(run, "rank long, context long, doc long, low long, span int")
+
+
 def start_ranks(open_docs: DataFrame, length: int) -> DataFrame:
     """(rank, next, doc, pos): rank pair of every start in open intervals."""
     half = length // 2
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for doc, text, spans in zip(pdf["doc"], pdf["text"], pdf["spans"]):
-                raw = np.frombuffer(utf8(text), np.uint8)
-                low = np.array([s["low"] for s in spans], np.int64)
-                high = np.array([s["high"] for s in spans], np.int64)
-                for at in range(0, max(1, len(raw) - length + 1), PIECE - length + 1):
-                    end = at + PIECE - length  # last start of the piece
-                    a, b = np.maximum(low, at), np.minimum(high, end)
-                    a, b = a[a <= b], b[a <= b]
-                    if not len(a):
-                        continue
-                    n = b - a + 1
-                    pos = np.repeat(a - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-                    h, p = Hashes(raw[at:at + PIECE]), pos - at
+            for data, doc, shift, low, high in open_parts(pdf, length):
+                h, size = Hashes(data), high - low + 1
+                for k in range(0, len(low), 4096):
+                    n = size[k:k + 4096]
+                    p = np.repeat(low[k:k + 4096] - (np.cumsum(n) - n), n) + np.arange(n.sum())
                     yield pd.DataFrame({"rank": h.at(p, p + half).view(np.int64), "next": h.at(p + half, p + length).view(np.int64),
-                                        "doc": doc, "pos": pos})
+                                        "doc": np.repeat(doc[k:k + 4096], n), "pos": p + np.repeat(shift[k:k + 4096], n)})
 
     return open_docs.mapInPandas(run, "rank long, next long, doc long, pos long")
 
@@ -286,8 +341,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     occur earlier; ``docs`` has doc and text."""
     found = saved(settled(anchors(docs, length, gram)), "suffix-settled")
     opened = with_intervals(docs, found.where("open").select("doc", "low", "high"), keep_rest=False)
-    return saved(found.where("not open").select("doc", "low", "high").unionByName(
-        later_starts(start_ranks(opened, length))), "suffix-repeats")
+    blocks = saved(settled(block_rows(opened, length, gram)), "suffix-blocks")
+    opened = with_intervals(docs, blocks.where("open").select("doc", "low", "high"), keep_rest=False)
+    done = found.where("not open").unionByName(blocks.where("not open")).select("doc", "low", "high")
+    return saved(done.unionByName(later_starts(start_ranks(opened, length))), "suffix-repeats")
 
 
 def cut(raw: bytes, spans, length: int) -> tuple[bytes, int, int]:

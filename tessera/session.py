@@ -24,6 +24,9 @@ LOCAL_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
+# removes the shuffle files of a query when it ends
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def get_spark(master: str | None = None, shuffle_partitions: int = 8,
               app: str = "tessera") -> SparkSession:
@@ -94,8 +97,17 @@ def materialize(df, tag: str):
     carries neither the lineage nor the optimizer constraints of the
     rounds before (``Dataset.checkpoint`` keeps the latter, and they grow
     with every round), and the files survive the loss of any executor.
+
+    Once the table is written nothing reads the shuffle files of its job
+    again: Spark removes them then, not at some later collection of the
+    driver's heap.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, tag)
-    df.write.mode("overwrite").parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.parquet(path)

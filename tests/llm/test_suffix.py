@@ -118,3 +118,33 @@ def test_contexts_of_one_anchor_are_dealt_out(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(tasks) > 1 and max(r["count"] for r in tasks) < 2000
+
+
+def test_open_intervals_are_settled_by_blocks(spark):
+    rnd = random.Random(11)
+    text = lambda n: "".join(rnd.choice("abcdefgh ") for _ in range(n))
+    passage = text(3000)
+    rows = []
+    for k in range(60):  # the passage is entered and left at other places by every document
+        at = rnd.randrange(2500)
+        rows.append((k, text(60) + passage[at:at + rnd.randrange(120, 500)] + text(60)))
+    df = suffix.numbered(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    found = suffix.settled(suffix.anchors(df, 100, 32)).where("open").select("doc", "low", "high").cache()
+    opened = suffix.with_intervals(df, found, keep_rest=False)
+    blocks = suffix.settled(suffix.block_rows(opened, 100, 32)).cache()
+    starts = F.sum(F.col("high") - F.col("low") + 1)
+    before, after = found.agg(starts).first()[0], blocks.where("open").agg(starts).first()[0]
+    assert before > 500 and after < before / 2
+    inside = {(r["doc"], p) for r in found.collect() for p in range(r["low"], r["high"] + 1)}
+    assert {(r["doc"], p) for r in blocks.collect() for p in range(r["low"], r["high"] + 1)} <= inside
+    got = sorted(map(tuple, suffix.remove_repeats(df, digest=True).collect()))
+    assert got == brute(rows, 100)
+
+
+def test_anchors_of_intervals(spark):
+    data = np.frombuffer(made(9)[20][1].encode() * 2, np.uint8)
+    h = suffix.Hashes(data)
+    low, high, rank, _ = suffix.anchor_rows(data, np.array([len(data)]), 100, 32)
+    anchor = suffix.anchor_of(h, low, 100, 32)
+    assert (h.at(anchor, anchor + 32) == rank).all()
+    assert (suffix.anchor_of(h, high, 100, 32) == anchor).all() and (high <= anchor).all()
