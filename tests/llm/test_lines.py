@@ -172,3 +172,32 @@ def test_common_ends_are_cut_before_words_are_compared(spark):
     far = {(x, y): lev(x.split(), y.split()) for x, y in rows}
     got = {(r["x"], r["y"]): r["distance"] for r in lines.word_distance(df, 4).collect()}
     assert got == {(x, y): d for (x, y), d in far.items() if d <= max(len(x.split()), len(y.split())) // 4}
+
+
+@pytest.mark.parametrize("codes", [3, 1 << 20])
+def test_words_that_share_a_character_are_told_apart(spark, monkeypatch, codes):
+    monkeypatch.setattr(lines, "CODES", codes)
+    rnd = random.Random(codes)
+    vocab = [f"w{k}" for k in range(9)]
+    rows = []
+    for _ in range(150):
+        s = [rnd.choice(vocab) for _ in range(rnd.randrange(3, 40))]
+        t = list(s)
+        for _ in range(rnd.randrange(5)):
+            t[rnd.randrange(len(t))] = rnd.choice(vocab)
+        rows.append((" ".join(s), "  ".join(t)))
+    df = spark.createDataFrame(rows, "x string, y string")
+    want = {(x, y): lev(x.split(), y.split()) for x, y in rows}
+    got = {(r["x"], r["y"]): r["distance"] for r in lines.word_distance(df, 4).collect()}
+    assert got == {(x, y): d for (x, y), d in want.items() if d <= max(len(x.split()), len(y.split())) // 4}
+    codes_of = df.select(lines.words_of(F.col("x")).alias("w"), lines.coded(lines.words_of(F.col("x"))).alias("c")).collect()
+    assert all(len(r["c"]) == len(r["w"]) for r in codes_of)
+
+
+def test_codes_made_before_are_used(spark):
+    # a code that says far apart drops the pair before its texts are compared
+    df = spark.createDataFrame([("a b c d", "a b c x", "1234", "5678"), ("a b c d", "a b c y", "1234", "123y")],
+                               "x string, y string, code_x string, code_y string")
+    got = lines.word_distance(df, 4)
+    assert got.columns == ["x", "y", "distance"]
+    assert [tuple(r) for r in got.collect()] == [("a b c d", "a b c y", 1)]
