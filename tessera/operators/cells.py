@@ -74,7 +74,7 @@ class Cells:
         self.metric, self.chunk_rows = metric, chunk_rows
         n = df.count() if n_rows is None else n_rows
         k = max(1, min(MAX_CELLS, -(-n // chunk_rows)))
-        self.pivots, self.radius = np.zeros((0, 0)), np.zeros(1)
+        self.pivots, self.radius, self.sizes = np.zeros((0, 0)), np.zeros(1), np.array([n])
         if k == 1:  # one chunk: there is nothing to exclude
             self.rows = df.withColumn("cell", F.lit(0))
             return
@@ -89,14 +89,35 @@ class Cells:
         vec = df.schema["vec"].dataType.simpleString()
         rows = materialize(df.mapInPandas(assign, f"id long, vec {vec}, cell int, r double"), "cells")
         self.radius = np.full(k, -np.inf)  # an empty cell is never visited
-        for r in rows.groupBy("cell").agg(F.max("r").alias("r")).collect():  # at most MAX_CELLS rows
-            self.radius[r["cell"]] = r["r"]
+        self.sizes = np.zeros(k, np.int64)
+        for r in rows.groupBy("cell").agg(F.max("r").alias("r"), F.count("*").alias("n")).collect():  # at most MAX_CELLS rows
+            self.radius[r["cell"]], self.sizes[r["cell"]] = r["r"], r["n"]
         self.rows = rows.drop("r")
 
-    def visitors(self, reach: float | None = None, upward: bool = False) -> DataFrame | None:
-        """(id, vec, cell): points with the other cells they visit, within
-        ``reach`` or each row's own column ``reach``; ``upward`` leaves
-        out cells of smaller number, for pairs that count once."""
+    def chunked(self, rows: int) -> tuple[np.ndarray, np.ndarray]:
+        """(first, parts) per cell: the numbers of the chunks of about ``rows``
+        rows that hold it.  Near cells share a chunk, a larger cell has
+        several of its own."""
+        k, at = len(self.sizes), 0
+        order = [0]
+        if len(self.pivots):
+            near = distance_matrix(self.pivots, self.pivots, "euclidean")
+            while len(order) < k:  # each cell is followed by the nearest that is left
+                near[:, order[-1]] = np.inf
+                order.append(int(near[order[-1]].argmin()))
+        first, parts, held = np.zeros(k, np.int32), np.ones(k, np.int32), 0
+        for c in order:
+            n = int(self.sizes[c])
+            if held and held + n > rows:
+                at, held = at + 1, 0
+            first[c], parts[c] = at, max(1, -(-n // rows))
+            at, held = (at + int(parts[c]), 0) if parts[c] > 1 else (at, held + n)
+        return first, parts
+
+    def visitors(self, reach: float, upward: bool = False) -> DataFrame | None:
+        """(id, vec, cell): points with the other cells they visit within
+        ``reach``; ``upward`` leaves out cells of smaller number, for pairs
+        that count once."""
         if not len(self.pivots):
             return None
         vec = self.rows.schema["vec"].dataType.simpleString()
@@ -104,9 +125,7 @@ class Cells:
 
         def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for pdf in batches:
-                u = straight(pdf["reach"].to_numpy(float) if reach is None else np.full(len(pdf), reach), metric)
-                with np.errstate(invalid="ignore"):  # infinite reach, empty cell
-                    near = to_pivots(pdf["vec"], pivots, metric) <= u[:, None] + radius[None, :] + SLACK
+                near = to_pivots(pdf["vec"], pivots, metric) <= straight(reach, metric) + radius[None, :] + SLACK
                 own = pdf["cell"].to_numpy()
                 other = np.arange(len(pivots))[None, :]
                 near &= other > own[:, None] if upward else other != own[:, None]
@@ -123,10 +142,9 @@ class Cells:
         pairs = F.col("h") * (F.col("h") - 1) / 2 + F.col("h") * F.coalesce("v", F.lit(0))
         return both.agg(F.sum(pairs).cast("long")).first()[0] or 0
 
-    def blocks(self, visitors: DataFrame | None, fn: Callable, schema: str, within: bool = True) -> DataFrame:
+    def blocks(self, visitors: DataFrame | None, fn: Callable, schema: str) -> DataFrame:
         """``fn(left, right, mode)`` on every pair of chunks: ``same`` and
-        ``home`` within a cell (unless not ``within``), ``visit`` with the
-        visitors on the left."""
+        ``home`` within a cell, ``visit`` with the visitors on the left."""
         chunks = lambda df, name: df.groupBy("cell").agg(F.ceil(F.count("*") / self.chunk_rows).alias(name))
         upto = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
         home = self.rows.select("id", "vec", "cell").join(chunks(self.rows, "hk"), "cell")
@@ -134,8 +152,6 @@ class Cells:
         cols = ["cell", "visit", "bi", "bj", "guest", "own", "id", "vec"]
         rows = home.withColumn("o", F.explode(upto("hk"))).withColumns(
             {"bi": F.least("own", "o"), "bj": F.greatest("own", "o"), "visit": F.lit(False), "guest": F.lit(False)}).select(*cols)
-        if not within:
-            rows = rows.where(F.lit(False))
         if visitors is not None:
             visitors = materialize(visitors, "cell-visitors")
             vk = chunks(visitors, "vk")

@@ -4,8 +4,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import cells as pivot_cells
 from tessera.operators import neighbours
 from tessera.operators.cells import Cells, straight
+from tessera.operators.spanning import true_at
 
 SCHEMA = "id long, vec array<double>"
 
@@ -70,3 +72,52 @@ def test_empty_tables(spark):
     assert neighbours.eps_edges(none, "id", "vec", 0.5).collect() == []
     assert neighbours.topk_neighbours(none, "id", "vec", 3).collect() == []
     assert none.agg(F.count("*")).first()[0] == 0 and straight(0.5, "cosine") == 1.0
+
+
+@pytest.mark.parametrize("metric, dims", [("cosine", 12), ("euclidean", 5)])
+def test_nearest_over_pairs_of_chunks(spark, monkeypatch, metric, dims):
+    """Without clusters no cell can be left out; still no row is copied per cell."""
+
+    def no_copies(*a):
+        raise AssertionError("a row is copied per visited cell")
+
+    monkeypatch.setattr(pivot_cells, "copies", no_copies)
+    rng = np.random.default_rng(6)
+    rows = [(int(i), [float(x) for x in rng.normal(0, 1, dims)]) for i in rng.permutation(400)]
+    rows += [(500 + i, rows[3][1]) for i in range(9)] + [(7, rows[11][1]), (7, rows[12][1])]  # equal vectors, an id of three rows
+    df = spark.createDataFrame(rows + [(None, rows[0][1])], SCHEMA)
+    d = matrix(rows, metric)
+    if metric == "euclidean":
+        d[d < 1e-7] = 0.0
+    ids = np.array([i for i, _ in rows])
+    got = {}
+    for r in neighbours.topk_neighbours(df, "id", "vec", 6, metric, 20, group_rows=50).collect():
+        got.setdefault(r["id"], []).append((r["rank"], r["nb"], r["dist"]))
+    assert set(got) == set(ids.tolist())
+    for i, found in got.items():
+        at = np.flatnonzero(ids == i)
+        want = sorted((round(d[p, q], 9), int(ids[q])) for p in at for q in np.flatnonzero(ids != i))[:6]
+        found = sorted(found)
+        assert [n for n, _, _ in found] == list(range(1, 7))
+        assert [nb for _, nb, _ in found] == [nb for _, nb in want]
+        assert np.allclose([x for _, _, x in found], [x for x, _ in want], atol=1e-7)
+
+
+def test_near_cells_share_chunks(spark):
+    rows = [r for r in points(4, 900, 3, 0.1) if r[0] < 1000]
+    cells = Cells(spark.createDataFrame(rows, SCHEMA), "euclidean", 30)
+    first, parts = cells.chunked(100)
+    held = {}
+    for c, (f, m) in enumerate(zip(first, parts)):
+        for p in range(m):
+            held[f + p] = held.get(f + p, 0) + cells.sizes[c] / m
+    assert sorted(held) == list(range(max(held) + 1)) and max(held.values()) <= 100
+    assert sum(held.values()) == len(rows) and len(held) < len(cells.sizes)
+
+
+def test_places_of_a_sparse_mask():
+    rng = np.random.default_rng(1)
+    for shape in ((3, 5), (8, 16), (0, 4), (7, 9)):
+        mask = rng.random(shape) < 0.1
+        assert true_at(mask).tolist() == np.flatnonzero(mask.ravel()).tolist()
+        assert true_at(mask.T).tolist() == np.flatnonzero(mask.T.ravel()).tolist()
