@@ -20,11 +20,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.cells import SLACK, Cells, distance_matrix, straight, to_pivots, vectors_of
-from tessera.operators.spanning import SPREAD, matrix, pair_distances, true_at
+from tessera.operators.spanning import PAIR_ROWS, SPREAD, deal, matrix, pair_distances, true_at
 from tessera.session import materialize
 
 EDGE_SCHEMA = "src long, dst long, dist double"
-PAIR_ROWS = 1 << 16  # pairs whose distances are summed at a time
 
 
 def _points(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -209,7 +208,7 @@ def topk_neighbours(df: DataFrame, id_col: str, vec_col: str, k: int, metric: st
     rows = cells.rows.select("id", "vec", "cell", chunk.alias("chunk"), F.lit(float("inf")).alias("reach"))
     n_chunks = int((first + parts).max()) if len(pivots) else 1
     kept = f"id long, vec {vec}, cell int, chunk int, reach double, "
-    rows = dealt(rows, n_chunks, "chunk").groupBy("chunk").applyInPandas(own, kept + found)
+    rows = deal(rows, n_chunks, "chunk").groupBy("chunk").applyInPandas(own, kept + found)
     best = rows.select("id", "dist", "nb")
     if n_chunks > 1:
         rows = materialize(rows, "knn-own")
@@ -229,15 +228,9 @@ def topk_neighbours(df: DataFrame, id_col: str, vec_col: str, k: int, metric: st
         met = materialize(met.union(met.select("other", "chunk")).distinct(), "knn-chunks")  # pairs of chunks, both ways
         bi, bj = F.least("chunk", "other").alias("bi"), F.greatest("chunk", "other").alias("bj")
         cross = rows.select("id", "vec", "cell", "chunk", "reach").join(met, "chunk").select("id", "vec", "cell", "chunk", "reach", bi, bj)
-        cross = dealt(cross, n_chunks * (n_chunks - 1) // 2, "bi", "bj").groupBy("bi", "bj").applyInPandas(between, "id long, " + found)
+        cross = deal(cross, n_chunks * (n_chunks - 1) // 2, "bi", "bj").groupBy("bi", "bj").applyInPandas(between, "id long, " + found)
         best = rows.select("id", "dist", "nb").unionByName(cross)
     best = best.groupBy("id").agg(F.flatten(F.collect_list(F.arrays_zip("dist", "nb"))).alias("near"))  # k of each chunk
     best = best.select("id", F.posexplode(F.slice(F.sort_array("near"), 1, k)).alias("at", "near"))
     return best.select("id", F.col("near.nb").alias("nb"), F.col("near.dist").alias("dist"), (F.col("at") + 1).alias("rank"))
 
-
-def dealt(rows: DataFrame, groups: int, *keys: str) -> DataFrame:
-    """Groups of few bytes and much work, in tasks of their own."""
-    spark = rows.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism, min(groups, 4096))
-    return rows.repartition(tasks, *keys)

@@ -27,6 +27,7 @@ from tessera.session import materialize
 
 CHUNK_ROWS = 16384  # most rows of a chunk: every row is copied once per chunk of its key
 TILE_ROWS = 2048    # a task compares its two chunks in tiles of this many rows
+PAIR_ROWS = 1 << 16  # pairs whose distances are summed at a time
 RUN_EDGES = 1 << 20  # edges that one task may finish
 SPREAD = 16         # chunks of a key that has rows for as many tiles, so that there are groups for all cores
 
@@ -64,6 +65,13 @@ def n_chunks(chunk_rows: int):
     return F.greatest(F.ceil(n / chunk_rows), F.least(F.lit(SPREAD).cast("long"), F.ceil(n / TILE_ROWS)))
 
 
+def deal(rows: DataFrame, groups: int, *keys: str) -> DataFrame:
+    """Groups of few bytes and much work, in tasks of their own."""
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism, min(groups, 4096))
+    return rows.repartition(tasks, *keys)
+
+
 def keyed_block_pairs(df: DataFrame, keys: list[str], id_col: str, fn: Callable, schema: str,
                       chunk_rows: int = CHUNK_ROWS, dealt: bool = False) -> DataFrame:
     """``fn(left, right, same)`` on every pair of chunks of each key; no chunk has
@@ -75,9 +83,7 @@ def keyed_block_pairs(df: DataFrame, keys: list[str], id_col: str, fn: Callable,
     rows = rows.withColumn("_to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_k") - 1)))
     rows = rows.withColumn("_bi", F.least("_own", "_to")).withColumn("_bj", F.greatest("_own", "_to")).drop("_to", "_k")
     if dealt:
-        spark = df.sparkSession
-        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-        rows = rows.repartition(tasks, *keys, "_bi", "_bj")
+        rows = deal(rows, 0, *keys, "_bi", "_bj")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         bi, bj = pdf["_bi"].iat[0], pdf["_bj"].iat[0]
@@ -96,16 +102,18 @@ def tiles(n_left: int, n_right: int, same: bool, rows: int = TILE_ROWS):
 
 
 def pair_distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
-    """Row-wise distances, with the doubles of ``distances``."""
+    """Row-wise distances, with the doubles of ``distances``: a running sum adds
+    in the order of the dimensions."""
     out = np.zeros(len(a))
-    if metric == "cosine":
-        for j in range(a.shape[1]):
-            out += a[:, j] * b[:, j]
-        return np.maximum(1.0 - out, 0.0)
-    for j in range(a.shape[1]):
-        gap = a[:, j] - b[:, j]
-        out += gap * gap
-    return np.sqrt(out)
+    if not a.shape[1]:
+        return out if metric != "cosine" else out + 1.0
+    for s in range(0, len(a), 1024):  # rows that stay near the processor
+        at = slice(s, s + 1024)
+        part = a[at] * b[at] if metric == "cosine" else a[at] - b[at]
+        if metric != "cosine":
+            part *= part
+        out[at] = np.add.accumulate(part, axis=1)[:, -1]
+    return np.maximum(1.0 - out, 0.0) if metric == "cosine" else np.sqrt(out)
 
 
 def true_at(mask: np.ndarray) -> np.ndarray:
@@ -241,7 +249,7 @@ def tile_forest(ids: np.ndarray, vec: np.ndarray, core: np.ndarray, left: np.nda
     found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
     if level.size > 1 << 16:
         limit = np.quantile(level[::16, ::16], min(1.0, 8.0 * n / level.size))
-        i, j = np.divmod(np.flatnonzero(level.ravel() <= limit + slack), level.shape[1])
+        i, j = np.divmod(true_at(level <= limit + slack), level.shape[1])
         if same:
             once = i < j
             i, j = i[once], j[once]
@@ -331,7 +339,7 @@ def _boruvka(edges: DataFrame, keys: list[str]) -> DataFrame:
     while True:
         most = left.groupBy(*keys).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
         if most <= RUN_EDGES:
-            last = left.groupBy(*(keys or [F.lit(0).alias("_all")])).applyInPandas(finish, of_key + "src long, dst long, w double")
+            last = (deal(left, 0, *keys) if keys else left).groupBy(*(keys or [F.lit(0).alias("_all")])).applyInPandas(finish, of_key + "src long, dst long, w double")
             return materialize(last if tree is None else tree.unionByName(last), "span-tree")
         turned = left.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"), "w", "src", "dst")
         both = left.select(*keys, "a", "b", "w", "src", "dst").unionByName(turned)

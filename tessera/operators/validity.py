@@ -25,10 +25,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.spanning import CHUNK_ROWS, keyed_block_pairs, leveled, matrix, near_levels, pair_distances, spanning_tree, tiles
+from tessera.operators.spanning import (CHUNK_ROWS, PAIR_ROWS, keyed_block_pairs, leveled, matrix, near_levels, pair_distances, spanning_tree,
+                                        tiles, true_at)
 from tessera.session import materialize
 
 NOISE = -1
+POWER_ROWS = 512  # rows of a tile that stays near the processor over many passes
 
 
 def _of(df: DataFrame, keys: list[str]) -> str:
@@ -40,35 +42,40 @@ def _keyed(out: dict, keys: list[str], pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def powered(x: np.ndarray, exponent: float) -> np.ndarray:
-    """x ** exponent, a whole exponent by squaring."""
-    if exponent != int(exponent):
+    """x ** exponent, a whole exponent by squaring, in place of x."""
+    if exponent != int(exponent) or exponent < 1:
         return np.power(x, exponent)
-    out, n = np.ones_like(x), int(exponent)
-    while n:
+    out, n = None, int(exponent)
+    while True:
         if n & 1:
-            out *= x
+            out = x if n == 1 and out is None else x.copy() if out is None else np.multiply(out, x, out=out)
         n >>= 1
-        if n:
-            x = x * x
-    return out
+        if not n:
+            return out
+        np.multiply(x, x, out=x)
 
 
 def all_points_core(points: DataFrame, keys: list[str], metric: str = "euclidean", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
     """``points`` (keys, id, vec) with ``core``: ((sum of (1 / d) ** dim over the
     other points of the key) / (n - 1)) ** (-1 / dim)."""
 
-    def log_sums(d: np.ndarray, dim: int, scale: np.ndarray) -> np.ndarray:
-        """log of the sum of (1 / d) ** dim, from levels divided by ``scale``."""
-        half = 1.0 if metric == "cosine" else 0.5  # levels are squares unless cosine
-        with np.errstate(divide="ignore", invalid="ignore"):
-            x = np.divide(scale[:, None], d, out=np.zeros_like(d), where=d > 0)
-            return np.log(powered(x, half * dim).sum(axis=1)) - half * dim * np.log(scale)
-
-    def add_logs(total: np.ndarray, at: slice, d: np.ndarray, dim: int) -> None:
-        scale = np.min(d, axis=1, initial=np.inf, where=d > 0)
-        some = np.isfinite(scale)
-        part = np.where(some, log_sums(d, dim, np.where(some, scale, 1.0)), -np.inf)
-        total[at] = np.logaddexp(total[at], part)
+    def log_sums(d: np.ndarray, dim: int) -> tuple[np.ndarray, np.ndarray]:
+        """log of the sums of (1 / d) ** dim by row and by column, of the levels d."""
+        p = dim * (1.0 if metric == "cosine" else 0.5)  # levels are squares unless cosine
+        some = d[::POWER_ROWS // 8].min(axis=1)
+        some = some[np.isfinite(some)]
+        scale = np.exp(np.log(some).mean()) if len(some) else 1.0
+        with np.errstate(divide="ignore", over="ignore", under="ignore", invalid="ignore"):
+            x = powered(np.divide(scale, d), p)
+            sums = [x.sum(axis=1), x.sum(axis=0)]
+            out = [np.log(v) - p * np.log(scale) for v in sums]
+            for v, log, levels in zip(sums, out, (d, d.T)):
+                far = np.flatnonzero(~((v > 1e-200) & (v < 1e200)))  # the scale is not theirs
+                part = levels[far]
+                own = part.min(axis=1, initial=np.inf)
+                of = np.where(np.isfinite(own), own, 1.0)
+                log[far] = np.where(np.isfinite(own), np.log(powered(of[:, None] / part, p).sum(axis=1)) - p * np.log(of), -np.inf)
+        return out[0], out[1]
 
     def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
         a = matrix(left["vec"], metric)
@@ -76,16 +83,20 @@ def all_points_core(points: DataFrame, keys: list[str], metric: str = "euclidean
         dim = a.shape[1] if len(a) else b.shape[1]
         of_a = np.full(len(a), -np.inf)
         of_b = of_a if same else np.full(len(b), -np.inf)
-        for x, y in tiles(len(a), len(b), same):
+        for x, y in tiles(len(a), len(b), same, POWER_ROWS):
             d, slack = near_levels(a[x], b[y], metric)
             # where a product loses the digits of a short distance, and at zero
-            i, j = np.divmod(np.flatnonzero(d.ravel() <= 1e8 * slack), d.shape[1])
-            d[i, j] = leveled(pair_distances(a[x][i], b[y][j], metric), metric)
+            i, j = np.divmod(true_at(d <= 1e8 * slack), d.shape[1])
+            for s in range(0, len(i), PAIR_ROWS):
+                r, c = i[s:s + PAIR_ROWS], j[s:s + PAIR_ROWS]
+                near = leveled(pair_distances(a[x][r], b[y][c], metric), metric)
+                d[r, c] = np.where(near > 0, near, np.inf)  # a point at distance zero does not count
             if same and x == y:
-                np.fill_diagonal(d, 0.0)
-            add_logs(of_a, x, d, dim)
+                np.fill_diagonal(d, np.inf)
+            by_row, by_column = log_sums(d, dim)
+            of_a[x] = np.logaddexp(of_a[x], by_row)
             if not (same and x == y):
-                add_logs(of_b, y, d.T, dim)
+                of_b[y] = np.logaddexp(of_b[y], by_column)
         ids, part = (left["id"], of_a) if same else (pd.concat([left["id"], right["id"]]), np.concatenate([of_a, of_b]))
         return _keyed({"id": ids.to_numpy(np.int64), "dim": dim, "part": part}, keys, left if len(left) else right)
 
@@ -105,6 +116,8 @@ def separations(inner: DataFrame, keys: list[str], cluster: str, metric: str = "
     cluster's points to those of another cluster of the same labeling."""
 
     def fn(left: pd.DataFrame, right: pd.DataFrame, same: bool) -> pd.DataFrame:
+        left = left.sort_values(cluster)  # so that most tiles of a large cluster hold no other
+        right = left if same else right.sort_values(cluster)
         a = matrix(left["vec"], metric)
         b = a if same else matrix(right["vec"], metric)
         if not len(a) or not len(b):
@@ -113,6 +126,8 @@ def separations(inner: DataFrame, keys: list[str], cluster: str, metric: str = "
         core_a, core_b = left["core"].to_numpy(np.float64), right["core"].to_numpy(np.float64)
         least = []
         for x, y in tiles(len(a), len(b), same):
+            if of_a[x.start] == of_a[x.stop - 1] == of_b[y.start] == of_b[y.stop - 1]:
+                continue
             d, _ = near_levels(a[x], b[y], metric)
             np.maximum(d, leveled(core_a[x], metric)[:, None], out=d)
             np.maximum(d, leveled(core_b[y], metric)[None, :], out=d)
@@ -122,7 +137,7 @@ def separations(inner: DataFrame, keys: list[str], cluster: str, metric: str = "
                 i, j = i[there] + x.start, j[there] + y.start
                 w = np.maximum(pair_distances(a[i], b[j], metric), np.maximum(core_a[i], core_b[j]))
                 least += [pd.Series(w, index=of_a[i]), pd.Series(w, index=of_b[j])]
-        least = pd.concat(least)
+        least = pd.concat([pd.Series([], index=np.zeros(0, np.int64), dtype=np.float64), *least])
         least = least.groupby(level=0).min()
         least = least[np.isfinite(least)]
         return _keyed({cluster: least.index.to_numpy(), "separation": least.to_numpy()}, keys, left)
@@ -163,7 +178,9 @@ def dbcv(points: DataFrame, keys: list[str], cluster: str = "cluster", metric: s
     count = points.groupBy(*keys).agg(
         F.count("*").alias("n_points"), F.count_distinct(F.when(F.col(cluster) != NOISE, F.col(cluster))).alias("n_clusters"),
         F.count_if(F.col(cluster) == NOISE).alias("n_noise"))
-    each = cluster_validity(points, keys, cluster, metric, chunk_rows)
+    count = materialize(count, "dbcv-count")
+    some = count.where("n_clusters > 1").select(*keys)  # the others have no separation, whatever their clusters are like
+    each = cluster_validity(points.join(some, keys, "left_semi"), keys, cluster, metric, chunk_rows)
     total = each.groupBy(*keys).agg(F.sum(F.col("n") * F.col("validity")).alias("total"))
     one = F.col("n_clusters") <= 1
     return count.join(total, keys, "left").select(
