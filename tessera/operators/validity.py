@@ -42,17 +42,17 @@ def _keyed(out: dict, keys: list[str], pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def powered(x: np.ndarray, exponent: float) -> np.ndarray:
-    """x ** exponent, a whole exponent by squaring, in place of x."""
+    """x ** exponent, a whole exponent by squaring."""
     if exponent != int(exponent) or exponent < 1:
         return np.power(x, exponent)
-    out, n = None, int(exponent)
+    out, n, held = None, int(exponent), None
     while True:
         if n & 1:
-            out = x if n == 1 and out is None else x.copy() if out is None else np.multiply(out, x, out=out)
+            out = x.copy() if out is None else np.multiply(out, x, out=out)
         n >>= 1
         if not n:
             return out
-        np.multiply(x, x, out=x)
+        x = held = np.multiply(x, x, out=held)  # one array for all squares, not that of the caller
 
 
 def all_points_core(points: DataFrame, keys: list[str], metric: str = "euclidean", chunk_rows: int = CHUNK_ROWS) -> DataFrame:
